@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .decontaminate import op8_decontaminate
+from .quality import op4_quality_rules
+from .token_counts import op3_token_counts
 
-QUERIES = {"op8_decontaminate": op8_decontaminate}
+QUERIES = {"op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op8_decontaminate": op8_decontaminate}
 ORACLES: dict[str, str] = {}
