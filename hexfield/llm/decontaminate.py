@@ -10,7 +10,7 @@ neighbouring words are neighbours in some item too: no match can leave such a st
 
 Defined results: a null or empty text has no words and no hits; null or wordless items match
 nothing; repeated documents are each answered; repeated items are each reported; extra columns of
-the input are carried by `decontaminate` and ignored by `hits`.
+the input are carried and, in `decontaminate`, cannot clash.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import extended, packed, unpacked
 from .text import BYTE_LOWER, chunks, prefix, runs, span_hash, table
 
 #: Bytes of a word: digits, ASCII letters and everything beyond ASCII.
@@ -182,16 +184,14 @@ def _blocks(items: DataFrame, limit: int) -> list[DataFrame]:
     return [items] if n == 1 else [items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k) for k in range(n)]
 
 
-def hits(docs: DataFrame, items: DataFrame, keep: list[str], window: int = WINDOW, max_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
-    """The `keep` columns with n_words, n_hit, item_ids (of the items found) and spans (bytes [start, end)).
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
+    """The frame's columns (`text` among them) with n_words, n_hit, item_ids (of the items found) and spans (bytes [start, end)).
 
     Items are read to the driver only in parts of at most about `max_bytes`; each part makes one
     automaton, which is broadcast.  With several parts their findings are united row by row: the
     documents pass through the automata one after another, without a shuffle.
     """
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     added = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:bigint,end:bigint>>"
-    base = docs.select(*keep)
     parts = _blocks(items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")), max_bytes)
     sc = docs.sparkSession.sparkContext
     models = [sc.broadcast(Automaton([(r.item_id, r.text) for r in part.collect()], window)) for part in parts]
@@ -202,12 +202,12 @@ def hits(docs: DataFrame, items: DataFrame, keep: list[str], window: int = WINDO
             if len(outs) == 1:
                 yield from outs[0].to_batches()
             elif outs:
-                yield _united(outs, batch, keep)
+                yield _united(outs, batch)
 
-    return base.mapInArrow(run, f"{fields}, {added}")
+    return docs.mapInArrow(run, extended(docs, added))
 
 
-def _united(outs: list[pa.Table], batch: pa.RecordBatch, keep: list[str]) -> pa.RecordBatch:
+def _united(outs: list[pa.Table], batch: pa.RecordBatch) -> pa.RecordBatch:
     """One answer from those of several automata: spans are merged and their words counted anew."""
     text = batch.column("text").to_pylist()
     items = [sum(x, []) for x in zip(*(t["item_ids"].to_pylist() for t in outs), strict=True)]
@@ -222,7 +222,7 @@ def _united(outs: list[pa.Table], batch: pa.RecordBatch, keep: list[str]) -> pa.
         raw = (t or "").encode()
         n_hit.append(sum(len(words(b := np.frombuffer(raw[x:y], np.uint8), np.array([0, len(b)]))[0]) for x, y in merged))
         spans.append([{"start": x, "end": y} for x, y in merged])
-    return pa.record_batch([*(batch.column(c) for c in keep), outs[0]["n_words"].combine_chunks(), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, outs[0].schema.field("spans").type)], names=outs[0].schema.names)
+    return pa.record_batch([*batch.columns, outs[0]["n_words"].combine_chunks(), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, outs[0].schema.field("spans").type)], names=outs[0].schema.names)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, max_coverage: float = 0.5, window: int = WINDOW) -> DataFrame:
@@ -232,9 +232,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, ma
     never are shorter than a window, so the default cuts every one).  A document of whose words more
     than `max_coverage` are hit is removed as a whole.  Clean documents pass unchanged.
     """
-    names = docs.columns
-    found = hits(docs, items, names, window)
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    found = hits(packed(docs, "text"), items, window)
 
     def cut(batches):
         for batch in batches:
@@ -248,11 +246,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, ma
                             kept.append(raw[at : x["start"]])
                             at = x["end"]
                     text[i] = b"".join([*kept, raw[at:]]).decode()
-            cols = [batch.column(c) if c not in ("text", "n_chars") else pa.array(text, pa.string()) if c == "text" else pa.array([n if t is None else len(t) for t, n in zip(text, batch.column(c).to_pylist(), strict=True)], batch.column(c).type) for c in names]
-            yield pa.record_batch(cols, names=names)
+            yield pa.record_batch([batch.column("row"), pa.array(text, pa.string()), pc.greater(batch.column("n_hit"), 0)], names=["row", "text", "cut"])
 
     left = found.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    return left.mapInArrow(cut, fields)
+    left = left.mapInArrow(cut, extended(left.select("row", "text"), "cut boolean"))
+    return unpacked(left, docs, n_chars="if(cut, char_length(text), row.n_chars)")
 
 
 def digest(ids: DataFrame) -> DataFrame:
@@ -264,4 +262,4 @@ def digest(ids: DataFrame) -> DataFrame:
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Every document of the table against every benchmark item."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return digest(hits(docs, items, ["doc_id", "text"]).drop("text"))
+    return digest(hits(docs.select("doc_id", "text"), items))

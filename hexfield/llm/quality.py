@@ -7,7 +7,7 @@ measure leaves the band of its language.
 
 Defined results: null and empty texts have no words and fail the base rule; languages without bands
 of their own, null included, use the default bands; repeated rows are each answered; extra columns
-are carried by `score`.
+are carried by `keep_good` and cannot clash.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import extended, packed, unpacked
 from .text import BYTE, SPACE, chunks, grams, mix, per_row, prefix, ragged, runs, span_hash, table
 
 SYMBOL = table(b"#*$%&|<>")
@@ -147,10 +148,9 @@ def _measure(model: str):
     return run
 
 
-def measure(docs: DataFrame, model: str, keep: list[str]) -> DataFrame:
-    """The `keep` columns (text among them) with the measures of every document; no shuffle."""
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep).mapInArrow(_measure(model), f"{fields}, {MEASURES}")
+def measure(docs: DataFrame, model: str) -> DataFrame:
+    """The frame's columns (`text` among them, none named as a measure) with the measures; no shuffle."""
+    return docs.mapInArrow(_measure(model), extended(docs, MEASURES))
 
 
 def verdict(measures: DataFrame, bands: dict[str, dict] = BANDS, default: dict = DEFAULT_BAND) -> DataFrame:
@@ -171,12 +171,12 @@ def verdict(measures: DataFrame, bands: dict[str, dict] = BANDS, default: dict =
 
 def keep_good(docs: DataFrame, model: str) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return verdict(measure(docs, model, docs.columns)).filter("kept").select(*docs.columns)
+    return unpacked(verdict(measure(packed(docs, "lang", "text"), model)).filter("kept"), docs)
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Every document under the 32k piece vocabulary."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return verdict(measure(docs, public_tokenizers.path("piece_bpe_32k.model"), ["doc_id", "text", "lang"])).drop("text", "lang")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    return verdict(measure(docs, public_tokenizers.path("piece_bpe_32k.model"))).drop("text", "lang")

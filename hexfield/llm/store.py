@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,3 +31,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def extended(df: DataFrame, added: str) -> StructType:
+    """The frame's schema with further fields, given as DDL."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
+
+
+def packed(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """The documents' columns but `text` as one column `row`, beside those an operator works on.
+
+    Whatever names the documents' columns have, they cannot clash with an operator's own.
+    """
+    return docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"), *more)
+
+
+def unpacked(df: DataFrame, docs: DataFrame, **new: str) -> DataFrame:
+    """The documents' columns from `row` and `text`; those named in `new` come from SQL expressions."""
+    old = {c: F.col("text") if c == "text" else F.col("row").getField(c) for c in docs.columns}
+    return df.select(*((F.expr(new[c]).cast(docs.schema[c].dataType) if c in new else old[c]).alias(c) for c in docs.columns))
