@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from .bpe import op7_bpe
 from .decontaminate import op8_decontaminate
+from .html_text import op10_html_text
+from .licenses import OP6_SQL, op6_licenses
 from .near_duplicates import op9_near_duplicates
 from .quality import op4_quality_rules
 from .repeats import op1_suffix_dedup
 from .token_counts import op3_token_counts
 from .toxicity import op2_toxicity
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op9_near_duplicates": op9_near_duplicates}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op9_near_duplicates": op9_near_duplicates, "op10_html_text": op10_html_text}
+ORACLES: dict[str, str] = {"op6_licenses": OP6_SQL}
