@@ -40,7 +40,7 @@ MAX_BLOCK = 2000
 #: Bytes of phrases that a task gathers before it orders them.
 GATHER_BYTES = 2 << 20
 
-PHRASES = "trigger bigint, phrase bigint, doc_id bigint, tag int, start int, n int"
+PHRASES = "trigger bigint, phrase bigint, doc_id bigint, tag int, start int, n int, times int"
 HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
@@ -73,15 +73,23 @@ def _parse(batches):
         row = np.searchsorted(offs, first, "right") - 1
         used = trigger[first] >= 0
         first, last, row = first[used], last[used], row[used]
+        name, phrase = rolling[trigger[first]].view(np.int64), span_hash(sums, first, last - 1 + LENGTH).view(np.int64)
+        # in periodic text the same phrase follows itself: one row tells how often
+        new = np.ones(len(first), bool)
+        new[1:] = (name[1:] != name[:-1]) | (phrase[1:] != phrase[:-1]) | (row[1:] != row[:-1]) | (first[1:] != last[:-1])
+        head = np.flatnonzero(new)
+        times = np.diff(np.append(head, len(first)))
+        first, last, row, name, phrase = (x[head] for x in (first, last, row, name, phrase))
         take = pa.array(row)
         yield pa.record_batch(
             [
-                pa.array(rolling[trigger[first]].view(np.int64)),
-                pa.array(span_hash(sums, first, last - 1 + LENGTH).view(np.int64)),
+                pa.array(name),
+                pa.array(phrase),
                 rows.column("doc_id").take(take),
                 rows.column("tag").take(take),
                 pa.array((first - offs[row]).astype(np.int32)),
                 pa.array((last - first).astype(np.int32)),
+                pa.array(times.astype(np.int32)),
             ],
             names=[f.split()[0] for f in PHRASES.split(", ")],
         )
@@ -177,13 +185,13 @@ def _spread(batches):
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, tag and the spans [start, end) of bytes under repeated windows; they may overlap."""
     occurrences = parse(docs)
-    shared = written(occurrences.groupBy("trigger").agg(F.count("*").alias("of"), F.min("phrase").alias("low"), F.max("phrase").alias("high")).filter("of > 1"), "triggers")
+    shared = written(occurrences.groupBy("trigger").agg(F.sum("times").alias("of"), F.min("phrase").alias("low"), F.max("phrase").alias("high")).filter("of > 1"), "triggers")
     met = written(occurrences.join(shared, "trigger").select(*occurrences.columns, (F.col("low") == F.col("high")).alias("alike")), "parse")
-    span = ["doc_id", "tag", "start", (F.col("start") + F.col("n") - 1 + LENGTH).alias("end")]
+    span = ["doc_id", "tag", "start", (F.col("start") + F.col("n") * F.col("times") - 1 + LENGTH).alias("end")]
     whole = met.filter("alike").select(*span)
 
     mixed = met.filter("not alike")
-    dictionary = written(mixed.groupBy("trigger", "phrase").agg(F.count("*").alias("occurs"), F.min(F.struct("doc_id", "tag", "start", "n")).alias("at")), "dictionary")
+    dictionary = written(mixed.groupBy("trigger", "phrase").agg(F.sum("times").alias("occurs"), F.min(F.struct("doc_id", "tag", "start", "n")).alias("at")), "dictionary")
     crowds = written(dictionary.groupBy("trigger").agg(F.count("*").alias("phrases")).filter(F.col("phrases") > MAX_BLOCK), "crowds")
     twice = mixed.join(dictionary.filter("occurs > 1").select("trigger", "phrase"), ["trigger", "phrase"]).select(*span)
 
