@@ -26,7 +26,7 @@ SIZES = (3, 4, 5)
 BUCKET_BITS = 17
 WIDTH = 8
 #: Labelled rows of each class that training reads at most (those least by a hash of doc_id).
-SAMPLE_PER_CLASS = 2500
+SAMPLE_PER_CLASS = 1500
 STEPS = 120
 RATE = 0.1
 DECAY = 1e-6
@@ -62,15 +62,15 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """Row, bucket and share of the row's n-grams, for training."""
     out = []
     base = 0
-    for rows, buf, offs in chunks([pa.record_batch({"text": pa.array(texts, pa.string())})]):
+    for rows, buf, offs in chunks([pa.record_batch({"text": pa.array(texts, pa.string())})], limit=1 << 20):
         found, bounds = subwords(buf, offs)
         row = np.concatenate([np.searchsorted(bounds, at, "right") - 1 for at, _ in found])
         key, count = np.unique((row << BUCKET_BITS) | np.concatenate([b for _, b in found]), return_counts=True)
         row = key >> BUCKET_BITS
         total = np.bincount(row, count, len(rows))
-        out.append((row + base, key & ((1 << BUCKET_BITS) - 1), count / total[row]))
+        out.append(((row + base).astype(np.int32), (key & ((1 << BUCKET_BITS) - 1)).astype(np.int32), (count / total[row]).astype(np.float32)))
         base += len(rows)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))
 
 
 def train(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, steps: int = STEPS, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +90,7 @@ def train(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, step
     for step in range(1, steps + 1):
         way = softmax[:, 1] - softmax[:, 0]
         logit = np.bincount(row, share * (vectors @ way)[bucket], len(texts)) + (bias[1] - bias[0])
-        off = weights * (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels)
+        off = (weights * (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels)).astype(np.float32)
         pull = (np.bincount(bucket, share * off[row], 1 << BUCKET_BITS) * known).astype(np.float32)
         side = vectors.T @ pull
         slopes = (np.outer(pull, way) + DECAY * vectors, np.stack([-side, side], 1), np.array([-off.sum(), off.sum()], np.float32))
