@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended
+from .store import extended, written
 from .text import chunks, mix, prefix, ragged, span_hash
 
 LEXICON_WORDS = 50_000
@@ -351,9 +351,20 @@ def _count(path: str):
 
 
 def frequent_words(docs: DataFrame, path: str, limit: int = LEXICON_WORDS) -> list[bytes]:
-    """The words that all documents together hold most often; at most `limit` reach the driver."""
+    """The words that all documents together hold most often, at most `limit`.
+
+    Counts first meet in a histogram of a fixed number of classes; only words from the classes that
+    fit below the limit reach the driver, however many tasks or distinct words there are.
+    """
     counts = docs.select("text").mapInArrow(_count(path), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    counts = written(counts.filter("n > 1").withColumn("class", F.floor(32 * F.log2("n")).cast("int")), "words")
+    least, total = None, 0
+    for r in counts.groupBy("class").count().orderBy(F.desc("class")).collect():
+        total += r["count"]
+        if total > limit:
+            break
+        least = r["class"]
+    return [] if least is None else [bytes(r["word"]) for r in counts.filter(F.col("class") >= least).select("word").collect()]
 
 
 ENCODED = "ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string, decoded string"
