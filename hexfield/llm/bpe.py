@@ -35,8 +35,9 @@ from .store import extended, written
 from .text import chunks, mix, prefix, ragged, span_hash
 
 LEXICON_WORDS = 50_000
-#: Distinct words that a worker keeps with their ids, and that one counting task gathers; full stores are emptied.
-MAX_STORED_WORDS = 400_000
+#: Distinct words that a worker keeps with their ids, and that a counting task gathers; full stores are emptied.
+MAX_STORED_WORDS = 100_000
+MAX_COUNTED_WORDS = 200_000
 PLAIN = 0x240
 
 
@@ -342,7 +343,7 @@ def _count(path: str):
                 for w in vocabulary(path).odd_words(rows.column("text")[i].as_py()):
                     if isinstance(w, bytes):
                         total[w] = total.get(w, 0) + 1
-            if len(total) > MAX_STORED_WORDS:
+            if len(total) > MAX_COUNTED_WORDS:
                 yield out()
                 total.clear()
         yield out()
@@ -383,7 +384,7 @@ def _encode(path: str, lexicon, with_values: bool):
     def run(batches):
         store = _words(path, lexicon)
         vocab = store.vocab
-        for rows, buf, offs in chunks(batches, limit=2 << 20):
+        for rows, buf, offs in chunks(batches):
             if len(store.by_bytes) > MAX_STORED_WORDS:
                 store.clear()
             odd = _odd_rows(buf, offs)

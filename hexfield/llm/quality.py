@@ -27,7 +27,7 @@ REPEAT_WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Words kept with their tokens by one Python worker; a full store is emptied.
-MAX_STORED_WORDS = 400_000
+MAX_STORED_WORDS = 100_000
 
 #: Bands by language: the usual characters per token with the tolerances below and above it, the most
 #: byte-fallback share, the least relative entropy.  The usual value is that of the language's prose

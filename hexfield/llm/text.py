@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 _POW = {"pow": np.ones(1, np.uint64), "inv": np.ones(1, np.uint64)}
 
