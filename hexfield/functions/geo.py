@@ -107,7 +107,8 @@ def hex_neighbours(q: Column, r: Column, with_self: bool = False) -> Column:
 def _edges(ring: Column) -> Column:
     """Consecutive corner pairs of a ring, the last with the first."""
     n = F.size(ring)
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(ring[i].alias("a"), ring[F.pmod(i + 1, n).cast("int")].alias("b")))
+    following = F.concat(F.slice(ring, 2, F.greatest(n - 1, F.lit(0))), F.slice(ring, 1, 1))
+    return F.arrays_zip(ring.alias("a"), following.alias("b"))
 
 
 def ring_area(ring: Column) -> Column:
