@@ -68,6 +68,7 @@ def focal_disk_sum(points: DataFrame, pixels: DataFrame, key: str, radius: int,
     spans = points.select(key, "row", "col", F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("dy"))
     half = F.floor(F.sqrt(F.lit(radius * radius) - F.col("dy") * F.col("dy"))).cast("int")
     first, last = F.greatest(F.col("col") - half, F.lit(0)), F.least(F.col("col") + half, F.lit(width - 1))
+    spans = spans.filter(first <= last)
     ends = F.array(F.struct((first - 1).alias("col"), F.lit(-1).alias("sign")), F.struct(last.alias("col"), F.lit(1).alias("sign")))
     lookups = spans.select(key, (F.col("row") + F.col("dy")).alias("row"), F.explode(ends).alias("e")).select(key, "row", "e.*")
     out = lookups.join(sums, ["row", "col"]).groupBy(key).agg(F.sum(F.col("sign") * F.col("upto")).alias("total"))
