@@ -59,9 +59,10 @@ def is_hard(columns=tuple(HARD_EXCLUSIONS)) -> Column:
 def rescored(components: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     """Final scores under other weights: `weights` (scenario, component, weight) holds a few rows a
     scenario; components stay in their rows, and each is weighed where it stands."""
-    wide = weights.groupBy("scenario").pivot("component", list(WEIGHTS)).agg(F.first("weight"))
-    total = reduce(lambda a, b: a + b, (F.coalesce(F.col(c), F.lit(0.0)) for c in WEIGHTS))
-    parts = [F.coalesce(F.col("c_" + c).cast("double"), F.lit(0.0)) * F.coalesce(F.col(c), F.lit(0.0)) for c in WEIGHTS]
+    pivoted = weights.groupBy("scenario").pivot("component", list(WEIGHTS)).agg(F.first("weight"))
+    wide = pivoted.select("scenario", *(F.coalesce(c, F.lit(0.0)).alias(f"w_{c}") for c in WEIGHTS))
+    total = reduce(lambda a, b: a + b, (F.col(f"w_{c}") for c in WEIGHTS))
+    parts = [F.coalesce(F.col(f"c_{c}").cast("double"), F.lit(0.0)) * F.col(f"w_{c}") for c in WEIGHTS]
     joined = components.join(F.broadcast(wide), how="inner", on=F.lit(True))
     impact = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(F.try_divide(reduce(lambda a, b: a + b, parts), total), F.lit(0.0))))
     return joined.select("scenario", key, final_score(F.col("viability"), impact).alias("final_score"))
