@@ -132,6 +132,6 @@ def importances(spark, model, features: Sequence[str]) -> DataFrame:
 def learning_curve(spark, model, df: DataFrame, features: Sequence[str], every: int = 10) -> DataFrame:
     """(round, loss, is_best) on a frame."""
     assembled = model.stages[0].transform(filled(df, features))
-    losses = model.stages[-1].evaluateEachIteration(assembled, "logistic")
+    losses = model.stages[-1].evaluateEachIteration(assembled)
     best = min(range(len(losses)), key=losses.__getitem__)
     return spark.createDataFrame([(i + 1, float(x), i == best) for i, x in enumerate(losses) if i % every == every - 1 or i == best], "round int, loss double, is_best boolean")
