@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, written
+from .store import extended, in_arrow, written
 from .text import chunks, mix, prefix, ragged, span_hash
 
 LEXICON_WORDS = 50_000
@@ -357,7 +357,7 @@ def frequent_words(docs: DataFrame, path: str, limit: int = LEXICON_WORDS) -> li
     Counts first meet in a histogram of a fixed number of classes; only words from the classes that
     fit below the limit reach the driver, however many tasks or distinct words there are.
     """
-    counts = docs.select("text").mapInArrow(_count(path), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = in_arrow(docs.select("text"), _count(path), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = written(counts.filter("n > 1").withColumn("class", F.floor(32 * F.log2("n")).cast("int")), "words")
     least, total = None, 0
     for r in counts.groupBy("class").count().orderBy(F.desc("class")).collect():
@@ -435,7 +435,7 @@ def encode(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_values:
     vocab = vocabulary(path)
     compiled = compile_lexicon({w: vocab.merge(w) for w in frequent_words(docs, path, words)})
     lexicon = docs.sparkSession.sparkContext.broadcast(compiled)
-    return docs.mapInArrow(_encode(path, lexicon, with_values), extended(docs, ENCODED))
+    return in_arrow(docs, _encode(path, lexicon, with_values), extended(docs, ENCODED))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, packed, unpacked
+from .store import extended, in_arrow, packed, unpacked
 from .text import BYTE_LOWER, chunks, prefix, runs, span_hash, table
 
 #: Bytes of a word: digits, ASCII letters and everything beyond ASCII.
@@ -184,14 +184,11 @@ def _blocks(items: DataFrame, limit: int) -> list[DataFrame]:
     return [items] if n == 1 else [items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k) for k in range(n)]
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
-    """The frame's columns (`text` among them) with n_words, n_hit, item_ids (of the items found) and spans (bytes [start, end)).
+ADDED = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:bigint,end:bigint>>"
 
-    Items are read to the driver only in parts of at most about `max_bytes`; each part makes one
-    automaton, which is broadcast.  With several parts their findings are united row by row: the
-    documents pass through the automata one after another, without a shuffle.
-    """
-    added = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:bigint,end:bigint>>"
+
+def _search(docs: DataFrame, items: DataFrame, window: int, max_bytes: int):
+    """A function over Arrow batches that adds the findings of all automata."""
     parts = _blocks(items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")), max_bytes)
     sc = docs.sparkSession.sparkContext
     models = [sc.broadcast(Automaton([(r.item_id, r.text) for r in part.collect()], window)) for part in parts]
@@ -204,7 +201,17 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_bytes: int
             elif outs:
                 yield _united(outs, batch)
 
-    return docs.mapInArrow(run, extended(docs, added))
+    return run
+
+
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
+    """The frame's columns (`text` among them) with n_words, n_hit, item_ids (of the items found) and spans (bytes [start, end)).
+
+    Items are read to the driver only in parts of at most about `max_bytes`; each part makes one
+    automaton, which is broadcast.  With several parts their findings are united row by row: the
+    documents pass through the automata one after another, without a shuffle.
+    """
+    return in_arrow(docs, _search(docs, items, window, max_bytes), extended(docs, ADDED))
 
 
 def _united(outs: list[pa.Table], batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -232,11 +239,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, ma
     never are shorter than a window, so the default cuts every one).  A document of whose words more
     than `max_coverage` are hit is removed as a whole.  Clean documents pass unchanged.
     """
-    found = hits(packed(docs, "text"), items, window)
+    base = packed(docs, "text")
+    search = _search(base, items, window, MAX_AUTOMATON_BYTES)
 
     def cut(batches):
-        for batch in batches:
+        for batch in search(batches):
             text, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+            n_words, n_hit = batch.column("n_words").to_pylist(), batch.column("n_hit").to_pylist()
             for i, s in enumerate(spans):
                 if s:
                     raw, at, kept = text[i].encode(), 0, []
@@ -246,10 +255,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, ma
                             kept.append(raw[at : x["start"]])
                             at = x["end"]
                     text[i] = b"".join([*kept, raw[at:]]).decode()
-            yield pa.record_batch([batch.column("row"), pa.array(text, pa.string()), pc.greater(batch.column("n_hit"), 0)], names=["row", "text", "cut"])
+            stays = [h <= max_coverage * n for h, n in zip(n_hit, n_words, strict=True)]
+            out = pa.record_batch([batch.column("row"), pa.array(text, pa.string()), pc.greater(batch.column("n_hit"), 0)], names=["row", "text", "cut"])
+            yield out.filter(pa.array(stays, pa.bool_()))
 
-    left = found.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    left = left.mapInArrow(cut, extended(left.select("row", "text"), "cut boolean"))
+    left = in_arrow(base, cut, extended(base, "cut boolean"))
     return unpacked(left, docs, n_chars="if(cut, char_length(text), row.n_chars)")
 
 

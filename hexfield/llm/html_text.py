@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended
+from .store import extended, in_arrow
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -299,7 +299,7 @@ def _extract(column: str):
 
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
     """The frame's columns with the text, its characters and its lines."""
-    return pages.mapInArrow(_extract(column), extended(pages, TEXT))
+    return in_arrow(pages, _extract(column), extended(pages, TEXT))
 
 
 def op10_html_text(spark, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import in_arrow, written
 from .text import BYTE_LOWER, SPACE, chunks, grams, mix, prefix, runs, span_hash
 
 SHINGLE = 5
@@ -112,7 +112,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that link."""
     first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_similar, "a bigint, b bigint")
+    return in_arrow(both.select("a", "b", "text_a", "text_b"), _similar, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     open_blocks = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("block")
     rest = labelled.join(written(open_blocks, "open"), "block").join(classes.select("node", "bitmap"), "node")
     dealt = _cells(rest).select("block", "one", "two", "side", "node", "n", "pivot", "component", "bitmap")
-    across = dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two").mapInArrow(_across, "a bigint, b bigint")
+    across = in_arrow(dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two"), _across, "a bigint, b bigint")
     more = written(_verified(written(across.distinct(), "across"), texts), "more")
     return components(links.union(more)) if more.take(1) else found
 
@@ -244,7 +244,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sketches = written(docs.mapInArrow(_sketch, SKETCH), "sketches")
+    sketches = written(in_arrow(docs, _sketch, SKETCH), "sketches")
     named = sketches.filter("doc_id is not null and n > 0")
     sets = written(named.groupBy("low", "high").agg(F.min("doc_id").alias("node")), "sets")
     firsts = named.join(sets, ["low", "high"]).filter("doc_id = node").dropDuplicates(["low", "high"])

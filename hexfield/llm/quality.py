@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, packed, unpacked
+from .store import extended, in_arrow, packed, unpacked
 from .text import BYTE, SPACE, chunks, grams, mix, per_row, prefix, ragged, runs, span_hash, table
 
 SYMBOL = table(b"#*$%&|<>")
@@ -150,7 +150,7 @@ def _measure(model: str):
 
 def measure(docs: DataFrame, model: str) -> DataFrame:
     """The frame's columns (`text` among them, none named as a measure) with the measures; no shuffle."""
-    return docs.mapInArrow(_measure(model), extended(docs, MEASURES))
+    return in_arrow(docs, _measure(model), extended(docs, MEASURES))
 
 
 def verdict(measures: DataFrame, bands: dict[str, dict] = BANDS, default: dict = DEFAULT_BAND) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, packed, unpacked, written
+from .store import extended, in_arrow, packed, unpacked, written
 from .text import BYTE, chunks, mix, prefix, ragged, runs, span_hash
 
 LENGTH = 400
@@ -102,7 +102,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def parse(docs: DataFrame) -> DataFrame:
     """The phrase occurrences of all documents."""
-    return _keyed(docs).mapInArrow(_parse, PHRASES)
+    return in_arrow(_keyed(docs), _parse, PHRASES)
 
 
 def _slices(batches):
@@ -199,11 +199,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     places = dictionary.join(crowds, "trigger", "left").groupBy(F.col("at.doc_id").alias("p_id"), F.col("at.tag").alias("p_tag")).agg(F.collect_list(entry).alias("places"))
     keyed = _keyed(docs)
     found = keyed.join(places.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(F.col("p_id")) & (keyed["tag"] == F.col("p_tag")))
-    slices = found.select("doc_id", "tag", "text", "places").mapInArrow(_slices, "doc_id bigint, tag int, trigger bigint, phrase bigint, occurs bigint, crowded boolean, start int, n int, data binary")
+    slices = in_arrow(found.select("doc_id", "tag", "text", "places"), _slices, "doc_id bigint, tag int, trigger bigint, phrase bigint, occurs bigint, crowded boolean, start int, n int, data binary")
     slices = written(slices, "phrases")
-    some = slices.filter("not crowded").repartition("trigger").sortWithinPartitions("trigger").mapInArrow(_order, SPANS)
+    some = in_arrow(slices.filter("not crowded").repartition("trigger").sortWithinPartitions("trigger"), _order, SPANS)
 
-    crowded = slices.filter("crowded").mapInArrow(_spread, SUFFIXES)
+    crowded = in_arrow(slices.filter("crowded"), _spread, SUFFIXES)
     again = crowded.groupBy("trigger", "suffix").agg(F.sum("occurs").alias("total")).filter("total > 1")
     many = crowded.filter("occurs = 1").join(again, ["trigger", "suffix"]).select("doc_id", "tag", "start", (F.col("start") + LENGTH).alias("end"))
     return whole.unionByName(twice).unionByName(some).unionByName(many)
@@ -242,7 +242,7 @@ def drop_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     base = packed(docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("tag"), "text")
     joined = base.join(merged.hint("shuffle_hash"), base["doc_id"].eqNullSafe(F.col("s_id")) & (base["tag"] == F.col("s_tag")), "left")
     ready = joined.select("row", "text", F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,end:int>>)")).alias("spans"))
-    return ready.mapInArrow(_cut(with_text), extended(ready, DIGEST))
+    return in_arrow(ready, _cut(with_text), extended(ready, DIGEST))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -50,3 +52,26 @@ def unpacked(df: DataFrame, docs: DataFrame, **new: str) -> DataFrame:
     """The documents' columns from `row` and `text`; those named in `new` come from SQL expressions."""
     old = {c: F.col("text") if c == "text" else F.col("row").getField(c) for c in docs.columns}
     return df.select(*((F.expr(new[c]).cast(docs.schema[c].dataType) if c in new else old[c]).alias(c) for c in docs.columns))
+
+
+#: Rows and bytes of an Arrow batch: texts may be long, and a worker holds whole batches.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def in_arrow(df: DataFrame, function, schema: StructType | str) -> DataFrame:
+    """mapInArrow over batches of bounded size.
+
+    Spark takes the bounds from the session when the plan runs, so they are set there, and only ever
+    lowered.  After its task a worker gives unused Arrow memory back.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = re.match(r"-?\d+", conf.get(key))
+        if not now or not 0 < int(now[0]) <= most:
+            conf.set(key, str(most))
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import table_path
+from .store import in_arrow, table_path
 from .text import chunks
 
 CACHE_SCHEMA = "version string, digest string, n_tokens bigint"
@@ -76,7 +76,7 @@ def count_tokens(docs: DataFrame, model: str, cache_path: str | None = None) ->
     misses = first.join(stored, "digest", "left_anti").hint("shuffle_hash")
     texts = docs.select("doc_id", text.alias("text"), F.sha2(text, 256).alias("key"))
     missing = texts.join(misses, (F.col("key") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
-    missing.select("digest", "text").mapInArrow(_encode(model, version), CACHE_SCHEMA).write.mode("append").parquet(path)
+    in_arrow(missing.select("digest", "text"), _encode(model, version), CACHE_SCHEMA).write.mode("append").parquet(path)
     stored = spark.read.schema(CACHE_SCHEMA).parquet(path).filter(F.col("version") == version)
     return keyed.join(stored.select("digest", "n_tokens"), "digest")
 

@@ -56,20 +56,18 @@ def parse_results(messages: DataFrame) -> DataFrame:
 
 def levels(calls: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """conv_id, call_id, level (0 for calls after no other); absent in cycles and after unknown calls."""
-    nodes = calls.select("conv_id", "call_id", F.size(F.array_distinct("after")).alias("needs"))
-    arcs = calls.select("conv_id", "call_id", F.explode(F.array_distinct("after")).alias("before_id"))
-    nodes, arcs = written(nodes, "nodes"), written(arcs, "arcs")
-    settled = written(nodes.filter("needs = 0").select("conv_id", "call_id", F.lit(0).alias("level")), "level0")
-    newest, done = settled, settled
+    after = calls.select("conv_id", "call_id", F.array_distinct("after").alias("after"))
+    arcs = written(after.select("conv_id", "call_id", F.explode("after").alias("before_id")), "arcs")
+    newest = written(after.filter(F.size("after") == 0).select("conv_id", "call_id", F.lit(0).alias("level")), "level0")
+    done = newest
     for level in range(1, max_rounds):
-        reached = arcs.join(newest.select("conv_id", F.col("call_id").alias("before_id")), ["conv_id", "before_id"]).select("conv_id", "call_id").distinct()
-        met = arcs.join(reached, ["conv_id", "call_id"]).join(done.select("conv_id", F.col("call_id").alias("before_id")), ["conv_id", "before_id"])
-        counts = met.groupBy("conv_id", "call_id").agg(F.count("*").alias("met"))
-        ready = counts.join(nodes, ["conv_id", "call_id"]).filter("met = needs").select("conv_id", "call_id", F.lit(level).alias("level"))
-        newest = written(ready, f"level{level}")
+        settled = newest.select("conv_id", F.col("call_id").alias("before_id"))
+        left = written(arcs.join(settled, ["conv_id", "before_id"], "left_anti"), "arcs")
+        reached = arcs.join(settled, ["conv_id", "before_id"], "left_semi").select("conv_id", "call_id").distinct()
+        newest = written(reached.join(left, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)), f"level{level}")
         if not newest.take(1):
             break
-        done = done.unionByName(newest)
+        arcs, done = left, done.unionByName(newest)
     return done
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended
+from .store import extended, in_arrow
 from .text import BYTE, chunks, per_row, prefix, span_hash, table
 
 SIZES = (3, 4, 5)
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS):
 
 def score(docs: DataFrame, model) -> DataFrame:
     """The frame's columns (`text` among them, none named score) with the score."""
-    return docs.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), extended(docs, "score double"))
+    return in_arrow(docs, _score(docs.sparkSession.sparkContext.broadcast(model)), extended(docs, "score double"))
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
