@@ -16,7 +16,7 @@ CLASS_NAMES = {
 }
 CLASS_GROUPS = {
     "developed": [21, 22, 23, 24], "developed_high": [23, 24], "forest": [41, 42, 43], "agriculture": [81, 82],
-    "shrub_grassland": [52, 71], "wetland": [90, 95], "barren": [31], "water": [11, 12],
+    "shrub_grassland": [52, 71], "wetland": [90, 95], "barren": [31], "water": [11],
 }
 
 
