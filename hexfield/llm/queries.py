@@ -13,5 +13,16 @@ from .token_counts import op3_token_counts
 from .tool_calls import OP5_SQL, op5_tool_calls
 from .toxicity import op2_toxicity
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op5_tool_calls": op5_tool_calls, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op9_near_duplicates": op9_near_duplicates, "op10_html_text": op10_html_text}
+QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_toxicity": op2_toxicity,
+    "op3_token_counts": op3_token_counts,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_tool_calls": op5_tool_calls,
+    "op6_licenses": op6_licenses,
+    "op7_bpe": op7_bpe,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_html_text": op10_html_text,
+}
 ORACLES: dict[str, str] = {"op5_tool_calls": OP5_SQL, "op6_licenses": OP6_SQL}
