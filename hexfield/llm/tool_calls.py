@@ -9,9 +9,9 @@ order, no spaces) with its result.
     {"tool_call_id": ..., "content": ...}                                             a result message
 
 Every join is by conversation and identifier, so a conversation of any length spreads over all tasks.
-The order is found by rounds: a call's level is one more than the greatest level of the calls it
-depends on, and a round settles all calls whose predecessors are settled; there are as many rounds as
-the longest chain has calls.
+A call's level is one more than the greatest level of the calls it depends on.  Chains, in which each
+call depends on one other, are followed by doubling, so a conversation of n turns takes log2(n) rounds;
+only calls with several predecessors take a round for each such call on the longest path.
 
 Defined results: messages that are neither form (null, plain text, broken JSON) are ignored; of calls,
 or results, that repeat an identifier the one of least turn and text counts; a call without a result
@@ -54,21 +54,35 @@ def parse_results(messages: DataFrame) -> DataFrame:
     return parsed.groupBy("conv_id", F.col("r.tool_call_id").alias("call_id")).agg(first.alias("r")).select("conv_id", "call_id", "r.*")
 
 
-def levels(calls: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def levels(calls: DataFrame) -> DataFrame:
     """conv_id, call_id, level (0 for calls after no other); absent in cycles and after unknown calls."""
-    after = calls.select("conv_id", "call_id", F.array_distinct("after").alias("after"))
-    arcs = written(after.select("conv_id", "call_id", F.explode("after").alias("before_id")), "arcs")
-    newest = written(after.filter(F.size("after") == 0).select("conv_id", "call_id", F.lit(0).alias("level")), "level0")
-    done = newest
-    for level in range(1, max_rounds):
-        settled = newest.select("conv_id", F.col("call_id").alias("before_id"))
-        left = written(arcs.join(settled, ["conv_id", "before_id"], "left_anti"), "arcs")
-        reached = arcs.join(settled, ["conv_id", "before_id"], "left_semi").select("conv_id", "call_id").distinct()
-        newest = written(reached.join(left, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)), f"level{level}")
-        if not newest.take(1):
+    key = ["conv_id", "call_id"]
+    after = written(calls.select(*key, F.array_distinct("after").alias("after")), "after")
+    n = after.count()
+    hops = written(after.filter(F.size("after") == 1).select(*key, F.col("after")[0].alias("anchor"), F.lit(1).cast("long").alias("dist")), "hops")
+    while True:  # each round doubles the reach; in a cycle the distance outgrows the number of calls
+        ahead = hops.select("conv_id", F.col("call_id").alias("anchor"), F.col("anchor").alias("next"), F.col("dist").alias("more"))
+        far = hops.join(ahead, ["conv_id", "anchor"], "left").select(*key, F.coalesce("next", "anchor").alias("anchor"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("next").isNotNull().alias("moved"))
+        far = written(far, "hops")
+        hops = far.drop("moved")
+        if not far.filter(F.col("moved") & (F.col("dist") <= n)).take(1):
             break
-        arcs, done = left, done.unionByName(newest)
-    return done
+
+    def with_chains(settled: DataFrame, name: str) -> DataFrame:
+        """Settled calls and those that hang on them by chains."""
+        base = settled.select("conv_id", F.col("call_id").alias("anchor"), F.col("level").alias("base"))
+        hung = hops.join(base, ["conv_id", "anchor"]).select(*key, (F.col("base") + F.col("dist")).alias("level"))
+        return written(settled.unionByName(hung), name)
+
+    newest = done = with_chains(after.filter(F.size("after") == 0).select(*key, F.lit(0).cast("long").alias("level")), "level")
+    arcs = written(after.filter(F.size("after") > 1).select(*key, F.explode("after").alias("before_id")), "arcs")
+    while arcs.take(1) and newest.take(1):
+        marked = arcs.join(done.select("conv_id", F.col("call_id").alias("before_id"), "level"), ["conv_id", "before_id"], "left")
+        sums = marked.groupBy(*key).agg(F.count("*").alias("needs"), F.count("level").alias("met"), F.max("level").alias("top"))
+        newest = with_chains(sums.filter("needs = met").select(*key, (F.col("top") + 1).alias("level")), "level")
+        arcs = written(arcs.join(newest, key, "left_anti"), "arcs")
+        done = done.unionByName(newest)
+    return done.withColumn("level", F.col("level").cast("int"))
 
 
 def problems(name: Column, arguments: Column, schemas: dict[str, dict[str, tuple[str, bool]]] = SCHEMAS) -> Column:
