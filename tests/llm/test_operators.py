@@ -112,6 +112,23 @@ def test_quality_bands(spark):
     assert [r.kept for r in quality.verdict(df).collect()] == [True, False, False, False, True, False]
 
 
+#: Clean prose, the second English passage in unusually long words.
+REAL_PROSE = [
+    ("en", "The city council voted on Tuesday to approve a new budget that includes more money for public schools, road repairs and emergency services. Officials said the spending plan would not require an increase in property taxes, although several members warned that future growth could be slower than expected. Residents who attended the meeting asked why the proposed library had been delayed again, and the mayor promised that construction would begin before the end of the year."),
+    ("en", "Notwithstanding considerable administrative responsibilities, international organisations increasingly acknowledge environmental sustainability, technological infrastructure, educational opportunities and governmental accountability as fundamental requirements. Consequently, interdisciplinary investigations concerning pharmaceutical manufacturing, telecommunications regulation and agricultural productivity demonstrate significant institutional transformation throughout developing countries."),
+    ("de", "Der Stadtrat hat am Dienstag einen neuen Haushalt beschlossen, der mehr Geld für öffentliche Schulen, Straßen und Rettungsdienste vorsieht. Nach Angaben der Verwaltung müssen die Steuern dafür nicht erhöht werden, doch mehrere Mitglieder warnten, dass das Wachstum in den kommenden Jahren langsamer ausfallen könnte als erwartet. Bürger fragten, warum sich der Bau der Bibliothek erneut verzögert habe, und die Bürgermeisterin versprach, dass die Arbeiten noch vor dem Ende des Jahres beginnen."),
+    ("es", "El ayuntamiento aprobó el martes un nuevo presupuesto que incluye más dinero para las escuelas públicas, la reparación de carreteras y los servicios de emergencia. Los responsables dijeron que el plan no exigirá un aumento de los impuestos, aunque varios concejales advirtieron de que el crecimiento podría ser más lento de lo esperado. Los vecinos que asistieron a la reunión preguntaron por qué se había retrasado otra vez la biblioteca, y la alcaldesa prometió que las obras comenzarán antes de que termine el año."),
+    ("fr", "Le conseil municipal a adopté mardi un nouveau budget qui prévoit davantage de moyens pour les écoles publiques, la réparation des routes et les services de secours. Les responsables ont indiqué que ce plan ne demanderait pas de hausse des impôts, mais plusieurs élus ont averti que la croissance pourrait être plus lente que prévu. Les habitants présents à la réunion ont demandé pourquoi la bibliothèque avait encore pris du retard, et la maire a promis que les travaux commenceraient avant la fin de l'année."),
+]
+
+
+def test_quality_keeps_real_prose(spark):
+    got = quality.verdict(quality.measure(spark.createDataFrame(REAL_PROSE, "lang string, text string"), PIECE))
+    assert [r.kept for r in got.collect()] == [True] * len(REAL_PROSE)
+    long = quality.verdict(got.drop("base_failed", "kept").withColumn("n_tokens", F.lit(10**6)))
+    assert [r.kept for r in long.collect()] == [True] * len(REAL_PROSE)
+
+
 def test_quality_keeps_columns(docs, empty):
     wide = clashing(docs)
     assert quality.keep_good(wide, PIECE).columns == wide.columns
