@@ -46,10 +46,10 @@ BOXES = "boxes AS (SELECT n_nationkey AS poly_id, n_name AS poly_name, n_regionk
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A short segment for every order."""
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 10 = 0").selectExpr("o_orderkey AS line_id", "cast((o_orderkey * 7919) % 100000 AS double) AS x1", "cast((o_orderkey * 104729) % 100000 AS double) AS y1", "cast((o_orderkey * 7919) % 100000 + (o_orderkey % 7) * 300 AS double) AS x2", "cast((o_orderkey * 104729) % 100000 + (o_orderkey % 5) * 400 AS double) AS y2", "o_custkey % 4 AS kind")
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS line_id", "cast((o_orderkey * 7919) % 100000 AS double) AS x1", "cast((o_orderkey * 104729) % 100000 AS double) AS y1", "cast((o_orderkey * 7919) % 100000 + (o_orderkey % 7) * 300 AS double) AS x2", "cast((o_orderkey * 104729) % 100000 + (o_orderkey % 5) * 400 AS double) AS y2", "o_custkey % 4 AS kind")
 
 
-SEGMENTS = "segments AS (SELECT o_orderkey AS line_id, CAST((o_orderkey * 7919) % 100000 AS DOUBLE) AS x1, CAST((o_orderkey * 104729) % 100000 AS DOUBLE) AS y1, CAST((o_orderkey * 7919) % 100000 + (o_orderkey % 7) * 300 AS DOUBLE) AS x2, CAST((o_orderkey * 104729) % 100000 + (o_orderkey % 5) * 400 AS DOUBLE) AS y2, o_custkey % 4 AS kind FROM orders WHERE o_orderkey % 10 = 0)"
+SEGMENTS = "segments AS (SELECT o_orderkey AS line_id, CAST((o_orderkey * 7919) % 100000 AS DOUBLE) AS x1, CAST((o_orderkey * 104729) % 100000 AS DOUBLE) AS y1, CAST((o_orderkey * 7919) % 100000 + (o_orderkey % 7) * 300 AS DOUBLE) AS x2, CAST((o_orderkey * 104729) % 100000 + (o_orderkey % 5) * 400 AS DOUBLE) AS y2, o_custkey % 4 AS kind FROM orders)"
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
