@@ -3,8 +3,10 @@
 A text is cut into sentences, each sentence is normalised (ASCII lower case, everything but letters and
 digits to single spaces), known sentences become identifiers, and the text's sequence of identifiers is
 matched against ordered rules: a rule holds when its identifiers occur in its order, with anything in
-between.  All of that happens inside the row, so no group of rows is ever gathered and nothing is
-shuffled; the table of sentences is a literal of fixed size.
+between.  Texts are cut in two ways, line ends ending sentences (notices on lines of their own) and only
+blank lines ending them (hard-wrapped texts); a rule holds when it does in either sequence, and the
+sentences counted and listed are those of the first.  All of that happens inside the row, so no group of
+rows is ever gathered and nothing is shuffled; the table of sentences is a literal of fixed size.
 
 Defined results: null and empty texts have no sentences and no licences; a sentence that occurs twice
 is listed twice; repeated rows are each answered; a rule named again by another form is listed once;
@@ -13,6 +15,8 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +66,7 @@ RULES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A sentence ends at . ! or ? before white space or the text's end, and at a line's end.
 SENTENCE_END = "[.!?]+([ \\t\\r\\n]|\\z)|\\n"
-#: A wrapped text keeps its sentences over single line ends when asked to.
+#: A wrapped text keeps its sentences over single line ends.
 WRAPPED_END = "[.!?]+([ \\t\\r\\n]|\\z)|\\n[ \\t\\r]*\\n"
 
 
@@ -85,18 +89,18 @@ def _pattern(parts: list[str]) -> str:
     return "," + ",(.*,)?".join(parts) + ","
 
 
-def licences(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
-    """The names of the rules that hold, in the rules' order."""
-    sequence = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
-    names = [F.when(sequence.rlike(_pattern(parts)), F.lit(name)) for name, parts in rules]
-    return F.array_distinct(F.array_compact(F.array(*names)))
+def licences(*cuts: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
+    """The names of the rules that hold in any of the sequences, in the rules' order."""
+    sequences = [F.concat(F.lit(","), F.array_join(ids, ","), F.lit(",")) for ids in cuts]
+    holds = lambda parts: reduce(Column.__or__, (s.rlike(_pattern(parts)) for s in sequences))
+    return F.array_distinct(F.array_compact(F.array(*(F.when(holds(parts), F.lit(name)) for name, parts in rules))))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id with the number of sentences, the identifiers found and the licences named."""
-    cut = docs.select("doc_id", sentences(F.col("text")).alias("sentences"))
-    found = cut.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), identifiers(F.col("sentences")).alias("ids"))
-    return found.select("doc_id", "n_sentences", F.size("ids").cast("long").alias("n_known"), F.array_join("ids", ",").alias("sentence_ids"), F.array_join(licences(F.col("ids")), ",").alias("licenses"))
+    cut = docs.select("doc_id", sentences(F.col("text")).alias("sentences"), identifiers(sentences(F.col("text"), True)).alias("wrapped"))
+    found = cut.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), identifiers(F.col("sentences")).alias("ids"), "wrapped")
+    return found.select("doc_id", "n_sentences", F.size("ids").cast("long").alias("n_known"), F.array_join("ids", ",").alias("sentence_ids"), F.array_join(licences(F.col("ids"), F.col("wrapped")), ",").alias("licenses"))
 
 
 def _sql() -> str:
@@ -106,16 +110,17 @@ def _sql() -> str:
     order = " ".join(f"WHEN {quoted(n)} THEN {i}" for i, n in reversed(list(enumerate(dict.fromkeys(n for n, _ in RULES)))))
     return f"""
 WITH known(sentence, id) AS (VALUES {known}),
-marked AS (SELECT doc_id, regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SENTENCE_END}', '|', 'g') AS t FROM documents),
-plain AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[^a-z0-9|]+', ' ', 'g'), ' ?\\|+ ?', '|', 'g') AS t FROM marked),
-parts AS (SELECT doc_id, unnest(string_split(t, '|')) AS s, generate_subscripts(string_split(t, '|'), 1) AS k FROM plain),
-full_parts AS (SELECT doc_id, trim(s) AS s, k FROM parts WHERE trim(s) <> ''),
-counts AS (SELECT doc_id, count(*) AS n FROM full_parts GROUP BY doc_id),
-found AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY k) AS ids FROM full_parts JOIN known ON s = sentence GROUP BY doc_id),
+lower_case AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+marked AS (SELECT doc_id, false AS wrapped, regexp_replace(t, '{SENTENCE_END}', '|', 'g') AS t FROM lower_case UNION ALL SELECT doc_id, true, regexp_replace(t, '{WRAPPED_END}', '|', 'g') FROM lower_case),
+plain AS (SELECT doc_id, wrapped, regexp_replace(regexp_replace(t, '[^a-z0-9|]+', ' ', 'g'), ' ?\\|+ ?', '|', 'g') AS t FROM marked),
+parts AS (SELECT doc_id, wrapped, unnest(string_split(t, '|')) AS s, generate_subscripts(string_split(t, '|'), 1) AS k FROM plain),
+full_parts AS (SELECT doc_id, wrapped, trim(s) AS s, k FROM parts WHERE trim(s) <> ''),
+counts AS (SELECT doc_id, count(*) AS n FROM full_parts WHERE NOT wrapped GROUP BY doc_id),
+found AS (SELECT doc_id, wrapped, count(*) AS n, string_agg(id, ',' ORDER BY k) AS ids FROM full_parts JOIN known ON s = sentence GROUP BY doc_id, wrapped),
 named AS (SELECT doc_id, unnest([{names}]) AS name FROM (SELECT doc_id, ',' || ids || ',' AS seq FROM found)),
 listed AS (SELECT doc_id, string_agg(name, ',' ORDER BY CASE name {order} END) AS licenses FROM (SELECT DISTINCT doc_id, name FROM named WHERE name IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_sentences, coalesce(f.n, 0)::BIGINT AS n_known, coalesce(f.ids, '') AS sentence_ids, coalesce(l.licenses, '') AS licenses
-FROM documents d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id
+FROM documents d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id AND NOT f.wrapped LEFT JOIN listed l ON d.doc_id = l.doc_id
 """
 
 

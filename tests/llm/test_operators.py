@@ -336,6 +336,55 @@ def test_tool_calls(spark):
     assert tool_calls.link_calls(df.limit(0)).count() == 0
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+""",
+    "BSD-2-Clause": """Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer.
+
+Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+""",
+}
+
+
+def test_licences_in_wrapped_texts(spark):
+    rows = [(n, t.replace("\n", end)) for n, t in WRAPPED.items() for end in ("\n", "\r\n")] + [("MIT", "Some title\nReleased under the MIT License\nmore")]
+    got = {(r.doc_id, r.licenses) for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {(n, n) for n in WRAPPED}
+
+
+def test_licences_in_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    documents = pd.DataFrame([*WRAPPED.items(), ("none", "A line.\nAnother"), ("null", None), ("notice", "x\nReleased under the MIT License\ny")], columns=["doc_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", documents)
+    got = licenses.scan(spark.createDataFrame([tuple(r) for r in documents.itertuples(index=False)], "doc_id string, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(licenses.OP6_SQL).fetchall())
+
+
 def test_licences(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions.\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
     rows = [(1, "Hi! Released under the MIT License."), (2, mit), (3, "\n".join(reversed(mit.split("\n")))), (4, None), (5, ""), (6, "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License.\nReleased under the MIT License."), (7, "|a|b.c d.")]
