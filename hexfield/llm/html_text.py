@@ -3,9 +3,11 @@
 A tree builder with implied tags (a paragraph ends where a block begins, an item where the next one
 begins, cells and rows likewise) takes the markup apart; visibility rules leave out what a reader does
 not see (head, scripts, styles, templates, `hidden`, `display:none` or `visibility:hidden`, inline or
-by a plain tag, class or id rule of the page's own style sheet).  All other text is emitted: blocks on
+by a plain tag, class or id rule of the page's own style sheet; rules count that hold on every screen,
+not those for print, for some widths or under other conditions).  All other text is emitted: blocks on
 lines of their own, a blank line around paragraphs and headings, list items with bullets or numbers
-and their depth's indent, preformatted text as it stands, table cells in aligned columns.
+and their depth's indent, preformatted text as it stands, table cells in aligned columns, after what
+else stands between a table's rows and cells.
 
 Pages are independent rows, so the job is one Arrow pass without a shuffle.  Defined results: null
 and empty markup render to the empty text; unclosed and stray tags are repaired as browsers do for the
@@ -26,7 +28,10 @@ from .store import extended, in_arrow
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-STYLE_SHEET = re.compile(r"<style\b[^>]*>(.*?)</style", re.I | re.S)
+STYLE_SHEET = re.compile(r"<style\b([^>]*)>(.*?)</style", re.I | re.S)
+STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+AT_RULE = re.compile(r"@([\w-]+)(.*)", re.S)
+ON_SCREEN = frozenset(["", "all", "screen", "only all", "only screen", "not print", "not speech"])
 SELECTOR = re.compile(r"[.#]?[\w-]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WHITE = re.compile(r"[ \t\n\f\r]+")
@@ -72,14 +77,32 @@ def _hidden(tag: str, attributes: dict[str, str], rules: set[str]) -> bool:
     return bool(rules) and not rules.isdisjoint([tag, "#" + attributes.get("id", ""), *("." + c for c in attributes.get("class", "").split())])
 
 
+def _on_screen(media: str) -> bool:
+    """Whether a list of media queries holds on every screen."""
+    return any(" ".join(q.lower().split()) in ON_SCREEN for q in media.split(","))
+
+
 def _hiding(html: str) -> set[str]:
-    """Plain selectors of the page's style sheets that hide what they select."""
+    """Plain selectors of the page's style sheets that hide what they select on the screen."""
     found: set[str] = set()
-    for sheet in STYLE_SHEET.findall(html):
-        for rule in sheet.split("}"):
-            selectors, _, body = rule.partition("{")
+    for raw, sheet in STYLE_SHEET.findall(html):
+        if not _on_screen(_attributes(raw).get("media", "")):
+            continue
+        parts = re.split("([{}])", STYLE_COMMENT.sub(" ", sheet))
+        blocks: list[tuple[bool, set[str]]] = [(True, set())]  # whether rules inside count, and the selectors
+        for text, brace in zip(parts[::2], [*parts[1::2], "}"], strict=True):
+            body, _, head = text.rpartition(";") if brace == "{" else (text, "", "")
             if HIDDEN_STYLE.search(body):
-                found |= {s.strip() for s in selectors.split(",") if SELECTOR.fullmatch(s.strip())}
+                found |= blocks[-1][1]
+            if brace == "{":
+                inside = blocks[-1][0]
+                if m := AT_RULE.fullmatch(head.strip()):
+                    name = m[1].lower()
+                    blocks.append((inside and (name == "layer" or (name == "media" and _on_screen(m[2]))), set()))
+                else:
+                    blocks.append((False, {x.strip() for x in head.split(",") if inside and SELECTOR.fullmatch(x.strip())}))
+            elif len(blocks) > 1:
+                blocks.pop()
     return found
 
 
@@ -176,21 +199,58 @@ class Lines:
         return "\n".join(self.lines)
 
 
-def _rows(table: Node) -> list[list[Node]]:
-    """The cells of a table's own rows."""
+def _wrappers(table: Node) -> set[int]:
+    """The ids of the elements between a table and its own rows and cells."""
+    found: set[int] = set()
+    path: list[tuple[Node, int]] = [(table, 0)]
+    while path:
+        x, i = path.pop()
+        if i == len(x.children):
+            continue
+        path.append((x, i + 1))
+        c = x.children[i]
+        if isinstance(c, str) or c.unseen or c.tag in ("table", "caption"):
+            continue
+        if c.tag in ("tr", "td", "th"):
+            for w, _ in reversed(path):
+                if id(w) in found:
+                    break
+                found.add(id(w))
+        if c.tag not in ("td", "th"):
+            path.append((c, 0))
+    return found
+
+
+def _parts(table: Node) -> tuple[list[list[Node]], list[Node], list[Node | str]]:
+    """The cells of a table's own rows, its captions, and what stands between them."""
+    wrappers = _wrappers(table)
     rows: list[list[Node]] = []
-    stack = list(reversed(table.children))
+    captions: list[Node] = []
+    stray: list[Node | str] = []
+    stack: list[tuple[Node | str, list[Node] | None]] = [(c, None) for c in reversed(table.children)]
     while stack:
-        x = stack.pop()
-        if isinstance(x, str) or x.unseen:
+        x, row = stack.pop()
+        if isinstance(x, str):
+            stray.append(x)
+        elif x.unseen:
             continue
-        if x.tag == "tr":
-            rows.append([c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.unseen])
-        elif x.tag in ("thead", "tbody", "tfoot"):
-            stack += reversed(x.children)
         elif x.tag in ("td", "th"):
-            rows.append([x])
-    return [r for r in rows if r]
+            stray.append(" ")
+            if row is None:
+                rows.append([x])
+            else:
+                row.append(x)
+        elif x.tag == "caption":
+            captions.append(x)
+        elif x.tag in ("tr", "thead", "tbody", "tfoot") or id(x) in wrappers:
+            stray.append(" ")
+            if x.tag == "tr":
+                row = []
+                rows.append(row)
+            stack += [(" ", row), *((c, row) for c in reversed(x.children))]
+        else:
+            stray.append(x)
+    return [r for r in rows if r], captions, stray if any(isinstance(c, Node) or c.strip() for c in stray) else []
 
 
 def _align(rows: list[list[str]]) -> list[str]:
@@ -237,6 +297,18 @@ def render(root: Node) -> str:
             out.end(x.tag in SPACED and not (x.tag in ("ul", "ol") and state[1] > 1))
             if state[0] is not None:
                 out.indent, out.mark = state[0], ""
+        elif what == "rows":
+            rows, captions = state
+            out.end(True)
+            for c in captions:
+                if caption := render(Node("span", children=c.children)):
+                    out.put(caption.split("\n"))
+            tables.append((out, [[] for _ in rows]))
+            work.append(("table", x))
+            for i in range(len(rows) - 1, -1, -1):
+                for c in reversed(rows[i]):
+                    work += [("cell", c, i), ("visit", Node("span", children=c.children), 0, False)]
+            out = Lines()
         elif what == "cell":
             tables[-1][1][state[0]].append(out.text().strip("\n"))
             out = Lines()
@@ -249,17 +321,12 @@ def render(root: Node) -> str:
             depth, pre = state
             if x.tag == "br":
                 out.open += "\n"
-            elif x.tag == "table" and (rows := _rows(x)):
-                out.end(True)
-                for c in x.children:
-                    if isinstance(c, Node) and c.tag == "caption" and not c.unseen and (caption := render(Node("span", children=c.children))):
-                        out.put(caption.split("\n"))
-                tables.append((out, [[] for _ in rows]))
-                work.append(("table", x))
-                for i in range(len(rows) - 1, -1, -1):
-                    for c in reversed(rows[i]):
-                        work += [("cell", c, i), ("visit", Node("span", children=c.children), 0, False)]
-                out = Lines()
+            elif x.tag == "table" and (parts := _parts(x))[0]:
+                rows, captions, stray = parts
+                out.end(not stray)
+                work.append(("rows", x, rows, captions))
+                if stray:
+                    work.append(("visit", Node("span", children=stray), depth, pre))
             else:
                 indent = None
                 if x.tag in ("ul", "ol"):

@@ -336,6 +336,21 @@ def test_tool_calls(spark):
     assert tool_calls.link_calls(df.limit(0)).count() == 0
 
 
+def test_html_table_strays():
+    page = html_text.page_text
+    assert page("a<table>text<tr><td>1</td><td>2</td></tr></table>b") == "a\ntext\n\n1  2\n\nb"
+    assert page("<table><tr><div>foreign</div><td>1</td>x</tr>y<tbody>z<tr><td>2</td></tr></table>") == "foreign\nx y z\n\n1\n2"
+    assert page("<table><form><tr><td>1</td></tr></form><tr><td>2</td></tr></table>") == "1\n2"
+    assert page("<table><form>f<div><tr><form><td>1</td><td>2</td></form></tr></div></form></table>") == "f\n\n1  2"
+    assert page("<table>\n <caption>c</caption>\n <form hidden><tr><td>1</td></tr></form> <tr><td>2</td> </tr></table>") == "c\n2"
+    assert page("<table>" + "<div>" * 20000 + "<tr><td>1</td></tr>" + "</div>" * 20000 + "</table>") == "1"
+
+
+@pytest.mark.parametrize("sheet,seen", [("<style>@media print{.a{color:red}.nav{display:none}}</style>", True), ("<style media=print>.nav{display:none}</style>", True), ("<style>@media (max-width:9px){p{color:red}.nav{display:none}} .b{display:none}</style>", True), ("<style>@media screen{p{color:red}.nav{display:none}}</style>", False), ("<style>@media print{.a{x:y}} .nav{display:none}</style>", False), ("<style media='screen, print'>/* } */ @import 'x'; .b, .nav {color:red; display:none</style>", False)])
+def test_html_media(sheet, seen):
+    assert html_text.page_text(f"{sheet}<p class=nav>menu</p><p>text</p>") == ("menu\n\ntext" if seen else "text")
+
+
 WRAPPED = {
     "MIT": """MIT License
 
