@@ -75,9 +75,9 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 
 def chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of whole rows with their text as UTF-8 bytes and row offsets; null counts as empty."""
+    """Slices of whole rows with their text (or binary column) as bytes and row offsets; null counts as empty."""
     for batch in batches:
-        text = pc.fill_null(batch.column(column), "").cast(pa.large_string())
+        text = pc.fill_null(batch.column(column).cast(pa.large_binary()), b"")
         if not len(text):
             continue
         offs = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]

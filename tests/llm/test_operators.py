@@ -67,10 +67,48 @@ def test_repeats(docs, awkward):
     assert sum(w[1] for w in want) > 0
 
 
-def test_repeats_in_crowded_blocks(docs, awkward, monkeypatch):
-    monkeypatch.setattr(repeats, "MAX_BLOCK", 1)
-    got = by_id(repeats.drop_repeats(docs.select("doc_id", "text"), with_text=False).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
-    assert [tuple(got[i])[1:] for i in range(len(awkward))] == brute.repeats(awkward, repeats.LENGTH)
+def digests(df):
+    got = sorted(df.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    return [tuple(r)[1:] for r in got]
+
+
+def test_repeat_digests(docs, awkward):
+    assert digests(repeats.repeat_digests(docs)) == brute.repeats(awkward, repeats.LENGTH)
+
+
+@pytest.fixture(scope="session")
+def contexts() -> list[str]:
+    """A passage in different surroundings, parts of it, and near copies: many phrases share a trigger."""
+    rng = random.Random(11)
+    passage, texts = prose(rng, 110), []
+    for i in range(60):
+        cut = passage[rng.randrange(80) : len(passage) - rng.randrange(80)] if i % 2 else passage
+        texts.append(prose(rng, rng.randint(0, 40)) + cut + prose(rng, rng.randint(0, 40)))
+    for _ in range(10):
+        k = rng.randrange(len(passage))
+        texts.append(passage[:k] + "#" + passage[k:])
+    return texts
+
+
+def test_repeats_with_many_phrases_under_a_trigger(spark, contexts, monkeypatch):
+    df = spark.createDataFrame(list(enumerate(contexts)), "doc_id long, text string")
+    want = brute.repeats(contexts, repeats.LENGTH)
+    assert digests(repeats.repeat_digests(df)) == want
+    # the order of the suffixes decides: without its refinement spans go missing
+    monkeypatch.setattr(repeats, "_refined", lambda dictionary, length: [])
+    assert sum(x[1] for x in digests(repeats.repeat_digests(df))) < sum(w[1] for w in want)
+
+
+def test_passages(spark):
+    rng = random.Random(5)
+    passage, short = " ".join(prose(rng, 52).split()[:52]), " ".join(prose(rng, 30).split()[:30])
+    own = [prose(rng, 80) for _ in range(4)]
+    texts = [own[0] + " " + passage + " " + own[1], passage + " " + own[2], own[3] + " " + short, short]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = by_id(repeats.repeat_digests(df))
+    assert [rows[i].n_passages for i in range(4)] == [1, 1, 0, 0] and 51 <= rows[0].passage_words <= 54
+    out = by_id(repeats.without_passages(df))
+    assert out[0].text.startswith(own[0]) and passage[5:-5] not in out[0].text and out[2].text == texts[2] and out[3].text == short
 
 
 def test_repeats_of_rows_with_the_same_or_no_id(spark):
@@ -81,9 +119,9 @@ def test_repeats_of_rows_with_the_same_or_no_id(spark):
     assert got == [(0, n, n + 4), (1, n, n), (1, n, n), (2, 0, 0), (2, 0, 5)]
 
 
-def test_without_repeats_keeps_columns(docs):
+def test_without_passages_keeps_columns(docs):
     wide = clashing(docs)
-    out = repeats.without_repeats(wide)
+    out = repeats.without_passages(wide)
     assert out.columns == wide.columns and out.count() == wide.count()
     rows = by_id(out)
     assert rows[0].text is None and rows[10].text == "" and rows[10].n_chars == 0 and rows[3].trigger == "mine"
@@ -436,7 +474,7 @@ def test_html_query(spark, sf):
 
 
 def test_empty_tables(empty, spark):
-    assert repeats.without_repeats(empty).count() == 0
+    assert repeats.without_passages(empty).count() == 0
     assert near_duplicates.one_of_each(empty).count() == 0
     assert token_counts.count_tokens(empty, PIECE).count() == 0
     assert bpe.digests(empty, WORD).count() == 0
