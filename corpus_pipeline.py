@@ -8,8 +8,9 @@ predecessor kept; those it leaves alone pass unchanged.
 * quality: documents that the quality rules reject go.
 * near_duplicates: of each group of linked documents the one of least doc_id stays; rows without a
   doc_id stay.
-* repeats: bytes under a 400-byte string that starts anywhere else too are cut from the text; rows
-  stay, even if their text becomes empty, and n_chars is brought up to date.
+* repeats: passages that occur anywhere else too (runs of repeated 240-byte strings with 45 words or
+  more, so every repeated passage of over 50 words of usual length) are cut from the text, wherever
+  they stand; rows stay, even if their text becomes empty, and n_chars is brought up to date.
 * decontamination: benchmark spans are cut from the text; a document of whose words more than half
   are hit goes as a whole.
 * tokens: doc_id with n_tokens, ids_sha256 and decoded_sha256 of every document left.
@@ -41,7 +42,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup."""
-    return repeats.without_repeats(docs)
+    return repeats.without_passages(docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
