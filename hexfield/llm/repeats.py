@@ -20,8 +20,8 @@ A phrase makes a few rows at each step, however many phrases share its trigger,
 is one that is combined before the shuffle: there is no block that a task must hold.  Suffixes are
 never written out one by one, and no order beyond `length` bytes is made.
 
-Names are 64-bit fingerprints, compared only under the same 64-bit trigger (and, for wholes, under
-the same core); bytes are not compared again.
+Names are 64-bit fingerprints: phrases are compared under the same 64-bit trigger, wholes under the
+same 64-bit core; bytes are not compared again.
 
 Defined results: null counts as an empty text; texts below `length` bytes have no windows; rows that
 repeat both id and text are copies of each other; `doc_id` may be null; a window covers its bytes
@@ -31,14 +31,15 @@ even where its occurrences overlap.  Extra columns are carried and cannot clash.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, in_arrow, packed, unpacked, written
-from .text import BYTE, SPACE, chunks, prefix, ragged, runs, span_hash
+from .store import discard, extended, in_arrow, packed, unpacked, written
+from .text import BYTE, SPACE, chunks, mix, prefix, ragged, runs, span_hash
 
 LENGTH = 400
 TRIGGER = 32
@@ -50,7 +51,7 @@ PASSAGE_WORDS = 45
 STEPS = (64, 8, 1)
 
 KEY = ["doc_id", "tag", "base"]
-PHRASES = "trigger bigint, phrase bigint, doc_id bigint, tag bigint, base int, start int, o int, n int, times int"
+PHRASES = "trigger bigint, phrase bigint, doc_id bigint, tag int, base int, start int, o int, n int, times int"
 HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
@@ -105,10 +106,10 @@ def _parse(length: int):
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows known by id and a hash of the text: ids alone may repeat."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tag"), F.lit(0).alias("base"), "text")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("tag"), F.lit(0).alias("base"), "text")
 
 
-DICTIONARY = "doc_id bigint, tag bigint, trigger bigint, phrase bigint, occurs bigint, at int, o int, n int, data binary"
+DICTIONARY = "doc_id bigint, tag int, trigger bigint, phrase bigint, occurs bigint, at int, o int, n int, data binary"
 
 
 def _slices(length: int):
@@ -130,8 +131,7 @@ def _slices(length: int):
     return run
 
 
-RANGES = "trigger bigint, k int, core bigint, l int, h int, whole bigint, phrase bigint, occurs bigint, doc_id bigint, tag bigint, at int"
-RANGE = ["trigger", "k", "core", "l", "h", "whole"]
+RANGES = "core bigint, whole bigint, trigger bigint, phrase bigint, k int, l int, h int, occurs bigint, doc_id bigint, tag int, at int"
 
 
 def _ranges(length: int, step: int, parent: int | None):
@@ -159,12 +159,13 @@ def _ranges(length: int, step: int, parent: int | None):
             row, occurs = np.repeat(row, count), np.repeat(occurs, count)
             least, most = np.maximum(k * step, low[row]), np.minimum(k * step + step - 1, high[row])
             sums, origin = prefix(BYTE[buf]), offs[row] + high[row]
-            core = span_hash(sums, origin - k * step, origin - k * step - step + 1 + length)
-            whole = span_hash(sums, origin - most, origin - least + length)
+            under = mix(rows.column("trigger").to_numpy().view(np.uint64)[row] + k.astype(np.uint64))
+            core = mix(span_hash(sums, origin - k * step, origin - k * step - step + 1 + length) ^ under)
+            whole = mix(span_hash(sums, origin - most, origin - least + length) + (most * 1024 + least).astype(np.uint64))
             take = pa.array(row)
             col = {c: rows.column(c).take(take) for c in ("trigger", "phrase", "doc_id", "tag", "at")}
             k, least, most = (pa.array(x.astype(np.int32)) for x in (k, least, most))
-            yield pa.record_batch([col["trigger"], k, pa.array(core.view(np.int64)), least, most, pa.array(whole.view(np.int64)), col["phrase"], pa.array(occurs), col["doc_id"], col["tag"], col["at"]], names=_names(RANGES))
+            yield pa.record_batch([pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), col["trigger"], col["phrase"], k, least, most, pa.array(occurs), col["doc_id"], col["tag"], col["at"]], names=_names(RANGES))
 
     return run
 
@@ -175,24 +176,27 @@ def _refined(dictionary: DataFrame, length: int) -> list[DataFrame]:
     todo, parent = dictionary, None
     for step in STEPS:
         ranges = written(in_arrow(todo, _ranges(length, step, parent), RANGES), "ranges")
-        wholes = written(ranges.groupBy(*RANGE).agg(F.sum("occurs").alias("total"), F.min("phrase").alias("first")), "wholes")
-        again = ranges.filter("occurs = 1").join(wholes.filter("total > 1").select(*RANGE), RANGE)
-        found.append(again.select("doc_id", "tag", (F.col("at") - F.col("h")).alias("start"), (F.col("at") - F.col("l") + length).alias("end")))
+        wholes = ranges.groupBy("core", "whole").agg(F.sum("occurs").alias("total"), *(F.min(c).alias(c) for c in ("trigger", "phrase", "k")))
+        wholes = written(wholes, "wholes")
+        again = ranges.filter("occurs = 1").join(wholes.filter("total > 1").select("core", "whole"), ["core", "whole"])
+        found.append(written(again.select("doc_id", "tag", (F.col("at") - F.col("h")).alias("start"), (F.col("at") - F.col("l") + length).alias("end")), "again"))
         if step > 1:
-            cores = wholes.groupBy("trigger", "k", "core").agg(F.count("*").alias("wholes"), F.min("total").alias("least")).filter("wholes > 1 and least = 1")
-            shared = wholes.join(cores.select("trigger", "k", "core"), ["trigger", "k", "core"])
-            open_ = shared.groupBy("trigger", F.col("first").alias("phrase")).agg(F.collect_list(F.struct("k", "total")).alias("open"))
+            cores = wholes.groupBy("core").agg(F.count("*").alias("wholes"), F.min("total").alias("least")).filter("wholes > 1 and least = 1")
+            shared = wholes.join(cores.select("core"), "core")
+            open_ = written(shared.groupBy("trigger", "phrase").agg(F.collect_list(F.struct("k", "total")).alias("open")), "open")
             todo, parent = dictionary.join(open_.hint("shuffle_hash"), ["trigger", "phrase"]), step
+        discard(ranges, wholes)
     return found
 
 
 def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, tag and the spans [start, end) of bytes under repeated windows; they may overlap.
+    """s_id, s_tag and `found`, the spans [start, end) of a document's bytes under repeated windows;
+    they may overlap.  Documents without any are absent; copies of a row have the same ones.
 
     `keyed` has doc_id, tag, base and text; a text may be a part of a document from byte `base` on,
     and the spans count from the document's start.
     """
-    occurrences = written(in_arrow(keyed, _parse(length), PHRASES), "occurrences")
+    occurrences = in_arrow(keyed, _parse(length), PHRASES)
     shared = written(occurrences.groupBy("trigger").agg(F.sum("times").alias("of"), F.min("phrase").alias("low"), F.max("phrase").alias("high")).filter("of > 1"), "triggers")
     met = written(occurrences.join(shared, "trigger").select(*occurrences.columns, (F.col("low") == F.col("high")).alias("alike")), "parse")
     span = ["doc_id", "tag", "start", (F.col("start") + F.col("n") * F.col("times") - 1 + length).alias("end")]
@@ -207,21 +211,17 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     here = keyed["doc_id"].eqNullSafe(F.col("p_doc_id")) & (keyed["tag"] == F.col("p_tag")) & (keyed["base"] == F.col("p_base"))
     held = keyed.join(places.hint("shuffle_hash"), here).select(*KEY, "text", "places")
     dictionary = written(in_arrow(held, _slices(length), DICTIONARY), "dictionary")
-    out = whole.unionByName(twice)
-    for more in _refined(dictionary, length):
-        out = out.unionByName(more)
-    return out
+    refined = _refined(dictionary, length)
+    spans = reduce(DataFrame.unionByName, [whole, twice, *refined])
+    lists = spans.groupBy(F.col("doc_id").alias("s_id"), F.col("tag").alias("s_tag")).agg(F.collect_set(F.struct("start", "end")).alias("found"))
+    lists = written(lists, "spans")
+    discard(shared, met, entries, dictionary, *refined)
+    return lists
 
 
-def _spans_by_document(spans: DataFrame, name: str) -> DataFrame:
-    """The distinct spans of a document as one list; copies of a row have the same ones."""
-    return spans.groupBy(F.col("doc_id").alias("s_id"), F.col("tag").alias("s_tag")).agg(F.collect_set(F.struct("start", "end")).alias(name)).hint("shuffle_hash")
-
-
-def _with_spans(base: DataFrame, spans: DataFrame, name: str = "spans") -> DataFrame:
+def _with_spans(base: DataFrame, lists: DataFrame, name: str = "spans") -> DataFrame:
     """`base` (with doc_id, tag) and the list of its spans, empty where it has none."""
-    lists = _spans_by_document(spans, "found")
-    joined = base.join(lists, base["doc_id"].eqNullSafe(F.col("s_id")) & (base["tag"] == F.col("s_tag")), "left")
+    joined = base.join(lists.hint("shuffle_hash"), base["doc_id"].eqNullSafe(F.col("s_id")) & (base["tag"] == F.col("s_tag")), "left")
     return joined.select(*base.columns, F.coalesce("found", F.expr("cast(array() as array<struct<start:int,end:int>>)")).alias(name))
 
 
@@ -275,7 +275,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, min_words: int = 0, with
 
     Bytes under a repeated window of `length` bytes go where they make runs of `min_words` words or more.
     """
-    base = packed(docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
+    base = packed(docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("tag"), "text")
     ready = _with_spans(base, repeated_spans(_keyed(docs), length)).drop("doc_id", "tag")
     return in_arrow(ready, _cut(with_text, min_words), extended(ready, DIGEST))
 
@@ -288,7 +288,7 @@ def without_passages(docs: DataFrame, length: int = PASSAGE_BYTES, min_words: in
     return unpacked(drop_repeats(docs, length, min_words), docs, text=kept, n_chars="if(text is null or n_removed = 0, row.n_chars, char_length(kept))")
 
 
-COVERED = "doc_id bigint, tag bigint, n_bytes bigint, n_passages bigint, passage_words bigint, kept_sha256 string, parts array<struct<start:int,end:int>>, text string"
+COVERED = "doc_id bigint, tag int, n_bytes bigint, n_passages bigint, passage_words bigint, kept_sha256 string, parts array<struct<start:int,end:int>>, text string"
 
 
 def _cover(length: int, min_words: int):
@@ -331,12 +331,15 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH, passage_bytes: int = P
     only inside the runs found.
     """
     keyed = _keyed(docs)
-    near = _with_spans(keyed.drop("base"), repeated_spans(keyed, passage_bytes))
-    covered = in_arrow(near, _cover(length, passage_words), COVERED).withColumn("text", F.when(F.size("parts") > 0, F.col("text")))
-    covered = written(covered, "covered")
+    lists = repeated_spans(keyed, passage_bytes)
+    covered = in_arrow(_with_spans(keyed.drop("base"), lists), _cover(length, passage_words), COVERED)
+    covered = written(covered.withColumn("text", F.when(F.size("parts") > 0, F.col("text"))), "covered")
+    discard(lists)
     held = covered.filter(F.size("parts") > 0)
-    fragments = written(in_arrow(held.select("doc_id", "tag", "text", "parts"), _fragments, "doc_id bigint, tag bigint, base int, text binary"), "fragments")
-    again = _with_spans(held.select("doc_id", "tag", "text", "n_passages", "passage_words"), repeated_spans(fragments, length))
+    fragments = written(in_arrow(held.select("doc_id", "tag", "text", "parts"), _fragments, "doc_id bigint, tag int, base int, text binary"), "fragments")
+    lists = repeated_spans(fragments, length)
+    discard(fragments)
+    again = _with_spans(held.select("doc_id", "tag", "text", "n_passages", "passage_words"), lists)
     cut = in_arrow(again, _cut(False, 0), extended(again, DIGEST))
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_words"]
     plain = covered.filter(F.size("parts") == 0).withColumns({"n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")})

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import weakref
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +29,26 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/hexfield/{uuid.uuid4().hex}/{name}"
 
 
+#: The folders of the tables that `written` made, as long as their frames live.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: a lost executor repeats nothing before it."""
     path = table_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `written` once everything that reads them has been written itself."""
+    for df in tables:
+        if path := _FOLDERS.pop(df, None):
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder.getParent(), True)
 
 
 def extended(df: DataFrame, added: str) -> StructType:
