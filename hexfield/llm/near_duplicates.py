@@ -3,20 +3,24 @@
 Every document becomes the set of its distinct `SHINGLE`-word shingles; two documents link when the
 sets' Jaccard similarity is `PERCENT` % or more.  Equal sets are one class from the start.
 
-Classes meet in blocks.  A block holds the classes that agree on `ROWS` minima of their sets under
-random orders, and each class lies in `BANDS` blocks.  A pair at the threshold shares no block with
-probability (1 - 0.75**3)**48 < 4e-12, a more similar one more rarely still; that, and 64-bit shingle
-hashes, is all that is left to chance.  No block, bucket or partner count is capped.
-
-1. In each block every class is compared exactly with the block's least one.  That is linear in the
-   block's size, and it is what holds large groups of copies together.
-2. Connected components of these links.
+Classes meet in blocks, one signature tree for each.  A block holds the classes that agree on `ROWS`
+minima of their sets under random orders, and each class lies in `BANDS` blocks.  A pair at the
+threshold shares no block with probability (1 - 0.75**3)**48 < 4e-12, a more similar one more rarely
+still; that, and 64-bit shingle hashes, is all that is left to chance.  No block, bucket or partner
+count is capped.
+
+1. In each block every class is compared with the block's least one, wherever their sizes allow it.
+   That is linear in the block's size, and it is what holds large groups of copies together.
+2. Connected components of the links found so far.
 3. Blocks that still span several components are joined by signature trees: leaves of a few classes
-   of like size, nodes with the OR of their token bitmaps and the range of their sizes.  The dual
-   traversal drops a pair of nodes when even the largest overlap that the bitmaps and sizes allow is
-   too small, and pairs inside one component, so the work does not follow the square of a group of
-   copies.  Blocks too large for a task are cut into cells whose pairs are dealt out.
-4. What survives is compared exactly, and components are formed anew.
+   of one component and like size, nodes with the OR of their token bitmaps, the range of their sizes
+   and of their components.  The dual traversal drops a pair of nodes when even the largest overlap
+   that the bitmaps and sizes allow is too small, or when both lie within one component, so the work
+   does not follow the square of a group of copies.  A pair is named only in the first block that it
+   shares.  A class names its `PARTNERS` most promising ones at first; where it has more, steps 2 and
+   3 are repeated with more of them, by when most lie in its own component.  Blocks too large for a
+   task are cut into cells whose pairs are dealt out.
+4. What the trees name is compared exactly, as sets, and the components are formed anew.
 
 Defined results: texts without words, null included, are empty sets, link with nothing and are their
 own component; a row without doc_id takes no part and has a null component; rows that repeat a doc_id
@@ -37,11 +41,14 @@ SHINGLE = 5
 PERCENT = 75
 BANDS = 48
 ROWS = 3
-BITS = 1024
+BITS = 4096
 LEAF = 16
 FANOUT = 8
-#: Classes of one block that a task joins by itself; a larger block is cut into cells of about this size.
-CELL = 4096
+#: Classes of a cell: a block is cut into cells of about this size, and a task joins two of them.
+CELL = 2048
+#: Partners that a class names in a block in the first round of trees; later rounds allow `MORE` times as many.
+PARTNERS = 16
+MORE = 16
 
 SKETCH = "doc_id bigint, n int, low bigint, high bigint, bands array<bigint>, bitmap binary"
 SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -94,25 +101,38 @@ def _sketch(batches):
         yield pa.record_batch([rows.column("doc_id"), pa.array(size.astype(np.int32)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), lists, pa.array([x.tobytes() for x in packed], pa.binary())], names=[f.split()[0] for f in SKETCH.split(", ")])
 
 
+def _sets(batches):
+    """The shingle hashes of each class."""
+    for rows, buf, offs in chunks(batches):
+        keys, bounds = shingles(buf, offs)
+        lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64)))
+        yield pa.record_batch([rows.column("doc_id"), lists], names=["node", "keys"])
+
+
+def _hashed(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The members of each row's set, told apart by row, and the sets' bounds."""
+    offs = lists.offsets.to_numpy()
+    row = np.repeat(np.arange(len(lists)), np.diff(offs)).astype(np.uint64)
+    return mix(lists.flatten().to_numpy().view(np.uint64) + row * np.uint64(0x9E3779B97F4A7C15)), offs - offs[0]
+
+
 def _similar(batches):
     """Pairs whose whole shingle sets reach the threshold."""
-    for rows, buf, offs in chunks(batches, column="text_a"):
-        keys, bounds = shingles(buf, offs)
-        other = list(chunks([rows], limit=1 << 62, column="text_b"))[0]
-        keys_b, bounds_b = shingles(other[1], other[2])
-        size, size_b = np.diff(bounds), np.diff(bounds_b)
-        own, own_b = (mix(k + np.repeat(np.arange(len(rows)), s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for k, s in ((keys, size), (keys_b, size_b)))
-        both = np.concatenate([[0], np.cumsum(np.isin(own, own_b))])
+    for rows in batches:
+        if not len(rows):
+            continue
+        (one, bounds), (two, other) = _hashed(rows.column("keys_a")), _hashed(rows.column("keys_b"))
+        both = np.concatenate([[0], np.cumsum(np.isin(one, two))])
         common = both[bounds[1:]] - both[bounds[:-1]]
-        linked = pa.array((100 * common >= PERCENT * (size + size_b - common)) & (common > 0))
+        linked = pa.array((100 * common >= PERCENT * (np.diff(bounds) + np.diff(other) - common)) & (common > 0))
         yield rows.select(["a", "b"]).filter(linked)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that link."""
-    first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return in_arrow(both.select("a", "b", "text_a", "text_b"), _similar, "a bigint, b bigint")
+    first = pairs.join(sets.select(F.col("node").alias("a"), F.col("keys").alias("keys_a")), "a")
+    both = first.join(sets.select(F.col("node").alias("b"), F.col("keys").alias("keys_b")), "b")
+    return in_arrow(both.select("a", "b", "keys_a", "keys_b"), _similar, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -142,30 +162,38 @@ def components(links: DataFrame) -> DataFrame:
 
 
 class Tree:
-    """A signature tree over classes in order of size, then of bitmap."""
+    """A signature tree over classes in order of component, size and bitmap."""
 
-    def __init__(self, size: np.ndarray, bitmap: np.ndarray):
-        self.order = np.lexsort((bitmap[:, 0], size))
-        size, bitmap = size[self.order], bitmap[self.order]
+    def __init__(self, size: np.ndarray, bitmap: np.ndarray, component: np.ndarray):
+        self.order = np.lexsort((bitmap[:, 0], size, component))
+        size, bitmap, component = size[self.order], bitmap[self.order], component[self.order]
         spare = size - np.bitwise_count(bitmap).sum(1, dtype=np.int64)
-        self.levels = [(size, size, bitmap, spare)]  # least size, most size, OR of bitmaps, most tokens beyond the bits
+        # least and most size, OR of bitmaps, most tokens beyond the bits, least and most component
+        self.levels = [(size, size, bitmap, spare, component, component)]
         step = LEAF
         while len(self.levels[-1][0]) > 1:
-            low, high, bits, spare = self.levels[-1]
+            low, high, bits, spare, first, last = self.levels[-1]
             at = np.arange(0, len(low), step)
-            self.levels.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.bitwise_or.reduceat(bits, at, axis=0), np.maximum.reduceat(spare, at)))
+            self.levels.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.bitwise_or.reduceat(bits, at, axis=0), np.maximum.reduceat(spare, at), np.minimum.reduceat(first, at), np.maximum.reduceat(last, at)))
             step = FANOUT
 
-    def _possible(self, level: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Whether nodes x and y may hold a similar pair."""
-        low, high, bits, spare = self.levels[level]
-        common = np.bitwise_count(bits[x] & bits[y]).sum(1, dtype=np.int64) + np.minimum(spare[x], spare[y])
-        overlap = np.minimum(common, np.minimum(high[x], high[y]))
-        return (100 + PERCENT) * overlap >= PERCENT * (low[x] + low[y])
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Dual traversal from the root: pairs of classes that no bound excludes."""
-        x = y = np.zeros(1, np.int64)
+    def _overlap(self, level: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The most tokens that classes under nodes x and y may share; -1 where no pair can be similar."""
+        low, high, bits, spare, first, last = self.levels[level]
+        out = np.full(len(x), -1)
+        apart = np.flatnonzero((first[x] != last[x]) | (first[y] != last[y]) | (first[x] != first[y]))
+        apart = apart[(100 + PERCENT) * np.minimum(high[x[apart]], high[y[apart]]) >= PERCENT * (low[x[apart]] + low[y[apart]])]
+        for i in range(0, len(apart), 8192):
+            at = apart[i : i + 8192]
+            u, v = x[at], y[at]
+            common = np.bitwise_count(bits[u] & bits[v]).sum(1, dtype=np.int64) + np.minimum(spare[u], spare[v])
+            overlap = np.minimum(common, np.minimum(high[u], high[v]))
+            out[at] = np.where((100 + PERCENT) * overlap >= PERCENT * (low[u] + low[v]), overlap, -1)
+        return out
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Dual traversal from the root: pairs of classes that no bound excludes, with the most they may share."""
+        x = y = overlap = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
             if level < len(self.levels) - 1:
                 step, n = LEAF if level == 0 else FANOUT, len(self.levels[level][0])
@@ -174,40 +202,60 @@ class Tree:
                 inside = (x < n) & (y < n) & (x <= y if level else x < y)
                 x, y = x[inside], y[inside]
             elif level == 0:
-                return np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if len(x):
-                keep = np.concatenate([self._possible(level, x[i : i + 65536], y[i : i + 65536]) for i in range(0, len(x), 65536)])
-                x, y = x[keep], y[keep]
-        return self.order[x], self.order[y]
+                return (np.zeros(0, np.int64),) * 3
+            overlap = self._overlap(level, x, y)
+            x, y, overlap = x[overlap >= 0], y[overlap >= 0], overlap[overlap >= 0]
+        return self.order[x], self.order[y], overlap
+
 
+def _best(owner: np.ndarray, value: np.ndarray, most: int) -> np.ndarray:
+    """Of each owner's entries those of the `most` highest values."""
+    order = np.lexsort((-value, owner))
+    new = np.ones(len(order), bool)
+    new[1:] = owner[order][1:] != owner[order][:-1]
+    first = np.flatnonzero(new)
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return order[rank < most]
 
-def _across(batches):
+
+def _across(partners: int):
     """Joins each cell's classes by tree; rows come sorted by block and cell."""
 
     def join(table: pa.Table):
-        bitmap = np.frombuffer(b"".join(table["bitmap"].to_pylist()), np.uint64).reshape(table.num_rows, -1)
-        node, component, pivot, cell = (table[c].to_numpy() for c in ("node", "component", "pivot", "side"))
-        x, y = Tree(table["n"].to_numpy().astype(np.int64), bitmap).pairs()
-        split = cell.any()  # two cells meet: pairs inside one of them are joined elsewhere
+        matrix = lambda c: np.frombuffer(b"".join(table[c].to_pylist()), np.uint64).reshape(table.num_rows, -1)
+        node, component, pivot, cell, block = (table[c].to_numpy() for c in ("node", "component", "pivot", "side", "block"))
+        x, y, overlap = Tree(table["n"].to_numpy().astype(np.int64), matrix("bitmap"), component).pairs()
         new = (component[x] != component[y]) & (node[x] != pivot[x]) & (node[y] != pivot[y])
-        if split:
+        if cell.any():  # two cells meet: pairs inside one of them are joined elsewhere
             new &= cell[x] != cell[y]
-        x, y = node[x[new]], node[y[new]]
-        return pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        table = pa.Table.from_batches([*held, batch])
-        keys = [table[c].to_numpy() for c in ("block", "one", "two")]
-        cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-        at = [0, *cut.tolist()]
-        for a, b in zip(at[:-1], at[1:], strict=True):
-            yield join(table.slice(a, b - a))
-        held = table.slice(at[-1]).combine_chunks().to_batches()
-    if held:
-        yield join(pa.Table.from_batches(held))
+        x, y, overlap = x[new], y[new], overlap[new]
+        bands = np.array(table["bands"].combine_chunks().flatten()).reshape(table.num_rows, -1)
+        here = np.concatenate([np.zeros(0, bool), *((same := bands[x[i : i + 8192]] == bands[y[i : i + 8192]])[np.arange(len(same)), same.argmax(1)] & (bands[x[i : i + 8192], same.argmax(1)] == block[0]) for i in range(0, len(x), 8192))])
+        x, y, overlap = x[here], y[here], overlap[here]
+        _, of, members = np.unique(component, return_inverse=True, return_counts=True)
+        swap = members[of[x]] > members[of[y]]  # the class of the smaller component names the pair
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        best = _best(x, overlap, partners)
+        some = np.bincount(x, minlength=table.num_rows)[x[best]] > partners
+        x, y = node[x[best]], node[y[best]]
+        return pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(some)], names=["a", "b", "more"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([*held, batch])
+            keys = [table[c].to_numpy() for c in ("block", "one", "two")]
+            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            at = [0, *cut.tolist()]
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                yield join(table.slice(a, b - a))
+            held = table.slice(at[-1]).combine_chunks().to_batches()
+        if held:
+            yield join(pa.Table.from_batches(held))
+
+    return run
 
 
 def _cells(rows: DataFrame) -> DataFrame:
@@ -225,20 +273,29 @@ def _link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     blocks = rows.groupBy("block").agg(F.count("*").alias("size"), F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n")).filter("size > 1")
     members = written(rows.join(written(blocks, "blocks"), "block"), "members")
     sized = 100 * F.least("n", "pivot_n") >= PERCENT * F.greatest("n", "pivot_n")
-    near = members.filter(F.col("node") != F.col("pivot")).filter(sized).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    near = members.filter(F.col("node") != F.col("pivot")).filter(sized).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = written(docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id"), "texts")
-    links = written(_verified(near, texts), "verified")
+    texts = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id")
+    sets = written(in_arrow(texts, _sets, "node bigint, keys array<bigint>"), "sets")
+    tested = written(near, "near")
+    links = written(_verified(tested, sets), "verified")
     found = written(components(links), "components")
 
-    labelled = members.filter("size > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = written(labelled.select("block", "node", "n", "size", "pivot", "component"), "labelled")
-    open_blocks = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("block")
-    rest = labelled.join(written(open_blocks, "open"), "block").join(classes.select("node", "bitmap"), "node")
-    dealt = _cells(rest).select("block", "one", "two", "side", "node", "n", "pivot", "component", "bitmap")
-    across = in_arrow(dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two"), _across, "a bigint, b bigint")
-    more = written(_verified(written(across.distinct(), "across"), texts), "more")
-    return components(links.union(more)) if more.take(1) else found
+    partners, more = PARTNERS, True
+    while more:
+        labelled = members.filter("size > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = written(labelled.select("block", "node", "n", "size", "pivot", "component"), "labelled")
+        open_blocks = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("block")
+        rest = labelled.join(written(open_blocks, "open"), "block").join(classes.select("node", "bitmap", "bands"), "node")
+        dealt = _cells(rest).select("block", "one", "two", "side", "node", "n", "pivot", "component", "bitmap", "bands")
+        across = written(in_arrow(dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two"), _across(partners), "a bigint, b bigint, more boolean"), "across")
+        new = written(across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
+        linked = written(_verified(new, sets), "more")
+        if linked.take(1):
+            links, tested = links.union(linked), tested.union(new)
+            found = written(components(links), "components")
+        more, partners = bool(across.filter("more").take(1)), partners * MORE
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -257,9 +314,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that a document of smaller id links to; rows without id stay."""
+    """One document of each group: that of least id; of rows that repeat both id and text, or the text
+    without an id, the one whose other columns are least.  Rows with an id and no words stay, as do rows
+    that repeat an id under another text that links to no smaller one."""
     gone = near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    left = docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    key = F.struct(F.col("doc_id").alias("id"), F.sha2("text", 256).alias("sha"))
+    again = written(docs.groupBy(key.alias("again")).agg(F.count("*").alias("times")).filter("times > 1").select("again"), "again")
+    keyed = left.select(key.alias("again_key"), F.struct(*(left[c] for c in docs.columns)).alias("row"))
+    marked = keyed.join(again, F.col("again_key").eqNullSafe(F.col("again")), "left")
+    single = marked.filter("again is null").select("row")
+    first = marked.filter("again is not null").groupBy("again").agg(F.min("row").alias("row")).select("row")
+    return single.unionByName(first).select("row.*")
 
 
 def op9_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -277,10 +278,9 @@ def test_near_duplicates(docs, awkward):
     assert kept == {i for i, (_, c) in want.items() if i == c}
 
 
-@pytest.mark.parametrize("cell", [4096, 3])
-def test_near_duplicates_in_chains(spark, monkeypatch, cell):
+@pytest.fixture(scope="module")
+def chains() -> dict[int, str]:
     """Each text differs from the next by little and from later ones by more; blocks span components."""
-    monkeypatch.setattr(near_duplicates, "CELL", cell)
     rng = random.Random(11)
     texts: dict[int, str] = {}
     for group in range(6):
@@ -292,8 +292,46 @@ def test_near_duplicates_in_chains(spark, monkeypatch, cell):
     common = " ".join(f"c{i}" for i in range(45))
     for k in range(30):  # a shared passage makes up over half of these, which do not link
         texts[1000 + k] = common + " " + " ".join(f"u{k}_{i}" for i in range(16))
+    return texts
+
+
+def components_of(spark, texts):
     got = by_id(near_duplicates.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
-    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute.components(texts)
+    return {i: (r.n_shingles, r.component_id) for i, r in got.items()}
+
+
+@pytest.mark.parametrize(("cell", "partners"), [(2048, 16), (3, 16), (2048, 1)])
+def test_near_duplicates_in_chains(spark, chains, monkeypatch, cell, partners):
+    monkeypatch.setattr(near_duplicates, "CELL", cell)
+    monkeypatch.setattr(near_duplicates, "PARTNERS", partners)
+    assert components_of(spark, chains) == brute.components(chains)
+
+
+def test_links_are_lost_without_the_trees(spark, monkeypatch):
+    core = " ".join(f"h{i}" for i in range(84))
+    texts = {k: core + " " + " ".join(f"o{k}_{i}" for i in range(20)) for k in range(160)}  # link with nothing, but are the least of the blocks
+    texts |= {200 + k: core + " " + " ".join(f"e{k}_{i}" for i in range(8)) for k in range(2)}
+    want = brute.components(texts)
+    assert components_of(spark, texts) == want and want[201][1] == 200
+    monkeypatch.setattr(near_duplicates, "_across", lambda partners: lambda batches: iter(()))
+    assert components_of(spark, texts)[201][1] == 201
+
+
+def test_a_tree_names_a_pair_once(spark, chains):
+    """Every pair comes out of the first block that both lie in."""
+    out = near_duplicates._sketch([pa.record_batch({"doc_id": pa.array(list(chains)), "text": pa.array(list(chains.values()))})])
+    table = pa.Table.from_batches(list(out))
+    bands = np.array(table["bands"].combine_chunks().flatten()).reshape(len(chains), -1)
+    found = []
+    for b in sorted(set(bands.ravel().tolist())):
+        at = np.flatnonzero((bands == b).any(1))
+        if len(at) < 2:
+            continue
+        node = np.array(list(chains))[at]
+        part = pa.table({"block": pa.array([b] * len(at)), "one": pa.array([0] * len(at)), "two": pa.array([0] * len(at)), "side": pa.array([0] * len(at)), "node": pa.array(node), "n": table["n"].combine_chunks().take(pa.array(at)), "pivot": pa.array([-1] * len(at)), "component": pa.array(node), "bitmap": table["bitmap"].combine_chunks().take(pa.array(at)), "bands": table["bands"].combine_chunks().take(pa.array(at))})
+        for x in near_duplicates._across(1000)(part.to_batches()):
+            found += list(zip(x["a"].to_pylist(), x["b"].to_pylist(), strict=True))
+    assert len(found) == len(set(found)) > 0
 
 
 def test_near_duplicates_of_rows_with_the_same_or_no_id(spark):
@@ -312,7 +350,7 @@ def test_signature_tree_loses_no_pair():
     for i, s in enumerate(sets):
         bits[i, [x % near_duplicates.BITS for x in s]] = True
     bitmap = np.frombuffer(np.packbits(bits, axis=1).tobytes(), np.uint64).reshape(len(sets), -1)
-    x, y = near_duplicates.Tree(np.array([len(s) for s in sets]), bitmap).pairs()
+    x, y, _ = near_duplicates.Tree(np.array([len(s) for s in sets]), bitmap, np.arange(len(sets))).pairs()
     found = {(min(a, b), max(a, b)) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
     want = {(b, a) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
     assert want <= found and len(found) < len(sets) * (len(sets) - 1) / 4
