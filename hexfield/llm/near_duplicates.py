@@ -18,7 +18,7 @@ count is capped.
    that the bitmaps and sizes allow is too small, or when both lie within one component, so the work
    does not follow the square of a group of copies.  A pair is named only in the first block that it
    shares.  A class names its `PARTNERS` most promising ones at first; where it has more, steps 2 and
-   3 are repeated with more of them, by when most lie in its own component.  Blocks too large for a
+   3 are repeated for those blocks with more of them, by when most lie in its own component.  Blocks too large for a
    task are cut into cells whose pairs are dealt out.
 4. What the trees name is compared exactly, as sets, and the components are formed anew.
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import in_arrow, written
+from .store import discard, in_arrow, written
 from .text import BYTE_LOWER, SPACE, chunks, grams, mix, prefix, runs, span_hash
 
 SHINGLE = 5
@@ -154,8 +154,10 @@ def components(links: DataFrame) -> DataFrame:
         large = written(large, "large")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(least.toDF("u", "v")).distinct()
+        before, last = state, edges
         edges = written(small, "small")
-        before, state = state, mark(edges)
+        state = mark(edges)
+        discard(large, last)
         if before == state:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -238,7 +240,7 @@ def _across(partners: int):
         best = _best(x, overlap, partners)
         some = np.bincount(x, minlength=table.num_rows)[x[best]] > partners
         x, y = node[x[best]], node[y[best]]
-        return pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(some)], names=["a", "b", "more"])
+        return pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(block[:1].repeat(len(x))), pa.array(some)], names=["a", "b", "block", "more"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -281,20 +283,25 @@ def _link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     links = written(_verified(tested, sets), "verified")
     found = written(components(links), "components")
 
-    partners, more = PARTNERS, True
-    while more:
-        labelled = members.filter("size > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    scope, partners = members.filter("size > 2"), PARTNERS
+    while True:
+        labelled = scope.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         labelled = written(labelled.select("block", "node", "n", "size", "pivot", "component"), "labelled")
         open_blocks = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("block")
         rest = labelled.join(written(open_blocks, "open"), "block").join(classes.select("node", "bitmap", "bands"), "node")
         dealt = _cells(rest).select("block", "one", "two", "side", "node", "n", "pivot", "component", "bitmap", "bands")
-        across = written(in_arrow(dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two"), _across(partners), "a bigint, b bigint, more boolean"), "across")
+        across = written(in_arrow(dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two"), _across(partners), "a bigint, b bigint, block bigint, more boolean"), "across")
         new = written(across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
         linked = written(_verified(new, sets), "more")
+        links, tested = links.union(linked), tested.union(new)
         if linked.take(1):
-            links, tested = links.union(linked), tested.union(new)
             found = written(components(links), "components")
-        more, partners = bool(across.filter("more").take(1)), partners * MORE
+        cut_off = across.filter("more").select("block").distinct()
+        if not cut_off.take(1):
+            break
+        scope, partners = written(scope.join(cut_off, "block"), "scope"), partners * MORE
+        discard(labelled, across)
+    discard(members, sets, labelled, across)
     return found
 
 
@@ -306,9 +313,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = written(named.groupBy("low", "high").agg(F.min("doc_id").alias("node")), "sets")
     firsts = named.join(sets, ["low", "high"]).filter("doc_id = node").dropDuplicates(["low", "high"])
     classes = written(firsts.select("node", "n", "bands", "bitmap"), "classes")
+    keys = written(sketches.select("doc_id", "n", "low", "high"), "keys")
+    discard(sketches)
     found = _link_classes(classes, docs)
+    discard(classes)
     known = sets.join(found, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component"))
-    out = sketches.select("doc_id", "n", "low", "high").join(written(known, "known"), ["low", "high"], "left")
+    out = keys.join(written(known, "known"), ["low", "high"], "left")
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
