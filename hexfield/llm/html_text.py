@@ -6,18 +6,24 @@ not see (head, scripts, styles, templates, `hidden`, `display:none` or `visibili
 by a plain tag, class or id rule of the page's own style sheet; rules count that hold on every screen,
 not those for print, for some widths or under other conditions).  All other text is emitted: blocks on
 lines of their own, a blank line around paragraphs and headings, list items with bullets or numbers
-and their depth's indent, preformatted text as it stands, table cells in aligned columns, after what
-else stands between a table's rows and cells.
-
-Pages are independent rows, so the job is one Arrow pass without a shuffle.  Defined results: null
-and empty markup render to the empty text; unclosed and stray tags are repaired as browsers do for the
-cases above and otherwise ignored; nesting of any depth is walked without recursion; repeated rows are
-each answered; extra columns are carried.
+and their depth's indent, preformatted text as it stands, table cells in aligned columns (spans of columns
+and rows counted in), after what else stands between a table's rows and cells.
+
+Pages are independent rows, so the job is one Arrow pass without a shuffle.  A page takes time and room
+in proportion to its length, whatever its nesting: open elements are found by name, blanks that align a
+cell are at most `MOST_PAD` for a column and `MOST_OFFSET` for a line, indents at most `MOST_INDENT`,
+and the cells of tables nested deeper than `MOST_TABLES` follow one another as blocks.
+
+Defined results: null and empty markup render to the empty text; unclosed and stray tags are repaired
+as browsers do for the cases above and otherwise ignored; a tag that never ends is dropped with what
+follows it; nesting of any depth is walked without recursion; repeated rows are each answered; extra
+columns are carried, and the columns added must not be among them.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -26,21 +32,26 @@ from pyspark.sql import functions as F
 
 from .store import extended, in_arrow
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TAG = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+PLAIN_TAG = re.compile(r"[^>\"']*>")
+QUOTE_OR_END = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-STYLE_SHEET = re.compile(r"<style\b([^>]*)>(.*?)</style", re.I | re.S)
+STYLE = re.compile(r"<style\b", re.I)
+STYLE_CLOSE = re.compile(r"</style", re.I)
 STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 AT_RULE = re.compile(r"@([\w-]+)(.*)", re.S)
 ON_SCREEN = frozenset(["", "all", "screen", "only all", "only screen", "not print", "not speech"])
 SELECTOR = re.compile(r"[.#]?[\w-]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WHITE = re.compile(r"[ \t\n\f\r]+")
+MOST_PAD, MOST_OFFSET, MOST_INDENT, MOST_TABLES = 40, 240, 60, 8
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp".split())
 UNSEEN = frozenset("head script style title template noscript datalist meta link base".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 BLOCK = SPACED | frozenset("html body div article section nav header footer main aside address form fieldset details summary figcaption li dt dd tr caption thead tbody tfoot hr center option legend".split())
+BLOCK_BUT_P = BLOCK - {"p"}
 #: A start tag ends the open elements named, unless one of the barriers stands in between.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -60,10 +71,11 @@ ENDS = {
 class Node:
     """An element: its tag, whether it is seen, and its children (nodes and texts)."""
 
-    __slots__ = ("children", "mark", "start", "tag", "unseen")
+    __slots__ = ("across", "children", "down", "mark", "start", "tag", "unseen")
 
     def __init__(self, tag: str, unseen: bool = False, start: int = 1, children: list | None = None):
         self.tag, self.unseen, self.start, self.mark = tag, unseen, start, "- "
+        self.across = self.down = 1
         self.children: list[Node | str] = children or []
 
 
@@ -82,10 +94,22 @@ def _on_screen(media: str) -> bool:
     return any(" ".join(q.lower().split()) in ON_SCREEN for q in media.split(","))
 
 
+def _style_sheets(html: str) -> Iterator[tuple[str, str]]:
+    """Attributes and text of each style element."""
+    at = 0
+    while m := STYLE.search(html, at):
+        end = html.find(">", m.end())
+        if end < 0:
+            return
+        close = STYLE_CLOSE.search(html, end)
+        at = close.end() if close else len(html)
+        yield html[m.end() : end], html[end + 1 : close.start() if close else at]
+
+
 def _hiding(html: str) -> set[str]:
     """Plain selectors of the page's style sheets that hide what they select on the screen."""
     found: set[str] = set()
-    for raw, sheet in STYLE_SHEET.findall(html):
+    for raw, sheet in _style_sheets(html):
         if not _on_screen(_attributes(raw).get("media", "")):
             continue
         parts = re.split("([{}])", STYLE_COMMENT.sub(" ", sheet))
@@ -106,59 +130,100 @@ def _hiding(html: str) -> set[str]:
     return found
 
 
+class Open:
+    """The open elements, found by name."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def top(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element of the names; 0 without one."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop().tag].pop()
+
+    def end(self, tags: Iterable[str], barriers: Iterable[str]) -> None:
+        """Close the open elements of the names that no barrier stands before."""
+        if self.top(tags):
+            barrier = self.top(barriers)
+            while (place := self.top(tags)) > barrier:
+                self.cut(place)
+
+
+def _tag_end(html: str, at: int, last: dict[str, int]) -> int:
+    """Where the tag ends whose name ends at `at`: past quoted values; -1 if nowhere."""
+    if m := PLAIN_TAG.match(html, at):
+        return m.end() - 1
+    while m := QUOTE_OR_END.search(html, at):
+        if m[0] == ">":
+            return m.start()
+        at = m.end() if m.start() >= last[m[0]] else html.index(m[0], m.end()) + 1
+    return -1
+
+
+def _number_of(attributes: dict[str, str], name: str, most: int) -> int:
+    """A positive number among the attributes, `most` at most; else 1."""
+    given = attributes.get(name, "").strip()
+    return max(1, min(most, int(given))) if re.fullmatch(r"[0-9]{1,9}", given) else 1
+
+
 def build(html: str) -> Node:
     """The tree of a page."""
     rules = _hiding(html)
     root = Node("html")
-    stack = [root]
-
-    def end(tags: set[str], barriers: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                if tags == {"head"}:
-                    return
-            elif stack[i].tag in barriers:
-                return
-
+    opened = Open(root)
+    last = {c: html.rfind(c) for c in "\"'"}
     at, n = 0, len(html)
     while at < n:
-        m = TOKEN.search(html, at)
+        m = TAG.search(html, at)
         text = html[at : m.start() if m else n]
         if text:
-            stack[-1].children.append(unescape(text))
+            opened.stack[-1].children.append(unescape(text))
         if not m:
             break
-        at = m.end()
         if not m[2]:
+            mark = "-->" if m[0] == "<!--" else ">"
+            end = html.find(mark, m.start() + 2)
+            at = end + len(mark) if end >= 0 else n
             continue
-        tag = m[2].lower()
+        end = _tag_end(html, m.end(), last)
+        if end < 0:
+            break
+        at = end + 1
+        tag, raw = m[2].lower(), html[m.end() : end]
         if m[1]:  # an end tag closes its element and all inside it; one without an element is ignored
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag == "table" and tag not in BLOCK:
-                    break
+            place = opened.top([tag])
+            if place and (tag in BLOCK or place >= opened.top(["table"])):
+                opened.cut(place)
             continue
         if tag == "html":
             continue
-        attributes = _attributes(m[3]) if m[3] else {}
+        attributes = _attributes(raw) if raw else {}
         if tag in ENDS:
-            end(*ENDS[tag])
+            opened.end(*ENDS[tag])
         if tag in BLOCK:
-            end({"p"}, BLOCK - {"p"})
-        if stack[-1].tag == "head" and tag not in UNSEEN:
-            stack.pop()
+            opened.end(("p",), BLOCK_BUT_P)
+        if opened.stack[-1].tag == "head" and tag not in UNSEEN:
+            opened.cut(len(opened.stack) - 1)
         start = attributes.get("start", "")
-        node = Node(tag, _hidden(tag, attributes, rules), int(start) if tag == "ol" and re.fullmatch(r"-?\d{1,9}", start) else 1)
-        stack[-1].children.append(node)
+        node = Node(tag, _hidden(tag, attributes, rules), int(start) if tag == "ol" and re.fullmatch(r"-?[0-9]{1,9}", start) else 1)
+        if tag in ("td", "th"):
+            node.across, node.down = _number_of(attributes, "colspan", 1000), _number_of(attributes, "rowspan", 65534)
+        opened.stack[-1].children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             node.children.append(html[at : close.start() if close else n] if tag in ("script", "style") else unescape(html[at : close.start() if close else n]))
             at = close.end() if close else n
-        elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(node)
+        elif tag not in VOID and not raw.endswith("/"):
+            opened.push(node)
     return root
 
 
@@ -167,22 +232,27 @@ class Lines:
 
     def __init__(self) -> None:
         self.lines: list[str] = []
-        self.open = ""
+        self.open: list[str] = []
         self.gap = False
         self.indent = ""
         self.mark = ""
 
     def inline(self, text: str) -> None:
         text = WHITE.sub(" ", text)
-        if not self.open or self.open.endswith((" ", "\n")):
+        if not self.open or self.open[-1].endswith((" ", "\n")):
             text = text.lstrip(" ")
-        self.open += text
+        if text:
+            self.open.append(text)
+
+    def take(self) -> str:
+        """The inline text so far, which ends here."""
+        text, self.open = "".join(self.open), []
+        return text
 
     def end(self, spaced: bool = False) -> None:
         """End the line; `spaced` asks for a blank one before the next text."""
-        if text := self.open.strip(" \n"):
+        if text := self.take().strip(" \n"):
             self.put([x.strip(" ") for x in text.split("\n")])
-        self.open = ""
         self.gap |= spaced
 
     def put(self, lines: list[str]) -> None:
@@ -192,7 +262,7 @@ class Lines:
         for x in lines:
             self.lines.append((self.indent + self.mark + x).rstrip() if x else "")
             if self.mark:
-                self.indent, self.mark = self.indent + " " * len(self.mark), ""
+                self.indent, self.mark = (self.indent + " " * len(self.mark))[:MOST_INDENT], ""
 
     def text(self) -> str:
         self.end()
@@ -253,15 +323,50 @@ def _parts(table: Node) -> tuple[list[list[Node]], list[Node], list[Node | str]]
     return [r for r in rows if r], captions, stray if any(isinstance(c, Node) or c.strip() for c in stray) else []
 
 
-def _align(rows: list[list[str]]) -> list[str]:
+def _columns(rows: list[list[Node]]) -> list[list[int]]:
+    """The column in which each cell begins, by the spans of the cells before it and above it.  Columns
+    in which no cell begins are left out of the count."""
+    held: dict[int, int] = {}  # column -> rows for which a cell above still holds it
+    begins: list[list[int]] = []
+    for row in rows:
+        at, places, new = 0, [], {}
+        for c in row:
+            while at in held:
+                at += 1
+            places.append(at)
+            if c.down > 1:
+                new.update(dict.fromkeys(range(at, at + c.across), c.down))
+            at += c.across
+        begins.append(places)
+        held = {k: left - 1 for k, left in (held | new).items() if left > 1}
+    order = {k: i for i, k in enumerate(sorted({k for row in begins for k in row}))}
+    return [[order[k] for k in row] for row in begins]
+
+
+def _align(rows: list[list[Node]], texts: list[list[str]]) -> list[str]:
     """Cells in columns: each as wide as its widest line, two spaces between; long cells keep their lines."""
-    cells = [[c.split("\n") for c in r] for r in rows]
-    columns = max(map(len, cells))
-    width = [max([len(x) for r in cells if k < len(r) for x in r[k]], default=0) for k in range(columns)]
+    begins = _columns(rows)
+    width: dict[int, int] = {}
+    for row, places, cells in zip(rows, begins, texts, strict=True):
+        for c, k, text in zip(row, places, cells, strict=True):
+            if c.across == 1:
+                width[k] = max(width.get(k, 0), *(len(x) for x in text.split("\n")))
+    offset, total = [], 0
+    for k in range(max((k for places in begins for k in places), default=-1) + 1):
+        offset.append(min(total, MOST_OFFSET))
+        total += min(width.get(k, 0), MOST_PAD) + 2
     out = []
-    for r in cells:
-        for i in range(max(map(len, r))):
-            out.append("  ".join((c[i] if i < len(c) else "").ljust(width[k]) for k, c in enumerate(r)).rstrip())
+    for places, cells in zip(begins, texts, strict=True):
+        lines: dict[int, list[str]] = {}
+        size: dict[int, int] = {}
+        for k, text in zip(places, cells, strict=True):
+            for i, x in enumerate(text.split("\n")):
+                parts, now = lines.setdefault(i, []), size.get(i, 0)
+                if x:
+                    pad = max(offset[k] - now, 2 if now else 0)
+                    parts += [" " * pad, x]
+                    size[i] = now + pad + len(x)
+        out += ["".join(lines[i]) for i in range(len(lines))]
     return out
 
 
@@ -287,24 +392,22 @@ def render(root: Node) -> str:
         what, x, *state = work.pop()
         if what == "text":
             if state[0]:
-                out.open += x
+                out.open.append(x)
             else:
                 out.inline(x)
         elif what == "leave":
-            if x.tag == "pre" and out.open.strip():
-                out.put(out.open.removeprefix("\n").rstrip().split("\n"))
-                out.open = ""
+            if x.tag == "pre":
+                text = out.take()
+                if text.strip():
+                    out.put(text.removeprefix("\n").rstrip().split("\n"))
             out.end(x.tag in SPACED and not (x.tag in ("ul", "ol") and state[1] > 1))
             if state[0] is not None:
                 out.indent, out.mark = state[0], ""
         elif what == "rows":
-            rows, captions = state
+            rows = state[0]
             out.end(True)
-            for c in captions:
-                if caption := render(Node("span", children=c.children)):
-                    out.put(caption.split("\n"))
             tables.append((out, [[] for _ in rows]))
-            work.append(("table", x))
+            work.append(("table", x, rows))
             for i in range(len(rows) - 1, -1, -1):
                 for c in reversed(rows[i]):
                     work += [("cell", c, i), ("visit", Node("span", children=c.children), 0, False)]
@@ -315,16 +418,20 @@ def render(root: Node) -> str:
         elif what == "table":
             out, cells = tables.pop()
             if any(c for r in cells for c in r):
-                out.put(_align(cells))
+                out.put(_align(state[0], cells))
             out.gap = True
         elif not x.unseen:
             depth, pre = state
             if x.tag == "br":
-                out.open += "\n"
+                out.open.append("\n")
             elif x.tag == "table" and (parts := _parts(x))[0]:
                 rows, captions, stray = parts
                 out.end(not stray)
-                work.append(("rows", x, rows, captions))
+                if len(tables) < MOST_TABLES:
+                    work.append(("rows", x, rows))
+                else:
+                    work += [("visit", Node("div", children=c.children), depth, pre) for r in reversed(rows) for c in reversed(r)]
+                work += [("visit", Node("div", children=c.children), depth, pre) for c in reversed(captions)]
                 if stray:
                     work.append(("visit", Node("span", children=stray), depth, pre))
             else:
@@ -337,7 +444,7 @@ def render(root: Node) -> str:
                 if x.tag == "li":
                     indent, out.mark = out.indent, x.mark
                 elif x.tag in ("dd", "blockquote"):
-                    indent, out.indent = out.indent, out.indent + "  "
+                    indent, out.indent = out.indent, (out.indent + "  ")[:MOST_INDENT]
                 pre |= x.tag == "pre"
                 if x.tag in BLOCK:
                     work.append(("leave", x, indent, depth))
