@@ -404,8 +404,8 @@ def render(root: Node) -> str:
             if state[0] is not None:
                 out.indent, out.mark = state[0], ""
         elif what == "rows":
-            rows = state[0]
-            out.end(True)
+            rows, spaced = state
+            out.end(spaced)
             tables.append((out, [[] for _ in rows]))
             work.append(("table", x, rows))
             for i in range(len(rows) - 1, -1, -1):
@@ -428,7 +428,7 @@ def render(root: Node) -> str:
                 rows, captions, stray = parts
                 out.end(not stray)
                 if len(tables) < MOST_TABLES:
-                    work.append(("rows", x, rows))
+                    work.append(("rows", x, rows, not captions))
                 else:
                     work += [("visit", Node("div", children=c.children), depth, pre) for r in reversed(rows) for c in reversed(r)]
                 work += [("visit", Node("div", children=c.children), depth, pre) for c in reversed(captions)]
