@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, in_arrow, written
+from .store import extended, free, in_arrow, written
 from .text import chunks, mix, prefix, ragged, span_hash
 
 LEXICON_WORDS = 50_000
@@ -427,7 +427,7 @@ def _encode(path: str, lexicon, with_values: bool):
 
 
 def encode(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_values: bool = True) -> DataFrame:
-    """The frame's columns (`text` among them) with the ids, their number and digests, and the decoded
+    """The frame's columns (`text` among them; those named like an added one are replaced) with the ids, their number and digests, and the decoded
     text; ids and decoded text are null unless `with_values`.
 
     The corpus's `words` most frequent words make the lexicon, whose size is bounded by their number.
@@ -435,6 +435,7 @@ def encode(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_values:
     vocab = vocabulary(path)
     compiled = compile_lexicon({w: vocab.merge(w) for w in frequent_words(docs, path, words)})
     lexicon = docs.sparkSession.sparkContext.broadcast(compiled)
+    docs = free(docs, ENCODED)
     return in_arrow(docs, _encode(path, lexicon, with_values), extended(docs, ENCODED))
 
 

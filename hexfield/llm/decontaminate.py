@@ -5,32 +5,41 @@ that occurs in some item.  Documents stream through it word by word while the le
 match that ends at the current word is tracked.  Wherever that length reaches a window (`window`
 words, or the whole of a shorter item), the words under the window are hit.
 
+Items are dealt to parts of bounded size.  Spark tasks build an automaton for each part and write it, as
+flat arrays, to the shared folder; a pass over the documents takes up a bounded number of parts, and
+further passes go on from the rows that the one before has written.  So neither the driver nor a task ever
+holds more than one pass's arrays, however many items there are.
+
 Before the automaton walks, a vectorised pass keeps only the stretches in which every two
 neighbouring words are neighbours in some item too: no match can leave such a stretch.
 
 Defined results: a null or empty text has no words and no hits; null or wordless items match
 nothing; repeated documents are each answered; repeated items are each reported; extra columns of
-the input are carried and, in `decontaminate`, cannot clash.
+the input are carried; in `hits` those named like an added one are replaced, in `decontaminate` none clash.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .store import extended, in_arrow, packed, unpacked
+from .store import extended, free, in_arrow, packed, unpacked, written
 from .text import BYTE_LOWER, chunks, prefix, runs, span_hash, table
 
 #: Bytes of a word: digits, ASCII letters and everything beyond ASCII.
 WORD = table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 WINDOW = 10
-#: Bytes of item text that one automaton may hold; more items go into further automata.
-MAX_AUTOMATON_BYTES = 8 << 20
+#: Bytes of item text of a part, which makes one automaton, and of the parts that one pass takes up.
+PART_BYTES = 1 << 20
+PASS_BYTES = 8 << 20
 
 
 def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -103,24 +112,58 @@ class Automaton:
             self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, word, q)
         return new
 
+    def compact(self) -> Compact:
+        """The automaton as arrays."""
+        size = max(1, len(self.vocabulary))
+        moves = sorted((state * size + word, to) for state, words_ in enumerate(self.next) for word, to in words_.items())
+        ends = [(state, n, item) for state, found in enumerate(self.items) for n, items in sorted(found.items()) for item in sorted(items)]
+        return Compact(
+            self.ids, self.vocabulary, self.pairs, self.shortest, *np.array(moves, np.int64).reshape(-1, 2).T.copy(),
+            *(np.array(x, np.int32) for x in (self.link, self.length, self.hit)), *np.array(ends, np.int32).reshape(-1, 3).T.copy(),
+        )
+
+
+@dataclass
+class Compact:
+    """A suffix automaton as flat arrays: moves by state and word, suffix links, and the windows that end in a state."""
+
+    ids: list[str | None]
+    vocabulary: np.ndarray
+    pairs: np.ndarray
+    shortest: int
+    moves: np.ndarray
+    targets: np.ndarray
+    link: np.ndarray
+    length: np.ndarray
+    hit: np.ndarray
+    end_state: np.ndarray
+    end_size: np.ndarray
+    end_item: np.ndarray
+
+    def _move(self, state: int, word: int) -> int:
+        key = state * len(self.vocabulary) + word
+        at = int(np.searchsorted(self.moves, key))
+        return int(self.targets[at]) if at < len(self.moves) and self.moves[at] == key else -1
+
     def stream(self, coded: list[int]) -> Iterator[tuple[int, int, set[int]]]:
         """(first word, word after the last, items) of every window in a stretch of known words."""
         state, length = 0, 0
         for at, word in enumerate(coded, 1):
-            while state and word not in self.next[state]:
-                state = self.link[state]
-                length = self.length[state]
-            if word in self.next[state]:
-                state, length = self.next[state][word], length + 1
-            s = self.hit[state]
+            while (to := self._move(state, word)) < 0 and state:
+                state = int(self.link[state])
+                length = int(self.length[state])
+            if to >= 0:
+                state, length = to, length + 1
+            s = int(self.hit[state])
             while s >= 0:
-                for size, found in self.items[s].items():
+                lo, hi = np.searchsorted(self.end_state, [s, s + 1])
+                for size in set(self.end_size[lo:hi].tolist()):
                     if size <= length:
-                        yield at - size, at, found
-                s = self.hit[self.link[s]] if self.link[s] >= 0 else -1
+                        yield at - size, at, set(self.end_item[lo:hi][self.end_size[lo:hi] == size].tolist())
+                s = int(self.hit[self.link[s]]) if self.link[s] >= 0 else -1
 
 
-def _stretches(automaton: Automaton, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _stretches(automaton: Compact, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word codes, and where the stretches lie that are long enough to hold a window."""
     vocabulary = automaton.vocabulary
     if not len(hashes) or not len(vocabulary):
@@ -143,7 +186,7 @@ def _stretches(automaton: Automaton, hashes: np.ndarray, first: np.ndarray) -> t
     return code, start[long], end[long] + 1
 
 
-def _find(automaton: Automaton, window: int):
+def _find(automaton: Compact):
     def run(batches):
         for rows, buf, offs in chunks(batches):
             start, end, hashes, first = words(buf, offs)
@@ -177,41 +220,83 @@ def _find(automaton: Automaton, window: int):
     return run
 
 
-def _blocks(items: DataFrame, limit: int) -> list[DataFrame]:
-    """The items in as many parts as keep each automaton below the limit."""
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(size // limit) + 1
-    return [items] if n == 1 else [items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k) for k in range(n)]
-
-
-ADDED = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:bigint,end:bigint>>"
-
-
-def _search(docs: DataFrame, items: DataFrame, window: int, max_bytes: int):
-    """A function over Arrow batches that adds the findings of all automata."""
-    parts = _blocks(items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")), max_bytes)
-    sc = docs.sparkSession.sparkContext
-    models = [sc.broadcast(Automaton([(r.item_id, r.text) for r in part.collect()], window)) for part in parts]
+def _build(window: int):
+    """The automaton of each part; rows come sorted by part."""
 
     def run(batches):
+        part, held = None, []
         for batch in batches:
-            outs = [pa.Table.from_batches(_find(m.value, window)([batch])) for m in models] if len(batch) else []
-            if len(outs) == 1:
-                yield from outs[0].to_batches()
-            elif outs:
-                yield _united(outs, batch)
+            for p, item, text in zip(*(batch.column(c).to_pylist() for c in ("part", "item_id", "text")), strict=True):
+                if p != part and held:
+                    yield model(part, held)
+                    held = []
+                part = p
+                held.append((item, text))
+        if held:
+            yield model(part, held)
+
+    def model(part: int, items: list[tuple[str | None, str | None]]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([part], pa.int32()), pa.array([pickle.dumps(Automaton(items, window).compact())], pa.binary())], names=["part", "model"])
 
     return run
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
-    """The frame's columns (`text` among them) with n_words, n_hit, item_ids (of the items found) and spans (bytes [start, end)).
+def _passes(items: DataFrame, window: int) -> Iterator[list[Compact]]:
+    """The automata of all items, as many at a time as a pass takes up; one without items if there are none."""
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    n = int((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES) + 1
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int")).repartition(n, "part").sortWithinPartitions("part")
+    automata = written(in_arrow(dealt.select("part", "item_id", "text"), _build(window), "part int, model binary"), "automata")
+    step, found = max(1, PASS_BYTES // PART_BYTES), False
+    for k in range(0, n, step):
+        models = [pickle.loads(r["model"]) for r in automata.filter(F.col("part").between(k, k + step - 1)).orderBy("part").collect()]
+        if models:
+            found = True
+            yield models
+    if not found:
+        yield [Automaton([], window).compact()]
 
-    Items are read to the driver only in parts of at most about `max_bytes`; each part makes one
-    automaton, which is broadcast.  With several parts their findings are united row by row: the
-    documents pass through the automata one after another, without a shuffle.
-    """
-    return in_arrow(docs, _search(docs, items, window, max_bytes), extended(docs, ADDED))
+
+ADDED = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:bigint,end:bigint>>"
+FOUND = [f.split()[0] for f in ADDED.split(", ")]
+
+
+def _searched(docs: DataFrame, items: DataFrame, window: int, finish=None, schema: StructType | None = None) -> DataFrame:
+    """The documents with the findings; `finish` makes batches of another schema of those of the last pass."""
+    own, out = docs.columns, None
+    ahead = _passes(items, window)
+    models = next(ahead)
+    while models:
+        following = next(ahead, None)
+        shared = docs.sparkSession.sparkContext.broadcast(models)
+        before = out is not None
+
+        def search(batches, shared=shared, before=before):
+            for batch in batches:
+                if not len(batch):
+                    continue
+                rows = batch.select(own)
+                outs = [pa.Table.from_batches(_find(m)([rows])) for m in shared.value]
+                if before:
+                    outs.append(pa.Table.from_batches([batch]))
+                if len(outs) == 1:
+                    yield from outs[0].to_batches()
+                else:
+                    yield _united(outs, rows)
+
+        def last(batches, search=search):
+            return finish(search(batches))
+
+        source = written(out, "searched") if before else docs
+        out = in_arrow(source, search, extended(docs, ADDED)) if following or not finish else in_arrow(source, last, schema)
+        models = following
+    return out
+
+
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The frame's columns (`text` among them) with n_words, n_hit, item_ids (of the items found) and spans
+    (bytes [start, end)); findings of several automata are united row by row, without a shuffle."""
+    return _searched(free(docs, ADDED), items, window)
 
 
 def _united(outs: list[pa.Table], batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -240,10 +325,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, ma
     than `max_coverage` are hit is removed as a whole.  Clean documents pass unchanged.
     """
     base = packed(docs, "text")
-    search = _search(base, items, window, MAX_AUTOMATON_BYTES)
 
     def cut(batches):
-        for batch in search(batches):
+        for batch in batches:
             text, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
             n_words, n_hit = batch.column("n_words").to_pylist(), batch.column("n_hit").to_pylist()
             for i, s in enumerate(spans):
@@ -259,7 +343,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, ma
             out = pa.record_batch([batch.column("row"), pa.array(text, pa.string()), pc.greater(batch.column("n_hit"), 0)], names=["row", "text", "cut"])
             yield out.filter(pa.array(stays, pa.bool_()))
 
-    left = in_arrow(base, cut, extended(base, "cut boolean"))
+    left = _searched(base, items, window, cut, extended(base, "cut boolean"))
     return unpacked(left, docs, n_chars="if(cut, char_length(text), row.n_chars)")
 
 

@@ -17,7 +17,7 @@ and the cells of tables nested deeper than `MOST_TABLES` follow one another as b
 Defined results: null and empty markup render to the empty text; unclosed and stray tags are repaired
 as browsers do for the cases above and otherwise ignored; a tag that never ends is dropped with what
 follows it; nesting of any depth is walked without recursion; repeated rows are each answered; extra
-columns are carried, and the columns added must not be among them.
+columns are carried, and those named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, in_arrow
+from .store import extended, free, in_arrow
 
 TAG = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
 PLAIN_TAG = re.compile(r"[^>\"']*>")
@@ -473,6 +473,7 @@ def _extract(column: str):
 
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
     """The frame's columns with the text, its characters and its lines."""
+    pages = free(pages, TEXT)
     return in_arrow(pages, _extract(column), extended(pages, TEXT))
 
 

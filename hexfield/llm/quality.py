@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import extended, in_arrow, packed, unpacked
+from .store import extended, free, in_arrow, packed, unpacked
 from .text import BYTE, SPACE, chunks, grams, mix, per_row, prefix, ragged, runs, span_hash, table
 
 SYMBOL = table(b"#*$%&|<>")
@@ -152,7 +152,8 @@ def _measure(model: str):
 
 
 def measure(docs: DataFrame, model: str) -> DataFrame:
-    """The frame's columns (`text` among them, none named as a measure) with the measures; no shuffle."""
+    """The frame's columns (`text` among them; those named as a measure are replaced) with the measures; no shuffle."""
+    docs = free(docs, MEASURES)
     return in_arrow(docs, _measure(model), extended(docs, MEASURES))
 
 
@@ -182,4 +183,5 @@ def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    return verdict(measure(docs, public_tokenizers.path("piece_bpe_32k.model"))).drop("text", "lang")
+    found = verdict(measure(docs, public_tokenizers.path("piece_bpe_32k.model")))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "chars_per_token", "byte_share", "entropy")

@@ -14,13 +14,15 @@ from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one is set only where the session has none (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    """The folder named in spark.checkpoint.dir.  Only a session without one that runs on this machine
+    alone (tests) gets a folder of its own; on a cluster that would lose data, so it is an error."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not re.match(r"local($|\[)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 
@@ -56,6 +58,12 @@ def extended(df: DataFrame, added: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
 
 
+def free(df: DataFrame, added: str) -> DataFrame:
+    """The frame without columns that have a name of the further fields, whatever its case."""
+    names = {f.name.lower() for f in StructType.fromDDL(added).fields}
+    return df.drop(*(c for c in df.columns if c.lower() in names))
+
+
 def packed(docs: DataFrame, *more: Column | str) -> DataFrame:
     """The documents' columns but `text` as one column `row`, beside those an operator works on.
 

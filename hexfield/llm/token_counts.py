@@ -5,6 +5,10 @@ normalised, since the counts are those of the whole text) together with a digest
 file.  Counts already stored under both digests are joined; each distinct text that is missing is
 encoded once, and its count is appended to the cache.
 
+The cache may hold an entry twice (two runs that add to it at once, a task that ran again): readers see
+one count for each pair of digests, which are all alike, so no document is multiplied.  Files are added
+by Spark's commit, whole or not at all.
+
 Defined results: null and empty texts have 0 bytes and 0 tokens and share one cache entry; repeated
 rows and copies of a text are encoded once and each answered; an empty table gives an empty result;
 extra columns are not read.  `doc_id` may be null.
@@ -17,7 +21,7 @@ from functools import cache
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import in_arrow, table_path
@@ -50,7 +54,7 @@ def version_of(model: str) -> str:
 
 def _encode(model: str, version: str):
     def run(batches):
-        done: set[str] = set()  # rows that repeat both id and text meet in one task
+        done: set[str] = set()  # rows that repeat both id and text mostly meet in one task
         for rows, _, _ in chunks(batches):
             new = {d: t or "" for d, t in zip(rows.column("digest").to_pylist(), rows.column("text").to_pylist(), strict=True) if d not in done}
             done |= new.keys()
@@ -59,6 +63,12 @@ def _encode(model: str, version: str):
     return run
 
 
+def stored_counts(spark: SparkSession, path: str, version: str) -> DataFrame:
+    """digest and n_tokens of a tokenizer version, each digest once."""
+    stored = spark.read.schema(CACHE_SCHEMA).parquet(path).filter(F.col("version") == version)
+    return stored.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+
+
 def count_tokens(docs: DataFrame, model: str, cache_path: str | None = None) -> DataFrame:
     """doc_id, digest, n_bytes and n_tokens of every row; distinct texts that miss join the cache.
 
@@ -69,16 +79,14 @@ def count_tokens(docs: DataFrame, model: str, cache_path: str | None = None) ->
     path = cache_path or table_path(spark, "token_counts")
     version = version_of(model)
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(path)
-    stored = spark.read.schema(CACHE_SCHEMA).parquet(path).filter(F.col("version") == version)
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"))
     first = keyed.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    misses = first.join(stored, "digest", "left_anti").hint("shuffle_hash")
+    misses = first.join(stored_counts(spark, path, version), "digest", "left_anti").hint("shuffle_hash")
     texts = docs.select("doc_id", text.alias("text"), F.sha2(text, 256).alias("key"))
     missing = texts.join(misses, (F.col("key") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
     in_arrow(missing.select("digest", "text"), _encode(model, version), CACHE_SCHEMA).write.mode("append").parquet(path)
-    stored = spark.read.schema(CACHE_SCHEMA).parquet(path).filter(F.col("version") == version)
-    return keyed.join(stored.select("digest", "n_tokens"), "digest")
+    return keyed.join(stored_counts(spark, path, version), "digest")
 
 
 def op3_token_counts(spark, sf_dir: str) -> DataFrame:

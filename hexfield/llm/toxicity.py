@@ -9,24 +9,28 @@ number per vector, so a task needs nothing but that table.
 
 Defined results: null and empty texts have no n-grams and get the score of the bias alone; without
 labelled rows of both classes every score is the share of toxic labels (0 without labels); repeated
-rows are each answered; a null doc_id is never used for learning; extra columns are carried by `score`.
+rows are each answered; an id that is labelled twice is toxic if any of its labels says so, one that has
+several texts is learnt by the least of them; a null doc_id is never used for learning; extra columns are
+carried by `score`, which replaces one of that name.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import extended, in_arrow
+from .store import extended, free, in_arrow
 from .text import BYTE, chunks, per_row, prefix, span_hash, table
 
 SIZES = (3, 4, 5)
 BUCKET_BITS = 17
 WIDTH = 8
-#: Labelled rows of each class that training reads at most (those least by a hash of doc_id).
+#: Labelled rows of each class that training reads at most (those least by a hash of doc_id), and the
+#: bytes that their texts have at most together.
 SAMPLE_PER_CLASS = 1500
+SAMPLE_BYTES = 16 << 20
 STEPS = 120
 RATE = 0.1
 DECAY = 1e-6
@@ -118,9 +122,10 @@ def _score(model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS):
-    """(one number per bucket, bias), learnt from at most `per_class` labelled rows of each class."""
-    named = labels.filter("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic").dropDuplicates(["doc_id"])
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES):
+    """(one number per bucket, bias), learnt from at most `per_class` labelled rows of each class whose
+    texts have at most `most_bytes` in all: what the driver gathers is bounded by these two."""
+    named = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in named.groupBy("toxic").count().collect()}
     total = sum(counts.values())
     if len(counts) < 2:
@@ -128,15 +133,22 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS):
         return np.zeros(1 << BUCKET_BITS), float(np.log(p / (1 - p)))
     order = F.xxhash64("doc_id")
     chosen = [named.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("text", "toxic").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    size = F.sum(F.octet_length("text")).over(Window.partitionBy("toxic").orderBy(order, "doc_id"))  # over the sample alone
+    rows = texts.withColumn("size", size).filter(F.col("size") <= most_bytes // 2).select("text", "toxic").collect()
     y = np.array([r["toxic"] for r in rows], float)
-    weights = np.where(y == 1, counts[1] / max(1, y.sum()), counts[0] / max(1, (1 - y).sum()))
+    if not 0 < y.sum() < len(y):
+        p = counts[1] / total
+        return np.zeros(1 << BUCKET_BITS), float(np.log(p / (1 - p)))
+    weights = np.where(y == 1, counts[1] / y.sum(), counts[0] / (1 - y).sum())
     vectors, softmax, bias = train([r["text"] for r in rows], y, weights)
     return vectors.astype(float) @ (softmax[:, 1] - softmax[:, 0]).astype(float), float(bias[1] - bias[0])
 
 
 def score(docs: DataFrame, model) -> DataFrame:
-    """The frame's columns (`text` among them, none named score) with the score."""
+    """The frame's columns (`text` among them) with the score."""
+    docs = free(docs, "score double")
     return in_arrow(docs, _score(docs.sparkSession.sparkContext.broadcast(model)), extended(docs, "score double"))
 
 

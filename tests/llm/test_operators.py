@@ -241,12 +241,14 @@ def items(awkward):
     return [(1, " ".join(words[5:20])), (2, " ".join(words[12:40]).upper()), (3, "The, AN"), (4, None), (5, "..."), (6, " ".join(words[5:20])), (10, "never seen words in here at all ok yes no maybe")]
 
 
-def test_leaks(spark, docs, awkward, items):
+def test_leaks(spark, docs, awkward, items, monkeypatch):
     table = spark.createDataFrame(items, "item_id int, text string")
     got = by_id(decontaminate.digest(decontaminate.hits(docs.select("doc_id", "text"), table)))
     want = brute.leaks(awkward, items)
     assert [tuple(got[i])[1:] for i in range(len(awkward))] == want and any(w[4] for w in want)
-    parts = by_id(decontaminate.digest(decontaminate.hits(docs.select("doc_id", "text"), table, max_bytes=60)))
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 60)
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 120)
+    parts = by_id(decontaminate.digest(decontaminate.hits(docs.select("doc_id", "text"), table)))
     assert parts == got
 
 
@@ -360,6 +362,43 @@ def test_signature_tree_loses_no_pair():
     assert want <= found and len(found) < len(sets) * (len(sets) - 1) / 4
 
 
+def test_toxicity_labels_that_repeat(spark):
+    texts = spark.createDataFrame([(i, "good text here" if i % 2 else "vile text here") for i in range(40)] + [(1, None), (2, "a")], "doc_id long, text string")
+    labels = [(i, 1 - i % 2) for i in range(40)] + [(i, 0) for i in range(0, 40, 4)] + [(None, 1), (3, None)]
+    forward, backward = (spark.createDataFrame(x, "doc_id long, toxic int") for x in (labels, labels[::-1]))
+    one, two = (toxicity.fit(texts, x) for x in (forward, backward))
+    assert np.array_equal(one[0], two[0]) and one[1] == two[1]
+    scored = by_id(toxicity.score(texts.filter("doc_id > 3").withColumn("Score", F.lit("mine")), one))
+    assert scored[4].score > 0.5 > scored[5].score
+    assert np.isfinite(toxicity.fit(texts, forward, most_bytes=10)[1])
+
+
+def test_added_columns_replace_those_of_their_names(spark, docs, items):
+    wide = docs.withColumns({c: F.lit("mine") for c in ("score", "ids", "N_tokens", "n_hit", "spans", "n_words", "n_lines")})
+    assert bpe.encode(wide, WORD).select("ids", "n_tokens").dtypes == [("ids", "array<int>"), ("n_tokens", "bigint")]
+    assert sum(r.n_hit for r in decontaminate.hits(wide, spark.createDataFrame(items, "item_id int, text string")).collect()) > 0
+    assert quality.measure(wide, PIECE).select("n_words").dtypes == [("n_words", "bigint")]
+    assert html_text.extract_text(wide.withColumnRenamed("text", "html")).select("n_lines", "text").dtypes[0] == ("n_lines", "bigint")
+
+
+def test_operators_on_empty_tables(spark, docs, empty):
+    none = spark.createDataFrame([], "item_id int, text string")
+    assert decontaminate.hits(empty, none).count() == 0
+    assert {r.n_hit for r in decontaminate.hits(docs, none).collect()} == {0}
+    model = toxicity.fit(empty, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert toxicity.score(empty, model).count() == 0
+    assert repeats.repeat_digests(empty).count() == 0
+    assert tool_calls.link_calls(spark.createDataFrame([], "conv_id long, turn int, role string, text string")).count() == 0
+    assert html_text.extract_text(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_token_cache_with_double_entries(spark, docs, tmp_path):
+    path = f"file://{tmp_path}/cache"
+    first = sorted(token_counts.count_tokens(docs, PIECE, path).collect(), key=lambda r: r.doc_id)
+    spark.read.parquet(path).write.mode("append").parquet(path)  # another run added the same
+    assert sorted(token_counts.count_tokens(docs, PIECE, path).collect(), key=lambda r: r.doc_id) == first
+
+
 def test_toxicity_generalises_to_misspellings():
     rng = random.Random(2)
     bad = ["idiotic", "worthless", "disgusting"]
