@@ -447,12 +447,15 @@ def test_tool_calls(spark):
     df = spark.createDataFrame(CALLS, "conv_id string, turn int, role string, text string")
     got = {(r.conv_id, r.call_id): r for r in tool_calls.link_calls(df).collect()}
     assert {k: (r.level, r.status, r.problems) for k, r in got.items()} == {
-        ("c", "a"): (0, "done", ""), ("c", "b"): (1, "open", "type:words,unknown:odd"), ("c", "x"): (None, "open", "tool"), ("c", "y"): (None, "open", "missing:prompt,missing:words"),
+        ("c", "a"): (0, "done", ""), ("c", "b"): (1, "open", "type:prompt,type:words,unknown:odd"), ("c", "x"): (None, "open", "tool"), ("c", "y"): (None, "open", "missing:prompt,missing:words"),
         ("c", "z"): (2, "early", ""), ("c", "u"): (None, "open", ""), ("d", "a"): (0, "open", ""),
     }
     assert got["c", "a"].call_json == '{"arguments":{"prompt":"x \\"q\\"","words":2},"id":"a","name":"answer","result":"r\\n1"}'
-    assert got["c", "b"].call_json == '{"arguments":{"odd":"1","prompt":null,"words":"two"},"id":"b","name":"revise","result":null}'
+    assert got["c", "b"].call_json == '{"arguments":{"odd":1,"prompt":null,"words":"two"},"id":"b","name":"revise","result":null}'
     assert tool_calls.link_calls(df.limit(0)).count() == 0
+    given = ['{"prompt":5,"words":1}', '{"prompt":"p","words":"12"}', '{"prompt":"p","words":1.5,"first":true}', '{"prompt":"p","words":123456789012345678901,"first":"yes"}', '["p"]', '"p"']
+    more = spark.createDataFrame([("e", i, "assistant", f'{{"tool_calls":[{{"id":"{i}","name":"answer","arguments":{a}}}]}}') for i, a in enumerate(given)], "conv_id string, turn int, role string, text string")
+    assert [r.problems for r in sorted(tool_calls.link_calls(more).collect(), key=lambda r: r.turn)] == ["type:prompt", "type:words", "type:words", "type:first", "missing:prompt,missing:words,object", "missing:prompt,missing:words,object"]
 
 
 def test_html_table_strays():
