@@ -135,3 +135,9 @@ def learning_curve(spark, model, df: DataFrame, features: Sequence[str], every:
     losses = model.stages[-1].evaluateEachIteration(assembled)
     best = min(range(len(losses)), key=losses.__getitem__)
     return spark.createDataFrame([(i + 1, float(x), i == best) for i, x in enumerate(losses) if i % every == every - 1 or i == best], "round int, loss double, is_best boolean")
+
+
+def metrics_record(scored: DataFrame, label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:
+    """One row on a scored table: rows, positives, their share and the mean score of each class."""
+    y, w = F.col(label).cast("double"), F.col(weight) if weight else F.lit(1.0)
+    return scored.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(y), F.lit(0.0)).cast("long").alias("n_positive"), (F.sum(y * w) / F.sum(w)).alias("base_rate"), F.avg(F.when(y > 0, F.col(score))).alias("mean_score_positive"), F.avg(F.when(y == 0, F.col(score))).alias("mean_score_negative"))

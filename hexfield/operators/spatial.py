@@ -109,15 +109,22 @@ def in_box(x: Column, y: Column, boxes: Sequence[tuple[str, float, float, float,
 
 
 def overlay(cells: DataFrame, polygons: DataFrame, key: str, name: str, code: str, size: float) -> DataFrame:
-    """Each cell (convex, counter-clockwise `ring`) with the share of its area under polygons (`outer`
-    ring), 1 at most, the name of the largest piece and the least code; 0 and nulls without any."""
+    """Each cell (convex, counter-clockwise `ring`) with the share of its area under polygons, 1 at most, the
+    name of the largest piece and the least code; 0 and nulls without any.
+
+    A polygon has one `outer` ring, or `rings`: parts counter-clockwise, holes clockwise, as signed areas.
+    Pairs are found by the polygons' boxes alone; the rings are joined to the pairs afterwards, so they
+    are not copied into every bucket.
+    """
     c = cells.withColumn("box", ring_box(F.col("ring")))
-    left = dealt(c, F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), size).select(key, "ring", "bx", "by")
-    p = polygons.withColumn("box", ring_box(F.col("outer")))
-    right = dealt(p, F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), size).select("poly_id", "outer", name, code, "bx", "by")
-    pairs = left.join(right, ["bx", "by"]).dropDuplicates([key, "poly_id"])
-    area = F.abs(ring_area(clip_convex(F.col("outer"), F.col("ring"))))
-    pieces = pairs.withColumn("piece", F.coalesce(area, F.lit(0.0))).filter("piece > 0").withColumn("whole", F.abs(ring_area(F.col("ring"))))
+    left = dealt(c, F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), size).select(key, "bx", "by")
+    p = polygons.withColumn("_rings", F.col("rings") if "rings" in polygons.columns else F.array("outer"))
+    boxes = p.select("poly_id", ring_box(F.flatten("_rings")).alias("box"))
+    right = dealt(boxes, F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), size).select("poly_id", "bx", "by")
+    pairs = left.join(right, ["bx", "by"]).select(key, "poly_id").distinct()
+    held = pairs.join(cells.select(key, "ring"), key).join(p.select("poly_id", "_rings", name, code), "poly_id")
+    area = F.abs(F.aggregate("_rings", F.lit(0.0), lambda total, ring: total + F.coalesce(ring_area(clip_convex(ring, F.col("ring"))), F.lit(0.0))))
+    pieces = held.withColumn("piece", area).filter("piece > 0").withColumn("whole", F.abs(ring_area(F.col("ring"))))
     out = pieces.groupBy(key).agg((F.sum("piece") / F.max("whole")).alias("share"), F.max_by(F.col(name), F.struct("piece", F.col(name))).alias(name), F.min(code).alias(code))
     joined = cells.select(key).join(out, key, "left")
     return joined.withColumn("share", F.least(F.lit(1.0), F.coalesce("share", F.lit(0.0))))

@@ -179,3 +179,25 @@ def row_band(df: DataFrame, least: int, most: int) -> DataFrame:
 def summary(df: DataFrame, measure: str, flags: Sequence[str]) -> DataFrame:
     """Rows, matched rows, exact centre and spread of a measure, and the flags' counts and percentages."""
     return df.agg(F.count("*").alias("rows"), F.count(measure).alias("matched"), F.min(measure).alias("least"), F.percentile(measure, 0.5).alias("median"), F.avg(measure).alias("mean"), F.max(measure).alias("most"), *(F.sum(f).alias(f"n_{f}") for f in flags), *((100 * F.avg(f)).alias(f"pct_{f}") for f in flags))
+
+
+def inspect(df: DataFrame, sentinels: Sequence[float] = (-9999, 9999)) -> DataFrame:
+    """A row for each column: its type, nulls once sentinels are masked, and of numeric ones the least,
+    mean and greatest value; one pass over the table."""
+    from ..functions.clean import mask_sentinels
+
+    masked = mask_sentinels(df, sentinels)
+    numeric = {n for n, t in df.dtypes if t.split("(")[0] in ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")}
+    aggs = []
+    for i, n in enumerate(df.columns):
+        c = masked[n]
+        value = c.cast("double") if n in numeric else F.lit(None).cast("double")
+        aggs += [F.sum(c.isNull().cast("long")).alias(f"nulls_{i}"), F.min(value).alias(f"least_{i}"), F.avg(value).alias(f"mean_{i}"), F.max(value).alias(f"most_{i}")]
+    one = masked.agg(*aggs)
+    rows = F.array(*(F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("type"), F.coalesce(F.col(f"nulls_{i}"), F.lit(0)).alias("nulls"), *(F.col(f"{k}_{i}").alias(k) for k in ("least", "mean", "most"))) for i, (n, t) in enumerate(df.dtypes)))
+    return one.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def prefix_sample(df: DataFrame, n: int, key: str = "cell_id") -> DataFrame:
+    """The n rows of least key: the same ones whenever a job is tried on a part of its cells."""
+    return df.orderBy(key).limit(n)

@@ -21,6 +21,15 @@ ZONES = [(5.0, "Cold"), (12.0, "Cool"), (18.0, "Moderate"), (24.0, "Warm")]
 DENSITIES = [(10.0, "Very Rural"), (50.0, "Rural"), (250.0, "Suburban"), (1000.0, "Urban")]
 
 
+#: Kinds of tribal areas by their names, in lower case: kind, pattern, counter-pattern.
+TRIBAL_NAMES = [
+    ("American Indian Reservation", "reservation|pueblo|rancheria|colony|indian community|indian village", "anvsa|otsa|sdtsa|tdsa|statistical"),
+    ("Off-Reservation Trust Land", "trust land", "joint-use"),
+    ("Hawaiian Home Land", "hawaiian home land", None),
+    ("Joint Use Area", "joint-use", None),
+]
+
+
 def _km(name: str) -> list[Column]:
     metres = F.sqrt("d2")
     return [metres.alias(f"{name}_m"), (metres / 1000).alias(f"{name}_km")]
@@ -147,7 +156,7 @@ def slope(cells: DataFrame, pixels: DataFrame, nodata: float = 255.0) -> DataFra
 
 
 def protected_area(cells: DataFrame, polygons: DataFrame, size: float = 50_000.0) -> DataFrame:
-    """Share of each cell (`ring`) under protected polygons (poly_id, outer, Unit_Nm, GAP_Sts 1 or 2)."""
+    """Share of each cell (`ring`) under protected polygons (poly_id, outer or rings, Unit_Nm, GAP_Sts 1 or 2)."""
     used = polygons.filter(F.col("GAP_Sts").isin("1", "2")).withColumn("gap_status_min", F.col("GAP_Sts").cast("int"))
     out = spatial.overlay(cells, used, KEY, "Unit_Nm", "gap_status_min", size)
     return out.select(KEY, (F.col("share") > 0).cast("int").alias("in_protected_area"), F.col("share").alias("protected_area_pct"), F.col("Unit_Nm").alias("protected_area_name"), "gap_status_min")
@@ -161,9 +170,12 @@ def wetland(land: DataFrame) -> DataFrame:
 
 def hazards(cells: DataFrame, tracts: DataFrame, table: DataFrame, size: float = 50_000.0) -> DataFrame:
     """Hazard scores of the tract (GEOID, rings) that holds each cell, with flags from ratings; the table
-    has c_/i_ flood columns, seismic_ and wildfire_ score, rating and loss, composite ones, and GEOID."""
+    has c_/i_ flood columns, seismic_ and wildfire_ score, rating and loss, composite ones, and GEOID.
+    Scores of a hazard that leave 0 to 100 anywhere in the table are rescaled to it."""
     at = spatial.in_polygon(cells, tracts, KEY, ["GEOID"], size)
     merged = table.select("GEOID", *tables.merged_hazard("c", "i"), *(F.col(f"{h}_{m}") for h in ("seismic", "wildfire") for m in ("score", "rating", "loss")), "composite_score", "composite_rating")
+    for h in ("flood", "seismic", "wildfire"):
+        merged = tables.minmax_if_outside(merged, f"{h}_score")
     out = at.join(merged, "GEOID", "left")
     flags = [clean.rating_flag(F.col("flood_rating"), HIGH).alias("in_floodplain_100yr"), clean.rating_flag(F.col("flood_rating"), MODERATE_UP).alias("in_floodplain_500yr"), clean.rating_flag(F.col("seismic_rating"), HIGH).alias("in_high_seismic"), clean.rating_flag(F.col("wildfire_rating"), HIGH).alias("in_high_wildfire")]
     names = {"score": "risk_score", "rating": "risk_rating", "loss": "eal_dollars"}
@@ -220,13 +232,7 @@ def environmental_justice(cells: DataFrame, groups: DataFrame, table: DataFrame,
 
 def tribal_land(cells: DataFrame, polygons: DataFrame, keep: Sequence[str] = tuple(dict.fromkeys(clean.TRIBAL_KINDS.values())), size: float = 50_000.0) -> DataFrame:
     """Whether a tribal area (LSAD, NAMELSAD, rings) of the kinds kept holds each cell, and its name."""
-    rules = [
-        ("American Indian Reservation", "reservation|pueblo|rancheria|colony|indian community|indian village", "anvsa|otsa|sdtsa|tdsa|statistical"),
-        ("Off-Reservation Trust Land", "trust land", "joint-use"),
-        ("Hawaiian Home Land", "hawaiian home land", None),
-        ("Joint Use Area", "joint-use", None),
-    ]
-    kind = clean.cascade(F.col("LSAD"), clean.TRIBAL_KINDS, F.coalesce("NAMELSAD", F.lit("")), rules)
+    kind = clean.cascade(F.col("LSAD"), clean.TRIBAL_KINDS, F.coalesce("NAMELSAD", F.lit("")), TRIBAL_NAMES)
     at = spatial.in_polygon(cells, polygons.filter(kind.isin(*keep)), KEY, ["NAMELSAD"], size)
     return at.select(KEY, F.col("NAMELSAD").isNotNull().cast("int").alias("in_tribal_land"), F.col("NAMELSAD").alias("tribal_name"))
 

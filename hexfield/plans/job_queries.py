@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import clean
+from ..operators import raster
 from . import features
 from . import layers as L
 
@@ -108,12 +110,138 @@ def job_habitat(spark, d):
     return features.critical_habitat(cells(spark, d), first.unionByName(second))
 
 
-@query(f"WITH {L.POINTS}, {L.BOXES} SELECT CAST(p.id AS VARCHAR) AS cell_id, CAST(coalesce(poly_id % 4 = 1 OR poly_id % 4 = 2, FALSE) AS INTEGER) AS in_floodplain_100yr, CAST(coalesce(poly_id % 4 = 1 OR poly_id % 4 = 2 OR poly_id % 4 = 3, FALSE) AS INTEGER) AS in_floodplain_500yr, coalesce(b.poly_id * 2e0, -1) AS flood_risk_score FROM points p LEFT JOIN boxes b ON x > x0 AND x < x1 AND y > y0 AND y < y1")
+INSIDE = "x > x0 AND x < x1 AND y > y0 AND y < y1"
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.BOXES} SELECT CAST(p.id AS VARCHAR) AS cell_id, CAST(coalesce(poly_id % 4 = 1 OR poly_id % 4 = 2, FALSE) AS INTEGER) AS in_floodplain_100yr, CAST(coalesce(poly_id % 4 <> 0, FALSE) AS INTEGER) AS in_floodplain_500yr,
+CAST(coalesce(poly_id % 3 = 1, FALSE) AS INTEGER) AS in_high_seismic, CAST(coalesce(poly_id % 5 = 2, FALSE) AS INTEGER) AS in_high_wildfire, poly_id * 2e0 AS flood_risk_score, CASE poly_id % 4 WHEN 0 THEN 'Very Low' WHEN 1 THEN 'Relatively High' WHEN 2 THEN 'Very High' WHEN 3 THEN 'Relatively Moderate' END AS flood_risk_rating,
+poly_id * 3e0 AS flood_eal_dollars, CAST(floor((poly_id * 10e0 + 5) * 1000 / 240 * 100 - 5e0 * 1000 / 240 * 100 + 0.5e0) AS BIGINT) AS seismic_risk_score, CAST(floor(poly_id * 4e0 * 1000 + 0.5e0) AS BIGINT) AS wildfire_risk_score, poly_id * 7e0 AS wildfire_eal_dollars, poly_id * 1e0 AS composite_risk_score, CAST(poly_id AS VARCHAR) AS tract_fips
+FROM points p LEFT JOIN boxes b ON {INSIDE}"""
+)
 def job_hazards(spark, d):
-    """Hazard flags of the tract that holds each cell."""
+    """Hazard scores and flags of the tract that holds each cell; seismic scores leave 0 to 100 and are rescaled."""
     b = L.boxes(spark, d)
     tracts = b.select(F.col("poly_id").cast("string").alias("GEOID"), "rings")
-    rating = F.element_at(F.array(F.lit("Very Low"), F.lit("Relatively High"), F.lit("Very High"), F.lit("Relatively Moderate")), (F.col("poly_id") % 4 + 1).cast("int"))
-    none = F.lit(None).cast("double")
-    table = b.select(F.col("poly_id").cast("string").alias("GEOID"), (F.col("poly_id") * 2.0).alias("c_score"), F.col("poly_id").cast("double").alias("i_score"), rating.alias("c_rating"), F.lit("x").alias("i_rating"), none.alias("c_loss"), none.alias("i_loss"), *(none.alias(f"{h}_{m}") for h in ("seismic", "wildfire") for m in ("score", "loss")), *(F.lit("No Rating").alias(f"{h}_rating") for h in ("seismic", "wildfire")), none.alias("composite_score"), F.lit("x").alias("composite_rating"))
-    return features.hazards(cells(spark, d), tracts, table, 10_000.0).select("cell_id", "in_floodplain_100yr", "in_floodplain_500yr", F.coalesce("flood_risk_score", F.lit(-1.0)).alias("flood_risk_score"))
+    k = F.col("poly_id")
+    rating = F.element_at(F.array(F.lit("Very Low"), F.lit("Relatively High"), F.lit("Very High"), F.lit("Relatively Moderate")), (k % 4 + 1).cast("int"))
+    high = lambda c: F.when(c, "Very High").otherwise("No Rating")
+    number = lambda c: c.cast("double")
+    table = b.select(
+        k.cast("string").alias("GEOID"), number(k * 2).alias("c_score"), number(k).alias("i_score"), rating.alias("c_rating"), F.lit("x").alias("i_rating"), number(k).alias("c_loss"), number(k * 2).alias("i_loss"),
+        number(k * 10 + 5).alias("seismic_score"), high(k % 3 == 1).alias("seismic_rating"), number(k).alias("seismic_loss"), number(k * 4).alias("wildfire_score"), high(k % 5 == 2).alias("wildfire_rating"), number(k * 7).alias("wildfire_loss"),
+        number(k).alias("composite_score"), F.lit("x").alias("composite_rating"),
+    )
+    out = features.hazards(cells(spark, d), tracts, table, 10_000.0)
+    return out.select("cell_id", "in_floodplain_100yr", "in_floodplain_500yr", "in_high_seismic", "in_high_wildfire", "flood_risk_score", "flood_risk_rating", "flood_eal_dollars", milli("seismic_risk_score"), milli("wildfire_risk_score"), "wildfire_eal_dollars", "composite_risk_score", "tract_fips")
+
+
+GROUPS_SQL = ", ".join(f"CAST(floor(avg(CASE WHEN class IN ({', '.join(map(str, g))}) THEN 1e0 ELSE 0e0 END) * 1000 + 0.5e0) AS BIGINT) AS pct_{n}" for n, g in raster.CLASS_GROUPS.items())
+NAMES_SQL = " ".join(f"WHEN {k} THEN '{v}'" for k, v in raster.CLASS_NAMES.items())
+
+
+@query(
+    f"""WITH {ZONED}, n AS (SELECT zone, class, count(*) AS n FROM pixels GROUP BY 1, 2), best AS (SELECT zone, arg_min(class, -n * 1000 + class) AS dominant_class FROM n GROUP BY 1), k AS (SELECT zone, count(*) AS total_pixels, {GROUPS_SQL} FROM pixels GROUP BY 1)
+SELECT CAST(zone AS VARCHAR) AS cell_id, dominant_class, CASE dominant_class {NAMES_SQL} END AS dominant_class_name, k.* EXCLUDE (zone) FROM k JOIN best USING (zone)"""
+)
+def job_land_cover(spark, d):
+    """Shares of land-cover classes by zone and the dominant class."""
+    p = L.pixels(spark, d).withColumn("cell_id", F.col("zone").cast("string"))
+    out = features.land_cover(p.select("cell_id").distinct(), p)
+    return out.select("cell_id", "dominant_class", "dominant_class_name", "total_pixels", *(milli(f"pct_{n}") for n in raster.CLASS_GROUPS))
+
+
+@query(f"WITH {ZONED}, v AS (SELECT zone, CAST(value % 128 AS DOUBLE) AS v FROM pixels WHERE value % 128 <> 127) SELECT CAST(zone AS VARCHAR) AS cell_id, CAST(floor(avg(v) * 1000 + 0.5e0) AS BIGINT) AS mean_impervious_pct, max(v) AS max_impervious_pct, CAST(floor(avg(CASE WHEN v >= 50 THEN 1e0 ELSE 0e0 END) * 1000 + 0.5e0) AS BIGINT) AS pct_high_impervious, CAST(avg(v) >= 30 AS INTEGER) AS is_built_up, count(*) AS valid_pixel_count FROM v GROUP BY 1")
+def job_impervious(spark, d):
+    """Imperviousness by zone, one value standing for missing."""
+    p = L.pixels(spark, d).select(F.col("zone").cast("string").alias("cell_id"), (F.col("value") % 128).cast("double").alias("value"))
+    out = features.impervious(p.select("cell_id").distinct(), p, 127.0).filter("valid_pixel_count > 0")
+    return out.select("cell_id", milli("mean_impervious_pct"), "max_impervious_pct", milli("pct_high_impervious"), "is_built_up", "valid_pixel_count")
+
+
+LAPPED = "greatest(0e0, least(x + 1000, {x1}) - greatest(x - 1000, {x0})) * greatest(0e0, least(y + 1000, {y1}) - greatest(y - 1000, {y0}))"
+OUTER = LAPPED.format(x0="x0", x1="x1", y0="y0", y1="y1")
+HOLE = LAPPED.format(x0="(x0 + 4000)", x1="(x1 - 4000)", y0="(y0 + 4000)", y1="(y1 - 4000)")
+ISLAND = LAPPED.format(x0="(x0 + 6000)", x1="(x1 - 6000)", y0="(y0 + 6000)", y1="(y1 - 6000)")
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.BOXES}, j AS (SELECT id, poly_name, poly_id % 3 + 1 AS gap, {OUTER} - {HOLE} + {ISLAND} AS piece FROM points p JOIN boxes b ON poly_id % 3 <> 2 AND x + 1000 > x0 AND x - 1000 < x1 AND y + 1000 > y0 AND y - 1000 < y1),
+o AS (SELECT id, sum(piece) / 4e6 AS share, arg_max(poly_name, piece) AS poly_name, min(gap) AS gap FROM j WHERE piece > 0 GROUP BY 1)
+SELECT CAST(p.id AS VARCHAR) AS cell_id, CAST(coalesce(share, 0) > 0 AS INTEGER) AS in_protected_area, CAST(floor(coalesce(share, 0) * 1000 + 0.5e0) AS BIGINT) AS protected_area_pct, poly_name AS protected_area_name, CAST(gap AS INTEGER) AS gap_status_min FROM points p LEFT JOIN o ON p.id = o.id"""
+)
+def job_protected(spark, d):
+    """Share of square cells under areas that have a hole with an island in it."""
+    around = lambda m, turn: F.array(*(F.struct(x.alias("x"), y.alias("y")) for x, y in [(F.col("x0") + m, F.col("y0") + m), (F.col("x1") - m, F.col("y0") + m), (F.col("x1") - m, F.col("y1") - m), (F.col("x0") + m, F.col("y1") - m)][::turn]))
+    areas = L.boxes(spark, d).select("poly_id", F.array(around(0, 1), around(4000, -1), around(6000, 1)).alias("rings"), F.col("poly_name").alias("Unit_Nm"), (F.col("poly_id") % 3 + 1).cast("string").alias("GAP_Sts"))
+    square = F.array(*(F.struct((F.col("x") + a).alias("x"), (F.col("y") + b).alias("y")) for a, b in ((-1000, -1000), (1000, -1000), (1000, 1000), (-1000, 1000))))
+    out = features.protected_area(cells(spark, d).select("cell_id", square.alias("ring")), areas, 10_000.0)
+    return out.select("cell_id", "in_protected_area", milli("protected_area_pct"), "protected_area_name", "gap_status_min")
+
+
+MONTHS = ", ".join(f"({m}, {n})" for m, n in enumerate(clean.DAYS, 1))
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.PIXELS}, days(m, n) AS (VALUES {MONTHS}), t AS (SELECT p.id, value % 35 - 6 AS mean, value FROM points p LEFT JOIN pixels ON row = p.id % 300 AND col = (p.id * 7) % 300),
+c AS (SELECT id, sum(greatest((value + m * 3) % 35 - 6 - 18.3e0, 0e0) * n) AS cdd FROM t CROSS JOIN days WHERE value IS NOT NULL GROUP BY 1)
+SELECT CAST(t.id AS VARCHAR) AS cell_id, CAST(mean AS DOUBLE) AS mean_temp_c, CAST(floor(cdd * 1000 + 0.5e0) AS BIGINT) AS annual_cdd, CASE WHEN mean IS NULL THEN NULL WHEN mean < 5 THEN 'Cold' WHEN mean < 12 THEN 'Cool' WHEN mean < 18 THEN 'Moderate' WHEN mean < 24 THEN 'Warm' ELSE 'Hot' END AS climate_zone, CAST(coalesce(mean < 12, FALSE) AS INTEGER) AS cooling_favorable
+FROM t LEFT JOIN c ON t.id = c.id"""
+)
+def job_climate(spark, d):
+    """Temperature of the year and its months under each cell."""
+    bands = L.pixels(spark, d).select("row", "col", "value", F.explode(F.sequence(F.lit(0), F.lit(12))).alias("band"))
+    pixels = bands.select("row", "col", "band", ((F.col("value") + F.col("band") * 3) % 35 - 6).cast("double").alias("value"))
+    at = cells(spark, d).select("cell_id", (F.col("id") % 300).cast("int").alias("row"), (F.col("id") * 7 % 300).cast("int").alias("col"))
+    return features.climate(at, pixels).select("cell_id", "mean_temp_c", milli("annual_cdd"), "climate_zone", "cooling_favorable")
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.BOXES}, b AS (SELECT *, CASE WHEN poly_id % 7 <> 3 THEN poly_id * 2e0 END AS raw FROM boxes), s AS (SELECT p.id, p.x, p.y, b.* FROM points p LEFT JOIN b ON {INSIDE} AND raw IS NOT NULL),
+o AS (SELECT p.id, arg_max(b.poly_id, coalesce(raw, -1)) AS poly_id FROM points p JOIN b ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY 1), j AS (SELECT s.id, b.* FROM s LEFT JOIN o ON s.id = o.id LEFT JOIN b ON b.poly_id = coalesce(s.poly_id, o.poly_id))
+SELECT CAST(id AS VARCHAR) AS cell_id, raw AS water_stress_score, CAST(poly_id % 6 - 1 AS BIGINT) AS water_stress_cat, poly_name AS water_stress_label, CAST(coalesce(poly_id % 6 - 1 >= 3, FALSE) AS INTEGER) AS high_water_stress, CAST(coalesce(poly_id % 6 - 1 = 4, FALSE) AS INTEGER) AS extreme_water_stress, CAST(coalesce(poly_id % 6 = 0, FALSE) AS INTEGER) AS arid_low_use,
+poly_id * 3e0 AS water_depletion_score, CAST(coalesce(poly_id % 4 >= 2, FALSE) AS INTEGER) AS high_drought_risk, CAST(coalesce(poly_id / 24e0 >= 0.5, FALSE) AS INTEGER) AS high_drought_risk_raw, code * 1e0 AS overall_water_risk FROM j"""
+)
+def job_water(spark, d):
+    """Water risk of the basin that holds each cell; a sentinel stands for no score."""
+    k = F.col("poly_id")
+    basins = L.boxes(spark, d).select(
+        "rings", F.when(k % 7 != 3, k * 2.0).otherwise(-9999.0).alias("bws_raw"), (k % 6 - 1).cast("double").alias("bws_cat"), F.col("poly_name").alias("bws_label"), (k * 3.0).alias("bwd_raw"), F.lit(1.0).alias("iav_raw"), F.lit(1.0).alias("gtd_raw"), (k / 24.0).alias("drr_raw"), (k % 4).cast("double").alias("drr_cat"), F.col("code").cast("double").alias("w_awr_def_tot_raw"),
+    )
+    out = features.water_stress(cells(spark, d), basins, 10_000.0)
+    return out.select("cell_id", "water_stress_score", "water_stress_cat", "water_stress_label", "high_water_stress", "extreme_water_stress", "arid_low_use", "water_depletion_score", "high_drought_risk", "high_drought_risk_raw", "overall_water_risk")
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.BOXES}, g AS (SELECT * FROM boxes WHERE code <> 2)
+SELECT CAST(p.id AS VARCHAR) AS cell_id, CAST(poly_id AS VARCHAR) AS block_group_fips, poly_id * 4e0 AS pm25_pctile, CASE WHEN poly_id % 5 <> 0 THEN poly_id * 3e0 END AS traffic_pctile, CAST(floor(poly_id / 8e0 * 1000 + 0.5e0) AS BIGINT) AS demographic_index, CAST(coalesce(poly_id * 4 >= 80, FALSE) AS INTEGER) AS high_pm25, 0 AS high_traffic, CAST(coalesce(poly_id / 8e0 >= 2, FALSE) AS INTEGER) AS high_ej_burden, poly_id * 1e0 AS ej_pm25_pctile, CASE WHEN poly_id IS NOT NULL THEN CAST(floor(least(1e0, poly_id / 32e0) * 1000 + 0.5e0) AS BIGINT) END AS demographic_index_norm
+FROM points p LEFT JOIN g ON {INSIDE}"""
+)
+def job_justice(spark, d):
+    """Percentiles of the block group that holds each cell, those of territories left out."""
+    k = F.col("poly_id")
+    b = L.boxes(spark, d).filter("code <> 2")
+    groups = b.select(k.cast("string").alias("GEOID"), "rings")
+    table = b.select(k.cast("string").alias("ID"), (k * 4).cast("string").alias("P_PM25"), F.when(k % 5 == 0, "none").otherwise((k * 3).cast("string")).alias("P_PTRAF"), (k / 8.0).cast("string").alias("DEMOGIDX_2"), F.concat(k.cast("string"), F.lit(" %ile")).alias("T_PM25"), F.lit("n/a").alias("T_PTRAF"))
+    out = features.environmental_justice(cells(spark, d), groups, table, 10_000.0)
+    return out.select("cell_id", "block_group_fips", "pm25_pctile", "traffic_pctile", milli("demographic_index"), "high_pm25", "high_traffic", "high_ej_burden", "ej_pm25_pctile", milli("demographic_index_norm"))
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.SITES}, op AS (SELECT site_nation % 7 AS state, site_nation AS county, site % 3 AS ba, CAST(mw AS DOUBLE) AS mw FROM sites), qu AS (SELECT nation % 7 AS state, nation AS county, id % 4 AS ba, CAST(id % 50 AS DOUBLE) AS mw FROM points WHERE segment = 'BUILDING'),
+oc AS (SELECT county, sum(mw) AS mw FROM op GROUP BY 1), qc AS (SELECT county, sum(mw) AS mw, count(*) AS n FROM qu GROUP BY 1), ob AS (SELECT ba, sum(mw) AS mw FROM op GROUP BY 1), qb AS (SELECT ba, sum(mw) AS mw, count(*) AS n FROM qu GROUP BY 1),
+bn AS (SELECT county, ba, count(*) AS n FROM op GROUP BY 1, 2), bc AS (SELECT county, arg_min(ba, -n * 10 + ba) AS ba FROM bn GROUP BY 1)
+SELECT CAST(p.id AS VARCHAR) AS cell_id, 'B' || bc.ba AS ba_code, coalesce(oc.mw, 0) AS operating_capacity_mw, coalesce(qc.mw, 0) AS queue_capacity_mw, coalesce(qc.n, 0) AS queue_generator_count, CAST(floor(coalesce(qc.mw, 0) / greatest(coalesce(oc.mw, 0), 1e0) * 1000 + 0.5e0) AS BIGINT) AS queue_congestion_ratio,
+CASE WHEN bc.ba IS NULL THEN 0 ELSE coalesce(ob.mw, 0) END AS operating_capacity_mw_ba, CASE WHEN bc.ba IS NULL THEN 0 ELSE coalesce(qb.mw, 0) END AS queue_capacity_mw_ba, CASE WHEN bc.ba IS NULL THEN 0 ELSE coalesce(qb.n, 0) END AS queue_generator_count_ba
+FROM points p LEFT JOIN oc ON oc.county = p.nation LEFT JOIN qc ON qc.county = p.nation LEFT JOIN bc ON bc.county = p.nation LEFT JOIN ob ON ob.ba = bc.ba LEFT JOIN qb ON qb.ba = bc.ba"""
+)
+def job_capacity(spark, d):
+    """Operating and queued capacity by county and by the county's most frequent authority."""
+    place = lambda n: [(n % 7).cast("string").alias("state"), n.cast("string").alias("county")]
+    code = lambda c: F.concat(F.lit("B"), c.cast("string")).alias("ba_code")
+    s, p = L.sites(spark, d), L.points(spark, d)
+    operating = s.select(*place(F.col("site_nation")), code(F.col("site") % 3), F.col("mw").cast("double").alias("mw"))
+    queued = p.filter("segment = 'BUILDING'").select(*place(F.col("nation")), code(F.col("id") % 4), (F.col("id") % 50).cast("double").alias("mw"))
+    at = p.select(F.col("id").cast("string").alias("cell_id"), *place(F.col("nation")))
+    out = features.capacity_and_queue(at, operating, queued, operating.withColumn("ba_name", F.concat(F.lit("name "), "ba_code")))
+    return out.select("cell_id", "ba_code", "operating_capacity_mw", "queue_capacity_mw", "queue_generator_count", milli("queue_congestion_ratio"), "operating_capacity_mw_ba", "queue_capacity_mw_ba", "queue_generator_count_ba")

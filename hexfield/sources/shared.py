@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one is made only where the session names none (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder in spark.checkpoint.dir.  A session without one gets a folder of its own only where it
+    runs on this machine alone (tests); on a cluster that is an error, since executors would not share it."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 

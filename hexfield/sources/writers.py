@@ -49,3 +49,8 @@ def write_basemap(df: DataFrame, path: str, columns: Sequence[str], score: str,
 def append_results(df: DataFrame, path: str) -> None:
     """Results by key added to a store of JSON lines."""
     df.write.mode("append").json(path)
+
+
+def write_reasons(explained: DataFrame, path: str, key: str = "cell_id") -> None:
+    """Cells with their lists of reasons as JSON lines."""
+    explained.select(key, "reasons").write.mode("overwrite").json(path)
