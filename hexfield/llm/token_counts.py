@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import in_arrow, table_path
+from .store import in_arrow, table_path, written
 from .text import chunks
 
 CACHE_SCHEMA = "version string, digest string, n_tokens bigint"
@@ -86,7 +86,8 @@ def count_tokens(docs: DataFrame, model: str, cache_path: str | None = None) ->
     texts = docs.select("doc_id", text.alias("text"), F.sha2(text, 256).alias("key"))
     missing = texts.join(misses, (F.col("key") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
     in_arrow(missing.select("digest", "text"), _encode(model, version), CACHE_SCHEMA).write.mode("append").parquet(path)
-    return keyed.join(stored_counts(spark, path, version), "digest")
+    # written first: a join right above the aggregation could not split a digest that many rows share
+    return keyed.join(written(stored_counts(spark, path, version), "counts"), "digest")
 
 
 def op3_token_counts(spark, sf_dir: str) -> DataFrame:
