@@ -27,6 +27,23 @@ def repeats(docs: list[str | None], length: int) -> list[tuple[int, int, int, st
     return out
 
 
+def without_passages(docs: list[str | None], length: int, words: int) -> list[str | None]:
+    """Each text without its runs of repeated strings that hold so many words, whole or in part."""
+    raw = [(t or "").encode() for t in docs]
+    seen = Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
+    out: list[str | None] = []
+    for t, b in zip(docs, raw, strict=True):
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if seen[b[i : i + length]] > 1:
+                gone[i : i + length] = b"\x01" * length
+        cut = [(m.start(), m.end()) for m in re.finditer(b"\x01+", bytes(gone))]
+        cut = [(x, y) for x, y in cut if sum(1 for m in re.finditer(rb"[^\x20\x09-\x0D]+", b) if m.start() < y and m.end() > x) >= words]
+        kept = b"".join(b[i : i + 1] for i in range(len(b)) if not any(x <= i < y for x, y in cut))
+        out.append(t if t is None or not cut else kept.decode(errors="ignore"))
+    return out
+
+
 def quality(text: str | None) -> tuple[int, int, int, int, int, bool]:
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
