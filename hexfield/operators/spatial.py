@@ -32,26 +32,39 @@ def dealt(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column, size: f
     return df.withColumn("bx", span(x0, x1)).withColumn("by", span(y0, y1))
 
 
-def _span(points: DataFrame, targets: DataFrame, corners: Sequence[str]) -> float:
-    """The longer side of the box around everything; 0 without targets."""
+def dealt_along(df: DataFrame, x1: Column, y1: Column, x2: Column, y2: Column, size: float) -> DataFrame:
+    """One row for every bucket that lies within a bucket's size of a segment.  Rows follow the line column
+    by column, so a long diagonal costs its length in buckets, not the square of it."""
+    strip = df.withColumn("bx", F.explode(F.sequence(_bucket(F.least(x1, x2) - size, size), _bucket(F.greatest(x1, x2) + size, size))))
+    along = lambda edge: F.when(x1 == x2, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (edge - x1) / (x2 - x1))))
+    at = lambda t: y1 + t * (y2 - y1)
+    near, far = at(along((F.col("bx") - 1) * size)), at(F.when(x1 == x2, 1.0).otherwise(along((F.col("bx") + 2) * size)))
+    return strip.withColumn("by", F.explode(F.sequence(_bucket(F.least(near, far) - size, size), _bucket(F.greatest(near, far) + size, size))))
+
+
+def _extent(points: DataFrame, targets: DataFrame, corners: Sequence[str]) -> tuple[float, int]:
+    """The longer side of the box around everything, 0 without targets, and how many targets there are."""
     xs, ys = corners[0::2], corners[1::2]
     p = points.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-    t = targets.agg(*(f(c) for c in xs for f in (F.min, F.max)), *(f(c) for c in ys for f in (F.min, F.max))).first()
+    t = targets.agg(*(f(c) for c in xs for f in (F.min, F.max)), *(f(c) for c in ys for f in (F.min, F.max)), F.count("*")).first()
     if p[0] is None or t[0] is None:
-        return 0.0
+        return 0.0, 0
     n = 2 * len(xs)
-    return float(max(max(p[1], *t[:n]) - min(p[0], *t[:n]), max(p[3], *t[n:]) - min(p[2], *t[n:])))
+    return float(max(max(p[1], *t[:n]) - min(p[0], *t[:n]), max(p[3], *t[n : 2 * n]) - min(p[2], *t[n : 2 * n]))), t[2 * n]
 
 
 def _expanding(points: DataFrame, targets: DataFrame, corners: Sequence[str], d2: Column, attrs: Sequence[str], key: str, radius: float, growth: float) -> DataFrame:
     """Exact nearest target of every point: a hit within the searched radius is final, the other points
-    go on with a greater one; the last round reaches over everything."""
-    whole = _span(points, targets, corners)
+    go on with a greater one; the last round reaches over everything.  The first radius is the given one, or
+    a smaller one where so many targets lie evenly in the whole box that about a dozen are within it; so a
+    bucket's targets stay few however many there are."""
+    whole, count = _extent(points, targets, corners)
+    if whole and count:
+        radius = min(radius, whole * (4 / count) ** 0.5)
     left, found = points.filter("x is not null and y is not null"), None
     while whole or found is None:
-        xs, ys = [F.col(c) for c in corners[0::2]], [F.col(c) for c in corners[1::2]]
-        low, high = (lambda cs: F.least(*cs) if len(cs) > 1 else cs[0]), (lambda cs: F.greatest(*cs) if len(cs) > 1 else cs[0])
-        near = dealt(targets, low(xs) - radius, low(ys) - radius, high(xs) + radius, high(ys) + radius, radius)
+        ends = [F.col(c) for c in corners]
+        near = dealt_along(targets, *ends, radius) if len(ends) == 4 else dealt(targets, ends[0] - radius, ends[1] - radius, ends[0] + radius, ends[1] + radius, radius)
         best = bucketed(left.select(key, "x", "y"), "x", "y", radius).join(near, ["bx", "by"]).groupBy(key).agg(F.min(F.struct(d2.alias("d2"), *attrs)).alias("n"))
         hits = best if radius > whole else best.filter(F.col("n.d2") <= radius * radius)
         hits = materialized(hits.select(key, "n.*"))
