@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..functions.clean import nan_to_null
+from ..functions.clean import nan_to_null, number
 
 
 def trimmed(df: DataFrame) -> DataFrame:
@@ -36,6 +36,13 @@ def flattened(df: DataFrame, levels: Sequence[Sequence[str]]) -> DataFrame:
     return df.toDF(*names)
 
 
+def read_sheet(df: DataFrame, levels: Sequence[Sequence[str]], keys: Sequence[str], numbers: Sequence[str] = (), names: dict[str, str] | None = None) -> DataFrame:
+    """A staged sheet of texts: names from its header rows, some of them changed, rows without a key left
+    out, numbers read as such (what is none becomes null)."""
+    t = trimmed(flattened(df, levels)).withColumnsRenamed(names or {})
+    return t.withColumns({c: number(F.col(c)) for c in numbers}).dropna(subset=list(keys))
+
+
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A Parquet table, or some of its columns."""
     df = spark.read.parquet(path)
@@ -43,10 +50,12 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def read_months(spark: SparkSession, path: str, pattern: str, schema: StructType | str) -> DataFrame:
-    """Files below a folder whose names tell a month: `band` is 1-12 from the name's ..._MM, 0 without."""
+    """Files below a folder whose names tell a month: `band` is 1-12 from the name's ..._MM, 0 without.  A
+    table that Spark wrote is a folder of part files, and counts by the folder's name."""
     df = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).parquet(path)
     month = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{2})(?:\D|$)", 1)
-    return df.withColumn("band", F.coalesce(month.try_cast("int"), F.lit(0)))
+    of_folder = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{2})(?:\D[^/]*)?/part-[^/]*$", 1)
+    return df.withColumn("band", F.coalesce(month.try_cast("int"), of_folder.try_cast("int"), F.lit(0)))
 
 
 def require_bands(df: DataFrame, bands: Sequence[int]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 
 def write_parquet(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -18,16 +19,17 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     df.select(*columns).write.mode("overwrite").csv(path, header=True)
 
 
-def feature(ring: Column, properties: Sequence[str]) -> Column:
+def feature(ring: Column, properties: Sequence[str | Column]) -> Column:
     """A GeoJSON feature as text: the ring closed, [x, y] corners."""
     corners = F.transform(ring, lambda p: F.array(p["x"], p["y"]))
     geometry = F.struct(F.lit("Polygon").alias("type"), F.array(F.concat(corners, F.slice(corners, 1, 1))).alias("coordinates"))
     return F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*properties).alias("properties")))
 
 
-def write_features(df: DataFrame, path: str, ring: str, properties: Sequence[str]) -> DataFrame:
-    """GeoJSON features, one a line, and the frame of their counts."""
-    lines = df.select(feature(F.col(ring), properties).alias("value"))
+def write_features(df: DataFrame, path: str, ring: str, properties: Sequence[str], digits: int | None = None) -> DataFrame:
+    """GeoJSON features, one a line, fractions rounded to some digits, and the frame of their counts."""
+    fractions = {f.name for f in df.schema.fields if digits is not None and isinstance(f.dataType, (DoubleType, FloatType))}
+    lines = df.select(feature(F.col(ring), [F.round(c, digits).alias(c) if c in fractions else F.col(c) for c in properties]).alias("value"))
     lines.write.mode("overwrite").text(path)
     return df.agg(F.count("*").alias("features"))
 
