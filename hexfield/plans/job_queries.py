@@ -245,3 +245,88 @@ def job_capacity(spark, d):
     at = p.select(F.col("id").cast("string").alias("cell_id"), *place(F.col("nation")))
     out = features.capacity_and_queue(at, operating, queued, operating.withColumn("ba_name", F.concat(F.lit("name "), "ba_code")))
     return out.select("cell_id", "ba_code", "operating_capacity_mw", "queue_capacity_mw", "queue_generator_count", milli("queue_congestion_ratio"), "operating_capacity_mw_ba", "queue_capacity_mw_ba", "queue_generator_count_ba")
+
+
+@query(
+    f"""WITH {L.POINTS}, t AS (SELECT s_suppkey AS u, s_suppkey % 50 * 1000e0 AS revenue, s_suppkey % 20 * 100e0 AS volume FROM supplier WHERE s_suppkey % 5 <> 0 AND s_suppkey % 20 >= 10), m AS (SELECT DISTINCT id % 97 + 1 AS u, nation FROM points), z AS (SELECT u, count(*) AS n FROM m GROUP BY 1),
+e AS (SELECT m.u % 7 AS state, nation, sum(revenue / n) / sum(volume / n) AS price, count(*) AS utilities FROM m JOIN z USING (u) JOIN t USING (u) GROUP BY 1, 2)
+SELECT CAST(p.id AS VARCHAR) AS cell_id, CAST(floor(price * 1000 + 0.5e0) AS BIGINT) AS industrial_price_mwh, utilities AS utility_count FROM points p LEFT JOIN e ON e.state = p.id % 7 AND e.nation = p.nation"""
+)
+def job_price(spark, d):
+    """Industrial price by county, sales dealt evenly over the counties that a utility serves; small ones left out."""
+    s, p = L.sites(spark, d), L.points(spark, d)
+    state = lambda c: (c % 7).cast("string").alias("state")
+    k, u = F.col("site"), F.col("id") % 97 + 1
+    sales = s.select(k.cast("string").alias("utility_number"), state(k), F.when(k % 5 == 0, "B").otherwise("A").alias("part"), F.lit("Bundled").alias("service_type"), (k % 50).cast("double").alias("revenue_kusd"), (k % 20 * 100).cast("double").alias("sales_mwh"))
+    territory = p.select(u.cast("string").alias("utility_number"), state(u), F.col("nation").cast("string").alias("county"))
+    at = p.select(F.col("id").cast("string").alias("cell_id"), state(F.col("id")), F.col("nation").cast("string").alias("county"))
+    return features.industrial_price(at, sales, territory).select("cell_id", milli("industrial_price_mwh"), "utility_count")
+
+
+def _mix_sql(end):
+    share = lambda c: f"CAST(floor(100e0 * {c} / nullif(sun + nc + cl, 0) * 1000 + 0.5e0) AS BIGINT)"
+    return f"{share('sun')} AS renewable_pct_{end}, {share('nc')} AS nuclear_pct_{end}, {share('cl')} AS fossil_pct_{end}, co2 AS co2_lb_mwh_{end}, net AS net_generation_mwh_{end}"
+
+
+def _fuel_sql(key):
+    part = lambda i: f"CAST(sum(CASE WHEN site % 3 = {i} THEN mw ELSE 0 END) AS DOUBLE)"
+    return f"SELECT {key} AS k, {part(0)} AS sun, {part(1)} AS nc, {part(2)} AS cl, CAST(max(mw) AS DOUBLE) AS co2, CAST(sum(mw) AS DOUBLE) AS net FROM sites GROUP BY 1"
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.SITES}, {L.BOXES}, g1 AS ({_fuel_sql('site % 10')}), g2 AS ({_fuel_sql('site_nation')}), a AS (SELECT k AS ba, {_mix_sql('ba')} FROM g1), s AS (SELECT k AS sub, {_mix_sql('subregion')} FROM g2),
+n AS (SELECT site_nation AS county, site % 10 AS ba, count(*) AS n FROM sites GROUP BY 1, 2), c AS (SELECT county, arg_min(ba, -n * 100 + ba) AS ba FROM n GROUP BY 1)
+SELECT CAST(p.id AS VARCHAR) AS cell_id, poly_name AS egrid_subregion, 'B' || c.ba AS ba_code, a.* EXCLUDE (ba), s.* EXCLUDE (sub) FROM points p LEFT JOIN boxes ON {INSIDE} LEFT JOIN c ON c.county = p.nation LEFT JOIN a ON a.ba = c.ba LEFT JOIN s ON s.sub = poly_id"""
+)
+def job_grid_mix(spark, d):
+    """The subregion that holds each cell, its county's authority, and the generation of both by fuel."""
+    s = L.sites(spark, d)
+    fuels = ["SUN", "NC", "CL"]
+    rows = lambda key: s.groupBy(key).agg(*(F.sum(F.when(F.col("site") % 3 == i, F.col("mw")).otherwise(0)).cast("double").alias(n) for i, n in enumerate(fuels)), F.max("mw").cast("double").alias("co2"), F.lit(0.0).alias("co2e"), F.sum("mw").cast("double").alias("net"))
+    mix = lambda r, key, end: features.generation_mix(r, key, end, fuels, ["SUN"], fossil=["CL"])
+    code = F.concat(F.lit("B"), (F.col("site") % 10).cast("string")).alias("ba_code")
+    boxes = L.boxes(spark, d).withColumnRenamed("poly_name", "egrid_subregion")
+    names = boxes.select(F.col("poly_id").alias("site_nation"), "egrid_subregion")
+    by_subregion = rows(F.col("site_nation")).join(names, "site_nation")
+    counties = s.select(F.col("site_nation").cast("string").alias("county_fips"), code, F.concat(F.lit("name "), code).alias("ba_name"))
+    at = cells(spark, d).withColumn("county_fips", F.col("nation").cast("string"))
+    out = features.grid_mix(at, boxes.select("egrid_subregion", "rings"), counties, mix(rows(code), "ba_code", "ba"), mix(by_subregion, "egrid_subregion", "subregion"), 10_000.0)
+    kept = [f"{c}_{end}" for end in ("ba", "subregion") for c in ("co2_lb_mwh", "net_generation_mwh")]
+    return out.select("cell_id", "egrid_subregion", "ba_code", *kept, *(milli(f"{c}_pct_{end}") for end in ("ba", "subregion") for c in ("renewable", "nuclear", "fossil")))
+
+
+def _nearest_sql(name, where):
+    return f"{name} AS (SELECT id, s.*, {D2} AS d2, row_number() OVER (PARTITION BY id ORDER BY {D2}, site_name) AS k FROM points p, sites s WHERE {where})"
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.SITES}, {_nearest_sql('a', 'mw >= 50')}, {_nearest_sql('b', 'mw >= 250')}, {_nearest_sql('c', 'mw % 7 = 0')}, w AS (SELECT id, count(*) AS n FROM c WHERE d2 <= 400000000e0 GROUP BY 1)
+SELECT CAST(p.id AS VARCHAR) AS cell_id, CAST(floor(sqrt(a.d2) / 1000 * 1000 + 0.5e0) AS BIGINT) AS dist_nearest_city_50k_km, a.site_name AS nearest_city_50k_name, CAST(floor(sqrt(b.d2) / 1000 * 1000 + 0.5e0) AS BIGINT) AS dist_nearest_city_100k_km, b.site_name AS nearest_city_100k_name,
+CAST(floor(sqrt(c.d2) / 1000 * 1000 + 0.5e0) AS BIGINT) AS dist_nearest_cloud_km, c.site_name AS nearest_cloud_region_name, coalesce(w.n, 0) AS cloud_regions_within_500km
+FROM points p JOIN a ON a.id = p.id AND a.k = 1 JOIN b ON b.id = p.id AND b.k = 1 JOIN c ON c.id = p.id AND c.k = 1 LEFT JOIN w ON w.id = p.id"""
+)
+def job_markets(spark, d):
+    """Nearest city of two sizes, nearest cloud region, and regions within 20 km."""
+    s = L.sites(spark, d).withColumn("name", F.col("site_name"))
+    city = lambda least: s.filter(F.col("mw") >= least).select("name", "sx", "sy")
+    clouds = s.filter("mw % 7 = 0").select(F.lit("p").alias("provider"), F.lit("r").alias("region"), "name", "sx", "sy")
+    out = features.market_proximity(cells(spark, d), {"50k": city(50), "100k": city(250)}, clouds, 20_000.0)
+    names = ["nearest_city_50k_name", "nearest_city_100k_name", "nearest_cloud_region_name", "cloud_regions_within_500km"]
+    return out.select("cell_id", *names, *(milli(f"dist_nearest_{c}_km") for c in ("city_50k", "city_100k", "cloud")))
+
+
+@query(
+    f"""WITH {L.POINTS}, {L.PIXELS}, v AS (SELECT row, col, CASE WHEN value % 11 = 0 THEN -1e0 ELSE value % 400 * 1e0 END AS d FROM pixels), t AS (SELECT p.id, p.id * 7 % 300 * 90 // 1000 AS gx, p.id % 300 * 90 // 1000 AS gy, d FROM points p LEFT JOIN v ON row = p.id % 300 AND col = p.id * 7 % 300 AND d >= 0),
+m AS (SELECT (col * 90 + 45) // 1000 AS gx, (row * 90 + 45) // 1000 AS gy, avg(d) AS people FROM v WHERE d >= 0 GROUP BY 1, 2), w AS (SELECT t.id, sum(people) AS around FROM t JOIN m ON (m.gx - t.gx) * (m.gx - t.gx) + (m.gy - t.gy) * (m.gy - t.gy) <= 9 GROUP BY 1)
+SELECT CAST(t.id AS VARCHAR) AS cell_id, d * 2.5e0 AS pop_count_cell, d AS pop_density_km2, CASE WHEN d IS NULL THEN 'No Data' WHEN d = 0 THEN 'Unpopulated' WHEN d < 10 THEN 'Very Rural' WHEN d < 50 THEN 'Rural' WHEN d < 250 THEN 'Suburban' WHEN d < 1000 THEN 'Urban' ELSE 'Dense Urban' END AS pop_density_class,
+CAST(floor(coalesce(around, 0) * 1000 + 0.5e0) AS BIGINT) AS pop_within_25mi, CAST(coalesce(d < 50, FALSE) AS INTEGER) AS is_rural, CAST(coalesce(around, 0) < 10000 AS INTEGER) AS is_isolated, CAST(d IS NOT NULL AS INTEGER) AS pixel_count FROM t LEFT JOIN w ON w.id = t.id"""
+)
+def job_population(spark, d):
+    """Density under each cell, and people within three cells of a grid of 1 km that the raster is averaged to."""
+    v = F.when(F.col("value") % 11 == 0, -1.0).otherwise((F.col("value") % 400).cast("double"))
+    pixels = L.pixels(spark, d).select("row", "col", v.alias("value"))
+    grid = raster.regridded(pixels.filter("value >= 0"), F.col("col") * 90 + 45.0, F.col("row") * 90 + 45.0, 1000.0)
+    row, col = F.col("id") % 300, F.col("id") * 7 % 300
+    at = cells(spark, d).select("cell_id", row.cast("int").alias("row"), col.cast("int").alias("col"), F.floor(row * 90 / 1000).cast("int").alias("mrow"), F.floor(col * 90 / 1000).cast("int").alias("mcol"))
+    out = features.population(at, pixels, grid.select(F.col("gy").cast("int").alias("row"), F.col("gx").cast("int").alias("col"), "value"), 2.5, 3, 27)
+    return out.select("cell_id", "pop_count_cell", "pop_density_km2", "pop_density_class", milli("pop_within_25mi"), "is_rural", "is_isolated", "pixel_count")
