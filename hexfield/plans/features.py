@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean
-from ..operators import raster, spatial, tables
+from ..functions import clean, geo
+from ..operators import grid, raster, spatial, tables
+from ..sources import readers
 
 KEY = "cell_id"
 #: Energy sources that count as renewable, and rating words of hazards.
@@ -41,6 +42,13 @@ def _check_radii(radii: Sequence[float]) -> list[float]:
     return sorted(radii)
 
 
+def build_grid(layer: DataFrame, columns: Sequence[str], values: Sequence[str], edge: float) -> DataFrame:
+    """Cells whose centre lies inside the boundary (its rows chosen by the first of the name columns that the
+    layer has), with their ring, centre, longitude and latitude."""
+    cells = grid.with_rings(grid.fill(readers.dissolved(layer, columns, values), edge), edge)
+    return cells.withColumns({"lon": geo.mercator_lon(F.col("x")), "lat": geo.mercator_lat(F.col("y"))})
+
+
 def line_distance(cells: DataFrame, segments: DataFrame, least_kv: float = 69.0, radius: float = 20_000.0) -> DataFrame:
     """Distance to the nearest line segment of a voltage at or above the least one."""
     kv = clean.number(F.col("VOLTAGE"))
@@ -251,9 +259,7 @@ ALIASES = {"dist_tx_line_km": "dist_transmission_km", "industrial_price_mwh": "e
 
 def assemble(cells: DataFrame, features: Sequence[DataFrame], labels: DataFrame | None, wanted: Sequence[str] | None = None) -> DataFrame:
     """Cells of the contiguous states with all features under their canonical names, and labels."""
-    from ..operators.grid import conus_flag
-
-    spine = conus_flag(cells.select(KEY, "lat", "lon")).filter("is_conus = 1")
+    spine = grid.conus_flag(cells.select(KEY, "lat", "lon")).filter("is_conus = 1")
     renamed = [f.withColumnsRenamed(ALIASES) for f in features]
     if wanted is not None:
         renamed = [f.select(KEY, *(c for c in f.columns if c in set(wanted))) for f in renamed]

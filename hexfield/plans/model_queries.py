@@ -76,6 +76,13 @@ def average_precision(spark, d):
     return model.average_precision(scores(spark, d)).select(milli(F.col("average_precision"), 1000000).alias("average_precision"))
 
 
+@query(f"WITH {SCORES} SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive, CAST(floor(avg(label) * 1000000 + 0.5e0) AS BIGINT) AS base_rate, CAST(floor(avg(CASE WHEN label = 1 THEN score END) * 1000 + 0.5e0) AS BIGINT) AS mean_score_positive, CAST(floor(avg(CASE WHEN label = 0 THEN score END) * 1000 + 0.5e0) AS BIGINT) AS mean_score_negative FROM sc")
+def metrics_record(spark, d):
+    """One row of counts and means on a scored table."""
+    m = model.metrics_record(scores(spark, d))
+    return m.select("n_rows", "n_positive", milli(F.col("base_rate"), 1000000).alias("base_rate"), *(milli(F.col(c)).alias(c) for c in ("mean_score_positive", "mean_score_negative")))
+
+
 @query(f"WITH {CURVE} SELECT score, CAST(floor(tp * 1e0 / (tp + fp) * 1000000 + 0.5e0) AS BIGINT) AS precision, CAST(floor(tp * 1e0 / total * 1000000 + 0.5e0) AS BIGINT) AS recall FROM c WHERE tp * 1e0 / total >= 0.6e0 ORDER BY score DESC LIMIT 1")
 def pr_at_recall(spark, d):
     """Precision at the highest threshold with a recall of 0.6."""

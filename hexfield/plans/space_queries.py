@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..operators import dedupe, grid, spatial
+from . import features
 from . import layers as L
 
 Q: dict = {}
@@ -29,14 +30,30 @@ def point_cells(spark, d):
     return grid.with_cells(L.points(spark, d), L.EDGE).select("id", "q", "r", "cell_id")
 
 
-@query(
-    """WITH n AS (SELECT count(*) AS c FROM nation), rows_ AS (SELECT unnest(range(-1, 40)) AS r), lat AS (SELECT q, r, (q + r / 2e0) * (1.7320508075688772e0 * 2000e0) AS x, r * (1.5e0 * 2000e0) AS y FROM rows_, (SELECT unnest(range(-40, 60)) AS q))
-SELECT CAST(q AS BIGINT) AS q, CAST(r AS BIGINT) AS r, 'h_' || q || '_' || r AS cell_id FROM lat, n WHERE x BETWEEN 0 AND c * 4000 AND y BETWEEN 0 AND c * 4000"""
-)
+LATTICE = f"""{L.POINTS}, e AS (SELECT 100000e0 / sqrt(count(*)) AS edge, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM points), rows_ AS (SELECT *, unnest(range(-2, CAST(y1 / (1.5e0 * edge) AS BIGINT) + 3)) AS r FROM e),
+lat AS (SELECT *, (q + r / 2e0) * (1.7320508075688772e0 * edge) AS x, r * (1.5e0 * edge) AS y FROM (SELECT *, unnest(range(-r // 2 - 3, CAST(x1 / edge AS BIGINT) + 3)) AS q FROM rows_))"""
+
+
+def edge_for(points):
+    """An edge that makes cells as many as points, roughly."""
+    return 100000.0 / points.count() ** 0.5
+
+
+@query(f"WITH {LATTICE} SELECT CAST(q AS BIGINT) AS q, CAST(r AS BIGINT) AS r, 'h_' || q || '_' || r AS cell_id FROM lat WHERE x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1")
 def hex_lattice(spark, d):
-    """Cells with centres in the box of the nation lattice."""
-    n = L.table(spark, d, "nation").count()
-    return grid.lattice(spark, 0, 0, n * 4000, n * 4000, L.EDGE).select("q", "r", "cell_id")
+    """Cells with centres in the points' box, about as many as points."""
+    p = L.points(spark, d)
+    box = grid.bounding_box(p).first()
+    return grid.lattice(spark, *box, edge_for(p)).select("q", "r", "cell_id")
+
+
+@query(f"WITH {LATTICE}, {L.BOXES} SELECT 'h_' || q || '_' || r AS cell_id, CAST(floor(x + 0.437e0) AS BIGINT) AS x, CAST(floor(y + 0.437e0) AS BIGINT) AS y, 6 AS corners FROM lat l WHERE EXISTS (SELECT 1 FROM boxes b WHERE b.code <> 2 AND l.x > b.x0 AND l.x < b.x1 AND l.y > b.y0 AND l.y < b.y1)")
+def job_grid(spark, d):
+    """Cells that fill a boundary dissolved from the polygons of four regions."""
+    layer = L.boxes(spark, d).withColumn("region", F.col("code").cast("string"))
+    out = features.build_grid(layer, ["NAME", "region"], ["0", "1", "3", "4"], edge_for(L.points(spark, d)))
+    q = lambda c: F.floor(F.col(c) + 0.437).cast("long").alias(c)
+    return out.select("cell_id", q("x"), q("y"), F.size("ring").alias("corners"))
 
 
 @query(
@@ -70,22 +87,41 @@ def tile_assign(spark, d):
     return grid.tiles(L.points(spark, d), "x", "y", 0.0, 0.0, 12500.0).select("id", "tx", "ty")
 
 
-@query(f"WITH {L.BOXES} SELECT poly_id, CAST((x1 - x0) * (y1 - y0) AS BIGINT) AS area, CAST((x0 + x1) / 2 AS BIGINT) AS cx, CAST((y0 + y1) / 2 AS BIGINT) AS cy FROM boxes")
+def parcels(spark, d):
+    """An L-shaped parcel for every point: w by h with the upper right corner, of w - v by h - u, cut out."""
+    k = F.col("id")
+    df = L.points(spark, d).select("id", "x", "y", (k % 7 * 100 + 300).cast("double").alias("w"), (k % 5 * 80 + 260).cast("double").alias("h"), (k % 3 * 40 + 50).cast("double").alias("v"), (k % 4 * 30 + 70).cast("double").alias("u"))
+    at = lambda a, b: F.struct((F.col("x") + a).alias("x"), (F.col("y") + b).alias("y"))
+    w, h, v, u, o = F.col("w"), F.col("h"), F.col("v"), F.col("u"), F.lit(0.0)
+    return df.withColumn("ring", F.array(at(o, o), at(w, o), at(w, u), at(v, u), at(v, h), at(o, h)))
+
+
+PARCELS = f"{L.POINTS}, parcels AS (SELECT id, x, y, id % 7 * 100e0 + 300 AS w, id % 5 * 80e0 + 260 AS h, id % 3 * 40e0 + 50 AS v, id % 4 * 30e0 + 70 AS u FROM points)"
+
+
+@query(f"WITH {PARCELS}, a AS (SELECT *, w * u AS a1, v * (h - u) AS a2 FROM parcels) SELECT id, CAST(a1 + a2 AS BIGINT) AS area, CAST(floor(x + (a1 * w / 2 + a2 * v / 2) / (a1 + a2) + 0.437e0) AS BIGINT) AS cx, CAST(floor(y + (a1 * u / 2 + a2 * (u + h) / 2) / (a1 + a2) + 0.437e0) AS BIGINT) AS cy FROM a")
 def polygon_area(spark, d):
-    """Area and centroid of the rectangles."""
-    c = geo.ring_centroid(F.col("outer"))
-    return L.boxes(spark, d).select("poly_id", F.round(geo.ring_area(F.col("outer"))).cast("long").alias("area"), F.round(c["x"]).cast("long").alias("cx"), F.round(c["y"]).cast("long").alias("cy"))
+    """Area and centroid of the parcels, which are concave."""
+    c = geo.ring_centroid(F.col("ring"))
+    q = lambda v: F.floor(v + 0.437).cast("long")
+    return parcels(spark, d).select("id", F.round(geo.ring_area(F.col("ring"))).cast("long").alias("area"), q(c["x"]).alias("cx"), q(c["y"]).alias("cy"))
 
 
-@query(f"WITH {L.BOXES} SELECT poly_id FROM boxes WHERE poly_id % 5 NOT IN (1, 2, 3)")
+@query(f"WITH {L.POINTS} SELECT id FROM points WHERE id % 5 NOT IN (1, 2, 3)")
 def geometry_filter(spark, d):
-    """Rectangles left after some were cut short, flattened or emptied."""
-    df = L.boxes(spark, d)
-    none = F.lit(None).cast(df.schema["outer"].dataType)
-    flat = F.transform("outer", lambda p: F.struct(p["x"].alias("x"), F.lit(0.0).alias("y")))
-    k = F.col("poly_id") % 5
-    broken = df.withColumn("ring", F.when(k == 1, F.slice("outer", 1, 2)).when(k == 2, flat).when(k == 3, none).otherwise(F.col("outer")))
-    return grid.valid_polygons(broken).select("poly_id")
+    """Parcels left after some were cut short, flattened or emptied."""
+    df = parcels(spark, d)
+    none = F.lit(None).cast(df.schema["ring"].dataType)
+    flat = F.transform("ring", lambda p: F.struct(p["x"].alias("x"), F.lit(0.0).alias("y")))
+    k = F.col("id") % 5
+    return grid.valid_polygons(df.withColumn("ring", F.when(k == 1, F.slice("ring", 1, 2)).when(k == 2, flat).when(k == 3, none).otherwise(F.col("ring")))).select("id")
+
+
+@query(f"WITH {PARCELS}, j AS (SELECT p.id, max(a.id) AS parcel FROM points p JOIN parcels a ON p.x > a.x AND p.y > a.y AND ((p.x < a.x + a.w AND p.y < a.y + a.u) OR (p.x < a.x + a.v AND p.y < a.y + a.h)) GROUP BY 1) SELECT p.id, coalesce(j.parcel, -1) AS parcel FROM points p LEFT JOIN j ON j.id = p.id")
+def point_in_parcel(spark, d):
+    """The greatest parcel, all of them concave, that holds each point."""
+    areas = parcels(spark, d).select(F.col("id").alias("parcel"), F.array("ring").alias("rings"))
+    return spatial.in_polygon(L.points(spark, d), areas, "id", ["parcel"], 800.0, pick=F.max).select("id", F.coalesce("parcel", F.lit(-1)).alias("parcel"))
 
 
 @query(f"WITH {L.POINTS} SELECT min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM points")

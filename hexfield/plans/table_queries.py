@@ -313,3 +313,19 @@ def coalesce_join(spark, d):
 def row_band(spark, d):
     """Whether a table has a plausible number of rows."""
     return tables.row_band(L.table(spark, d, "customer"), 100, 100000)
+
+
+@query(
+    """WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey * 2e0 END AS balance, c_mktsegment FROM customer)
+SELECT 'c_custkey' AS column_name, count(*) - count(c_custkey) AS nulls, min(c_custkey) * 1e0 AS least, max(c_custkey) * 1e0 AS most FROM t UNION ALL SELECT 'balance', count(*) - count(balance), min(balance), max(balance) FROM t UNION ALL SELECT 'c_mktsegment', count(*) - count(c_mktsegment), NULL, NULL FROM t"""
+)
+def inspect_columns(spark, d):
+    """Nulls of each column once a sentinel is masked, and the range of the numeric ones."""
+    t = L.table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 4 == 0, -9999.0).otherwise(F.col("c_custkey") * 2.0).alias("balance"), "c_mktsegment")
+    return tables.inspect(t, [-9999]).select("column_name", "nulls", "least", "most")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS cell_id FROM customer ORDER BY 1 LIMIT 100")
+def prefix_cells(spark, d):
+    """The hundred cells of least id, on which a job is tried."""
+    return tables.prefix_sample(L.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("cell_id")), 100)
