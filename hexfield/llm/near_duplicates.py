@@ -18,8 +18,9 @@ count is capped.
    that the bitmaps and sizes allow is too small, or when both lie within one component, so the work
    does not follow the square of a group of copies.  A pair is named only in the first block that it
    shares.  A class names its `PARTNERS` most promising ones at first; where it has more, steps 2 and
-   3 are repeated for those blocks with more of them, by when most lie in its own component.  Blocks too large for a
-   task are cut into cells whose pairs are dealt out.
+   3 are repeated for those blocks with more of them, by when most lie in its own component.  Blocks of more than a cell's
+   size are cut into cells, whose pairs are dealt out; the block's largest component meets the others
+   only, so copies that it has already joined cost one row each, not one for every cell of theirs.
 4. What the trees name is compared exactly, as sets, and the components are formed anew.
 
 Defined results: texts without words, null included, are empty sets, link with nothing and are their
@@ -46,7 +47,7 @@ LEAF = 16
 FANOUT = 8
 #: Classes of a cell: a block is cut into cells of about this size, and a task joins two of them.
 CELL = 2048
-#: Partners that a class names in a block in the first round of trees; later rounds allow `MORE` times as many.
+#: Partners that a class names in a cell in the first round of trees; later rounds allow `MORE` times as many.
 PARTNERS = 16
 MORE = 16
 
@@ -261,10 +262,16 @@ def _across(partners: int):
 
 
 def _cells(rows: DataFrame) -> DataFrame:
-    """Deals large blocks out as pairs of cells; `side` tells the two cells of a pair apart."""
-    cells = F.greatest(F.lit(1), F.ceil(F.col("size") / CELL)).cast("int")
-    dealt = rows.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    """Deals large blocks out as pairs of cells; `side` tells the two cells of a pair apart.  The cells of a
+    block's largest component (`main`, of `n_main` classes) come first and meet the other cells alone."""
+    large = F.col("size") > CELL
+    inner = large & (F.col("component") == F.col("main"))
+    mains = F.when(large, F.ceil(F.col("n_main") / CELL)).otherwise(0).cast("int")
+    others = F.when(large, F.ceil((F.col("size") - F.col("n_main")) / CELL)).otherwise(1).cast("int")
+    dealt = rows.withColumns({"inner": inner, "mains": mains, "others": others})
+    at = lambda cells: F.pmod(F.xxhash64("node"), cells).cast("int")
+    dealt = dealt.withColumn("cell", F.when(F.col("inner"), at(F.col("mains"))).otherwise(F.col("mains") + at(F.col("others"))))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.when(F.col("inner"), F.col("mains")).otherwise(0), F.col("mains") + F.col("others") - 1)))
     one, two = F.least("cell", "with"), F.greatest("cell", "with")
     return dealt.withColumn("one", one).withColumn("two", two).withColumn("side", (F.col("cell") > F.col("with")).cast("int"))
 
@@ -287,9 +294,10 @@ def _link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     while True:
         labelled = scope.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         labelled = written(labelled.select("block", "node", "n", "size", "pivot", "component"), "labelled")
-        open_blocks = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("block")
-        rest = labelled.join(written(open_blocks, "open"), "block").join(classes.select("node", "bitmap", "bands"), "node")
-        dealt = _cells(rest).select("block", "one", "two", "side", "node", "n", "pivot", "component", "bitmap", "bands")
+        parts = labelled.groupBy("block", "component").agg(F.count("*").alias("n_main"))
+        open_blocks = parts.groupBy("block").agg(F.max_by("component", F.struct("n_main", "component")).alias("main"), F.max("n_main").alias("n_main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
+        cells = _cells(labelled.join(written(open_blocks, "open"), "block")).select("block", "one", "two", "side", "node", "n", "pivot", "component")
+        dealt = cells.join(classes.select("node", "bitmap", "bands"), "node")
         across = written(in_arrow(dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two"), _across(partners), "a bigint, b bigint, block bigint, more boolean"), "across")
         new = written(across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
         linked = written(_verified(new, sets), "more")
