@@ -42,53 +42,126 @@ def dealt_along(df: DataFrame, x1: Column, y1: Column, x2: Column, y2: Column, s
     return strip.withColumn("by", F.explode(F.sequence(_bucket(F.least(near, far) - size, size), _bucket(F.greatest(near, far) + size, size))))
 
 
-def _extent(points: DataFrame, targets: DataFrame, corners: Sequence[str]) -> tuple[float, int]:
-    """The longer side of the box around everything, 0 without targets, and how many targets there are."""
+def _extent(points: DataFrame, targets: DataFrame, corners: Sequence[str]) -> tuple[float, float, float, int]:
+    """The least corner and the longer side of the box around everything, and how many targets there are."""
     xs, ys = corners[0::2], corners[1::2]
     p = points.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
     t = targets.agg(*(f(c) for c in xs for f in (F.min, F.max)), *(f(c) for c in ys for f in (F.min, F.max)), F.count("*")).first()
     if p[0] is None or t[0] is None:
-        return 0.0, 0
+        return 0.0, 0.0, 0.0, 0
     n = 2 * len(xs)
-    return float(max(max(p[1], *t[:n]) - min(p[0], *t[:n]), max(p[3], *t[n : 2 * n]) - min(p[2], *t[n : 2 * n]))), t[2 * n]
+    x, y = (p[0], p[1], *t[:n]), (p[2], p[3], *t[n : 2 * n])
+    return float(min(x)), float(min(y)), float(max(max(x) - min(x), max(y) - min(y))), t[2 * n]
 
 
-def _expanding(points: DataFrame, targets: DataFrame, corners: Sequence[str], d2: Column, attrs: Sequence[str], key: str, radius: float, growth: float) -> DataFrame:
-    """Exact nearest target of every point: a hit within the searched radius is final, the other points
-    go on with a greater one; the last round reaches over everything.  The first radius is the given one, or
-    a smaller one where so many targets lie evenly in the whole box that about a dozen are within it; so a
-    bucket's targets stay few however many there are."""
-    whole, count = _extent(points, targets, corners)
+#: A cell of the descent has FANOUT x FANOUT cells of the next level.
+FANOUT = 8
+#: Levels of the descent: point targets are cut finer than their number asks for, where they crowd.
+MAX_LEVELS = 6
+CROWD = 64
+
+
+def _descended(left: DataFrame, targets: DataFrame, corners: Sequence[str], d2: Column, attrs: Sequence[str], key: str, extent: tuple[float, float, float, int]) -> DataFrame:
+    """Exact nearest target of points that have none near them, by descent through a pyramid of cells.
+
+    A level's cells are those that hold a target.  A point keeps the cells whose least distance is no more
+    than the smallest of the greatest distances, since one of those holds its nearest target; only their
+    cells of the next level are looked at.  So a point meets a few cells a level and the targets of the last
+    ones, wherever the targets crowd, and no bucket gathers all points and all targets.
+    """
+    x0, y0, side, count = extent
+    side = side * 1.001 or 1.0
+    same = targets.groupBy(*corners).agg(F.min(F.struct(*(F.col(a) for a in attrs), F.lit(0).alias("_"))).alias("a"))  # equal places count once
+    ends = [F.col(c) - (x0, y0)[i % 2] for i, c in enumerate(corners)]
+    size = lambda level: side / FANOUT**level
+    placed = lambda level: dealt_along(same, *ends, size(level)) if len(ends) == 4 else dealt(same, *ends, *ends, size(level))
+    levels = 1
+    while levels < MAX_LEVELS and FANOUT ** (2 * levels) * 4 < count:
+        levels += 1
+    bits = FANOUT.bit_length() - 1
+    up = lambda level: [F.shiftright(c, bits * (levels - level)).alias(c) for c in ("bx", "by")]
+    while True:
+        leaves = materialized(placed(levels))
+        cells = materialized(leaves.groupBy("bx", "by").agg(F.count("*").alias("n")))
+        top = cells.groupBy(*up(1)).agg(F.max("n").alias("n")).collect()  # the cells of the first level, 144 at most
+        if len(ends) == 4 or levels == MAX_LEVELS or max((r.n for r in top), default=0) <= CROWD:
+            break
+        levels += 1
+    x, y = F.col("x") - x0, F.col("y") - y0
+    # a segment is dealt to cells up to a cell's size beside it, on the last level
+    margin = 2 * size(levels) if len(ends) == 4 else 0.0
+
+    def gap(v: Column, cell: Column, wide: float) -> tuple[Column, Column]:
+        low, high = cell * wide, (cell + 1) * wide
+        return F.greatest(low - v, v - high, F.lit(0.0)), F.greatest(F.abs(v - low), F.abs(v - high)) + margin
+
+    first = F.array(*(F.struct(F.lit(r.bx).cast("long").alias("bx"), F.lit(r.by).cast("long").alias("by")) for r in top))
+    open_ = left.select(key, "x", "y", F.explode(first).alias("c")).select(key, "x", "y", "c.*")
+    for level in range(1, levels + 1):
+        if level > 1:
+            below = cells.select(*up(level)).distinct().select(F.shiftright("bx", bits).alias("px"), F.shiftright("by", bits).alias("py"), "bx", "by")
+            open_ = open_.withColumnsRenamed({"bx": "px", "by": "py"}).join(below, ["px", "py"]).select(key, "x", "y", "bx", "by")
+        (nx, fx), (ny, fy) = gap(x, F.col("bx"), size(level)), gap(y, F.col("by"), size(level))
+        seen = open_.withColumns({"near": nx * nx + ny * ny, "far": fx * fx + fy * fy})
+        kept = seen.groupBy(key, "x", "y").agg(F.min("far").alias("most"), F.collect_list(F.struct("bx", "by", "near")).alias("cells"))
+        kept = kept.select(key, "x", "y", F.explode(F.filter("cells", lambda c: c["near"] <= F.col("most") * (1 + 1e-9) + 1e-9)).alias("c"))
+        open_ = kept.select(key, "x", "y", "c.bx", "c.by")
+        if level % 2 == 0 and level < levels:
+            open_ = materialized(open_)
+    met = open_.join(leaves.select("bx", "by", *corners, *(F.col(f"a.{a}") for a in attrs if a not in corners)), ["bx", "by"])
+    return met.groupBy(key).agg(F.min(F.struct(d2.alias("d2"), *attrs)).alias("n")).select(key, "n.*")
+
+
+def _pairs(points: DataFrame, near: DataFrame, radius: float) -> int:
+    """How many rows a join of points and dealt targets makes, from the counts of their buckets alone."""
+    p = bucketed(points, "x", "y", radius).groupBy("bx", "by").agg(F.count("*").alias("p"))
+    return p.join(near.groupBy("bx", "by").agg(F.count("*").alias("t")), ["bx", "by"]).agg(F.sum(F.col("p") * F.col("t"))).first()[0] or 0
+
+
+#: Rows that a further round of the nearest join may make for each target; beyond them points descend.
+WIDEST = 64
+
+
+def _nearest(points: DataFrame, targets: DataFrame, corners: Sequence[str], d2: Column, attrs: Sequence[str], key: str, radius: float, growth: float) -> DataFrame:
+    """Exact nearest target of every point.  A hit within the searched radius is final.  The other points go
+    on with a greater radius as long as the join stays linear in the targets, by counts of both sides'
+    buckets; else they descend through a pyramid of cells.  The first radius is the given one, or a smaller
+    one where so many targets lie evenly in the whole box that about a dozen are within it; so a bucket's
+    targets stay few however many there are."""
+    extent = _extent(points, targets, corners)
+    whole, count = extent[2:]
     if whole and count:
         radius = min(radius, whole * (4 / count) ** 0.5)
-    left, found = points.filter("x is not null and y is not null"), None
-    while whole or found is None:
-        ends = [F.col(c) for c in corners]
-        near = dealt_along(targets, *ends, radius) if len(ends) == 4 else dealt(targets, ends[0] - radius, ends[1] - radius, ends[0] + radius, ends[1] + radius, radius)
-        best = bucketed(left.select(key, "x", "y"), "x", "y", radius).join(near, ["bx", "by"]).groupBy(key).agg(F.min(F.struct(d2.alias("d2"), *attrs)).alias("n"))
+    ends = [F.col(c) for c in corners]
+    spread = lambda: dealt_along(targets, *ends, radius) if len(ends) == 4 else dealt(targets, ends[0] - radius, ends[1] - radius, ends[0] + radius, ends[1] + radius, radius)
+    left, near, found = points.filter("x is not null and y is not null").select(key, "x", "y"), spread(), None
+    while True:
+        best = bucketed(left, "x", "y", radius).join(near, ["bx", "by"]).groupBy(key).agg(F.min(F.struct(d2.alias("d2"), *attrs)).alias("n"))
         hits = best if radius > whole else best.filter(F.col("n.d2") <= radius * radius)
         hits = materialized(hits.select(key, "n.*"))
         found = hits if found is None else found.unionByName(hits)
-        if radius > whole:
+        if radius > whole or not count:
             return found
         left = materialized(left.join(hits.select(key), key, "left_anti"))
         if not left.take(1):
             return found
         radius *= growth
-    return found
+        near = spread()
+        if _pairs(left, near, radius) > WIDEST * count:
+            return found.unionByName(_descended(left, targets, corners, d2, attrs, key, extent))
 
 
 def nearest(points: DataFrame, sites: DataFrame, key: str, attrs: Sequence[str], radius: float, growth: float = 3.0) -> DataFrame:
     """Each point (key, x, y) with d2 and the attributes of its nearest site (sx, sy, ...); among equals
     the least attributes count.  Without sites, or for a point without coordinates, they are null."""
-    found = _expanding(points, sites.select("sx", "sy", *(a for a in attrs if a not in ("sx", "sy"))), ["sx", "sy"], distance2(F.col("x"), F.col("y"), F.col("sx"), F.col("sy")), attrs, key, radius, growth)
+    found = _nearest(points, sites.select("sx", "sy", *(a for a in attrs if a not in ("sx", "sy"))), ["sx", "sy"], distance2(F.col("x"), F.col("y"), F.col("sx"), F.col("sy")), attrs, key, radius, growth)
     return points.select(key).join(found, key, "left")
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, key: str, attrs: Sequence[str], radius: float, growth: float = 3.0) -> DataFrame:
     """Each point with the squared distance to its nearest segment (x1, y1, x2, y2, ...)."""
     d2 = segment_distance2(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    found = _expanding(points, segments.select("x1", "y1", "x2", "y2", *attrs), ["x1", "y1", "x2", "y2"], d2, attrs, key, radius, growth)
+    found = _nearest(points, segments.select("x1", "y1", "x2", "y2", *attrs), ["x1", "y1", "x2", "y2"], d2, attrs, key, radius, growth)
     return points.select(key).join(found, key, "left")
 
 

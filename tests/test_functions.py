@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,45 @@ def test_nearest_is_exact_when_far(spark):
     assert [tuple(r) for r in spatial.nearest(points, sites, "id", ["site"], 1.0).orderBy("id").collect()] == [(1, 144.0, 9), (2, None, None)]
 
 
+def crowds(n):
+    """Targets in two far corners, dense ones and repeated places among them."""
+    rng = np.random.default_rng(5)
+    places = np.concatenate([rng.integers(0, 40, (n, 2)) + 9000, rng.normal(0, 300, (n, 2)) + [-4000, 7000], np.full((n, 2), 9020)])
+    return [(i, float(x), float(y)) for i, (x, y) in enumerate(places.tolist())]
+
+
+def far_points(spark):
+    rng = np.random.default_rng(6)
+    places = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-10000, 10000, (300, 2)).round().tolist())]
+    return places, spark.createDataFrame(places, "id int, x double, y double")
+
+
+@pytest.mark.parametrize("widest", [-1, spatial.WIDEST])
+def test_nearest_of_crowded_sites_far_away(spark, monkeypatch, widest):
+    monkeypatch.setattr(spatial, "WIDEST", widest)
+    places, points = far_points(spark)
+    rows = crowds(400)
+    got = spatial.nearest(points, spark.createDataFrame(rows, "site int, sx double, sy double"), "id", ["site", "sx"], 2.0)
+    want = {i: min(((x - a) ** 2 + (y - b) ** 2, s, a) for s, a, b in rows) for i, x, y in places}
+    assert {r.id: (r.d2, r.site, r.sx) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("widest", [-1, spatial.WIDEST])
+def test_nearest_segment_of_crowded_ones_far_away(spark, monkeypatch, widest):
+    monkeypatch.setattr(spatial, "WIDEST", widest)
+    places, points = far_points(spark)
+    rows = [(s, x, y, x + 37 * (s % 5), y - 900.0 * (s % 3)) for s, x, y in crowds(60)]
+    got = spatial.nearest_segment(points, spark.createDataFrame(rows, "line int, x1 double, y1 double, x2 double, y2 double"), "id", ["line"], 2.0)
+
+    def d2(x, y, x1, y1, x2, y2):
+        dx, dy = x2 - x1, y2 - y1
+        t = min(1.0, max(0.0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+        return (x - x1 - t * dx) ** 2 + (y - y1 - t * dy) ** 2
+
+    want = {i: min(d2(x, y, *r[1:]) for r in rows) for i, x, y in places}
+    assert {r.id: r.d2 for r in got.collect()} == pytest.approx(want)
+
+
 def test_overlapping_pieces_are_capped(spark):
     square = ring((0, 0), (2, 0), (2, 2), (0, 2))
     cells = spark.range(1).select(F.lit("c").alias("cell_id"), square.alias("ring"))
