@@ -6,7 +6,7 @@ sets' Jaccard similarity is `PERCENT` % or more.  Equal sets are one class from
 Classes meet in blocks, one signature tree for each.  A block holds the classes that agree on `ROWS`
 minima of their sets under random orders, and each class lies in `BANDS` blocks.  A pair at the
 threshold shares no block with probability (1 - 0.75**3)**48 < 4e-12, a more similar one more rarely
-still; that, and 64-bit shingle hashes, is all that is left to chance.  No block, bucket or partner
+still; that, and shingle hashes of 64 bits from word hashes of 62, is all that is left to chance.  No block, bucket or partner
 count is capped.
 
 1. In each block every class is compared with the block's least one, wherever their sizes allow it.
@@ -25,7 +25,7 @@ count is capped.
 
 Defined results: texts without words, null included, are empty sets, link with nothing and are their
 own component; a row without doc_id takes no part and has a null component; rows that repeat a doc_id
-are one node; an empty table gives an empty result; extra columns cannot clash.
+are judged each by its own text; an empty table gives an empty result; extra columns cannot clash.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ CELL = 2048
 PARTNERS = 16
 MORE = 16
 
-SKETCH = "doc_id bigint, n int, low bigint, high bigint, bands array<bigint>, bitmap binary"
+SKETCH = "doc_id bigint, mark bigint, n int, low bigint, high bigint, bands array<bigint>, bitmap binary"
 SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -99,7 +99,7 @@ def _sketch(batches):
             bitmap[np.repeat(np.arange(n), size), (keys & np.uint64(BITS - 1)).astype(np.int64)] = True
         packed = np.packbits(bitmap, axis=1)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1).view(np.int64)))
-        yield pa.record_batch([rows.column("doc_id"), pa.array(size.astype(np.int32)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), lists, pa.array([x.tobytes() for x in packed], pa.binary())], names=[f.split()[0] for f in SKETCH.split(", ")])
+        yield pa.record_batch([rows.column("doc_id"), rows.column("mark"), pa.array(size.astype(np.int32)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), lists, pa.array([x.tobytes() for x in packed], pa.binary())], names=[f.split()[0] for f in SKETCH.split(", ")])
 
 
 def _sets(batches):
@@ -107,7 +107,7 @@ def _sets(batches):
     for rows, buf, offs in chunks(batches):
         keys, bounds = shingles(buf, offs)
         lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64)))
-        yield pa.record_batch([rows.column("doc_id"), lists], names=["node", "keys"])
+        yield pa.record_batch([rows.column("node"), lists], names=["node", "keys"])
 
 
 def _hashed(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,15 +276,15 @@ def _cells(rows: DataFrame) -> DataFrame:
     return dealt.withColumn("one", one).withColumn("two", two).withColumn("side", (F.col("cell") > F.col("with")).cast("int"))
 
 
-def _link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Components of the classes (node, n, bands, bitmap)."""
+def _link_classes(classes: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Components of the classes (node, n, bands, bitmap), whose texts are those of their first rows."""
     rows = classes.select("node", "n", F.explode("bands").alias("block"))
     blocks = rows.groupBy("block").agg(F.count("*").alias("size"), F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n")).filter("size > 1")
     members = written(rows.join(written(blocks, "blocks"), "block"), "members")
     sized = 100 * F.least("n", "pivot_n") >= PERCENT * F.greatest("n", "pivot_n")
     near = members.filter(F.col("node") != F.col("pivot")).filter(sized).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id")
+    wanted = firsts.join(members.select("node").distinct(), "node").select("doc_id", "mark", "node")
+    texts = docs.join(wanted.hint("shuffle_hash"), ["doc_id", "mark"]).select("node", "text")
     sets = written(in_arrow(texts, _sets, "node bigint, keys array<bigint>"), "sets")
     tested = written(near, "near")
     links = written(_verified(tested, sets), "verified")
@@ -313,36 +313,61 @@ def _link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+def _marked(docs: DataFrame) -> DataFrame:
+    """doc_id, a hash of the text that tells rows of one doc_id apart, and the text."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row as doc_id, mark, n and group, and the first row (first_id, first_mark) of every group; rows
+    without an id or words have no group.  A row's class is its set, its group the component of the class."""
+    docs = _marked(docs)
     sketches = written(in_arrow(docs, _sketch, SKETCH), "sketches")
     named = sketches.filter("doc_id is not null and n > 0")
-    sets = written(named.groupBy("low", "high").agg(F.min("doc_id").alias("node")), "sets")
-    firsts = named.join(sets, ["low", "high"]).filter("doc_id = node").dropDuplicates(["low", "high"])
-    classes = written(firsts.select("node", "n", "bands", "bitmap"), "classes")
-    keys = written(sketches.select("doc_id", "n", "low", "high"), "keys")
+    sets = named.groupBy("low", "high").agg(F.min(F.struct("doc_id", "mark")).alias("first")).select("low", "high", "first.*")
+    # an id that stands for several classes names none of them
+    crowded = sets.groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1")
+    node = F.when(F.col("times").isNull(), F.col("doc_id")).otherwise(F.xxhash64("low", "high", F.lit(1)))
+    firsts = written(sets.join(crowded, "doc_id", "left").select("low", "high", "doc_id", "mark", node.alias("node"), F.col("times").isNotNull().alias("shared")), "firsts")
+    bodies = named.join(firsts.select("low", "high", "doc_id", "mark", "node"), ["low", "high", "doc_id", "mark"])
+    classes = written(bodies.select("node", "n", "bands", "bitmap").dropDuplicates(["node"]), "classes")
+    keys = written(sketches.select("doc_id", "mark", "n", "low", "high"), "keys")
     discard(sketches)
-    found = _link_classes(classes, docs)
+    found = _link_classes(classes, firsts, docs)
     discard(classes)
-    known = sets.join(found, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component"))
-    out = keys.join(written(known, "known"), ["low", "high"], "left")
-    own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+    known = written(firsts.join(found, "node", "left").withColumn("group", F.coalesce("component", "node")), "known")
+    alone = known.filter(F.col("node") == F.col("group")).select("group", F.col("doc_id").alias("first_id"), F.col("mark").alias("first_mark"))
+    if known.filter("shared").take(1):  # a node's name may be a hash, and the least node not the least id
+        alone = known.groupBy("group").agg(F.min(F.struct("doc_id", "mark")).alias("f")).select("group", F.col("f.doc_id").alias("first_id"), F.col("f.mark").alias("first_mark"))
+        alone = written(alone, "alone")
+        known = known.join(alone.select("group", "first_id"), "group")
+    else:
+        known = known.withColumn("first_id", F.col("group"))
+    rows = keys.join(known.select("low", "high", "group", "first_id"), ["low", "high"], "left")
+    usable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    return rows.select("doc_id", "mark", "n", *(F.when(usable, F.col(c)).alias(c) for c in ("group", "first_id"))), alone
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    rows, _ = _grouped(docs)
+    return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group: that of least id; of rows that repeat both id and text, or the text
-    without an id, the one whose other columns are least.  Rows with an id and no words stay, as do rows
-    that repeat an id under another text that links to no smaller one."""
-    gone = near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("gone_id"), "left_anti")
-    key = F.struct(F.col("doc_id").alias("id"), F.sha2("text", 256).alias("sha"))
-    again = written(docs.groupBy(key.alias("again")).agg(F.count("*").alias("times")).filter("times > 1").select("again"), "again")
-    keyed = left.select(key.alias("again_key"), F.struct(*(left[c] for c in docs.columns)).alias("row"))
-    marked = keyed.join(again, F.col("again_key").eqNullSafe(F.col("again")), "left")
-    single = marked.filter("again is null").select("row")
-    first = marked.filter("again is not null").groupBy("again").agg(F.min("row").alias("row")).select("row")
+    """One document of each group: that of least id (and, where texts repeat an id, of least hash); of rows
+    that repeat both id and text the one whose other columns are least.  Rows without words stay, as do
+    those without an id, once for each text.  A row goes by its own text only: another text under the same
+    id stays if it links with nothing."""
+    rows, firsts = _grouped(docs)
+    aside = rows.filter(F.col("group").isNull()).select("doc_id", "mark").distinct()
+    stay = written(firsts.select(F.col("first_id").alias("doc_id"), F.col("first_mark").alias("mark")).union(aside).toDF("stay_id", "stay_mark"), "stay")
+    keyed = docs.select(docs["doc_id"].cast("bigint").alias("id"), F.xxhash64(docs["text"]).alias("mark"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    left = keyed.join(stay.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("mark") == F.col("stay_mark")), "left_semi")
+    again = written(left.groupBy("id", "mark").agg(F.count("*").alias("times")).filter("times > 1").toDF("again_id", "again_mark", "times"), "again")
+    marked = left.join(again, F.col("id").eqNullSafe(F.col("again_id")) & (F.col("mark") == F.col("again_mark")), "left")
+    single = marked.filter("times is null").select("row")
+    first = marked.filter("times is not null").groupBy("again_id", "again_mark").agg(F.min("row").alias("row")).select("row")
     return single.unionByName(first).select("row.*")
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import discard, extended, in_arrow, packed, unpacked, written
-from .text import BYTE, SPACE, chunks, mix, prefix, ragged, runs, span_hash
+from .text import BYTE, SPACE, chunks, mix, prefix, ragged, runs, span_hash, window_hash
 
 LENGTH = 400
 TRIGGER = 32
@@ -51,7 +51,7 @@ PASSAGE_WORDS = 45
 STEPS = (64, 8, 1)
 
 KEY = ["doc_id", "tag", "base"]
-PHRASES = "trigger bigint, phrase bigint, doc_id bigint, tag int, base int, start int, o int, n int, times int"
+PHRASES = "trigger bigint, phrase bigint, doc_id bigint, tag bigint, base int, start int, o int, n int, times int"
 HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
@@ -59,11 +59,10 @@ def _names(ddl: str) -> list[str]:
     return [f.split()[0] for f in ddl.split(", ")]
 
 
-def _triggers(buf: np.ndarray, sums: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _triggers(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The rolling hashes, and for each window of the buffer the place of its trigger."""
-    places = np.arange(len(buf) - TRIGGER + 1)
-    rolling = span_hash(sums, places, places + TRIGGER)
-    least = (rolling & HIGH) | places.astype(np.uint64)
+    rolling = window_hash(BYTE[buf], TRIGGER.bit_length() - 1)
+    least = (rolling & HIGH) | np.arange(len(rolling), dtype=np.uint64)
     width, step = length - TRIGGER + 1, 1
     while step * 2 <= width:
         least = np.minimum(least[:-step], least[step:])
@@ -78,7 +77,7 @@ def _parse(length: int):
             if len(buf) < length:
                 continue
             sums = prefix(BYTE[buf])
-            rolling, trigger = _triggers(buf, sums, length)
+            rolling, trigger = _triggers(buf, length)
             inside = np.zeros(len(buf) + 1, np.int8)
             long = np.diff(offs) >= length
             np.add.at(inside, offs[:-1][long], 1)
@@ -106,10 +105,10 @@ def _parse(length: int):
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows known by id and a hash of the text: ids alone may repeat."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("tag"), F.lit(0).alias("base"), "text")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tag"), F.lit(0).alias("base"), "text")
 
 
-DICTIONARY = "doc_id bigint, tag int, trigger bigint, phrase bigint, occurs bigint, at int, o int, n int, data binary"
+DICTIONARY = "doc_id bigint, tag bigint, trigger bigint, phrase bigint, occurs bigint, at int, o int, n int, data binary"
 
 
 def _slices(length: int):
@@ -131,7 +130,7 @@ def _slices(length: int):
     return run
 
 
-RANGES = "core bigint, whole bigint, trigger bigint, phrase bigint, k int, l int, h int, occurs bigint, doc_id bigint, tag int, at int"
+RANGES = "core bigint, whole bigint, trigger bigint, phrase bigint, k int, l int, h int, occurs bigint, doc_id bigint, tag bigint, at int"
 
 
 def _ranges(length: int, step: int, parent: int | None):
@@ -275,7 +274,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, min_words: int = 0, with
 
     Bytes under a repeated window of `length` bytes go where they make runs of `min_words` words or more.
     """
-    base = packed(docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("tag"), "text")
+    base = packed(docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
     ready = _with_spans(base, repeated_spans(_keyed(docs), length)).drop("doc_id", "tag")
     return in_arrow(ready, _cut(with_text, min_words), extended(ready, DIGEST))
 
@@ -288,7 +287,7 @@ def without_passages(docs: DataFrame, length: int = PASSAGE_BYTES, min_words: in
     return unpacked(drop_repeats(docs, length, min_words), docs, text=kept, n_chars="if(text is null or n_removed = 0, row.n_chars, char_length(kept))")
 
 
-COVERED = "doc_id bigint, tag int, n_bytes bigint, n_passages bigint, passage_words bigint, kept_sha256 string, parts array<struct<start:int,end:int>>, text string"
+COVERED = "doc_id bigint, tag bigint, n_bytes bigint, n_passages bigint, passage_words bigint, kept_sha256 string, parts array<struct<start:int,end:int>>, text string"
 
 
 def _cover(length: int, min_words: int):
@@ -336,7 +335,7 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH, passage_bytes: int = P
     covered = written(covered.withColumn("text", F.when(F.size("parts") > 0, F.col("text"))), "covered")
     discard(lists)
     held = covered.filter(F.size("parts") > 0)
-    fragments = written(in_arrow(held.select("doc_id", "tag", "text", "parts"), _fragments, "doc_id bigint, tag int, base int, text binary"), "fragments")
+    fragments = written(in_arrow(held.select("doc_id", "tag", "text", "parts"), _fragments, "doc_id bigint, tag bigint, base int, text binary"), "fragments")
     lists = repeated_spans(fragments, length)
     discard(fragments)
     again = _with_spans(held.select("doc_id", "tag", "text", "n_passages", "passage_words"), lists)

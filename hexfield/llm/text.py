@@ -15,7 +15,12 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
-_POW = {"pow": np.ones(1, np.uint64), "inv": np.ones(1, np.uint64)}
+#: The prime modulus of span hashes and their two bases: two residues of 31 bits make a hash of 62.
+PRIME = (1 << 31) - 1
+BASES = (0x5F3759DF, 0x2545F491)
+BLOCK = 1 << 15
+_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_LOW = np.uint64(PRIME)
 
 
 def table(pattern: Iterable[int]) -> np.ndarray:
@@ -48,30 +53,64 @@ BYTE2 = mix(np.arange(1001, 1257, dtype=np.uint64)) | np.uint64(1)
 BYTE_LOWER = BYTE[LOWER]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i < n."""
-    if len(_POW["pow"]) < n:
+def _folded(x: np.ndarray) -> np.ndarray:
+    """The same modulo PRIME and much smaller; works in place on a fresh array."""
+    over = x >> np.uint64(31)
+    x &= _LOW
+    x += over
+    return x
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo PRIME for i < n."""
+    if base not in _POW or len(_POW[base][0]) < n:
         size = max(n, CHUNK_BYTES + 4096)
-        step = np.full(size, BASE, np.uint64)
-        step[0] = 1
-        _POW["pow"] = np.cumprod(step, dtype=np.uint64)
-        step[1:] = np.uint64(pow(int(BASE), -1, 1 << 64))
-        _POW["inv"] = np.cumprod(step, dtype=np.uint64)
-    return _POW["pow"], _POW["inv"]
+        both = []
+        for step in (base, pow(base, -1, PRIME)):
+            out = np.ones(1, np.uint64)
+            while len(out) < size:
+                out = np.concatenate([out, out * np.uint64(pow(step, len(out), PRIME)) % np.uint64(PRIME)])
+            both.append(out[:size])
+        _POW[base] = both[0], both[1]
+    return _POW[base]
 
 
 def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums from which `span_hash` reads the hash of any span of the values."""
+    """Prefix sums, a row for each base, from which `span_hash` reads the hash of any span of the values.
+
+    The values' low and high 31 bits are coefficients of polynomials over a prime field.  (Modulo a power of
+    two there are short texts that collide under every base.)
+    """
     n = len(values)
-    out = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(n)[0][:n], out=out[1:])
+    out = np.zeros((2, n + 1), np.uint64)
+    for sums, base, shift in zip(out, BASES, (0, 33), strict=True):
+        power = powers(base, n)[0]
+        for i in range(0, n, BLOCK):  # blocks stay in the cache
+            j = min(n, i + BLOCK)
+            part = _folded((values[i:j] >> np.uint64(shift) & _LOW) * power[i:j])
+            part[0] += sums[i]
+            np.cumsum(part, out=sums[i + 1 : j + 1])
     return out
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end), the same wherever a span lies."""
-    inv = powers(len(sums))[1]
-    return mix((sums[end] - sums[start]) * inv[start] + (end - start).astype(np.uint64))
+    """64-bit hashes, from 62 bits and the length, of the spans [start, end), the same wherever a span lies."""
+    inverse = [powers(base, sums.shape[1])[1] for base in BASES]
+    out = np.empty(len(start), np.uint64)
+    for i in range(0, len(start), BLOCK):
+        a, b = start[i : i + BLOCK], end[i : i + BLOCK]
+        high, low = (_folded(_folded(_folded(s[b] - s[a])) * inv[a]) % np.uint64(PRIME) for s, inv in zip(sums, inverse, strict=True))
+        out[i : i + BLOCK] = mix((high << np.uint64(31) | low) + (b - a).astype(np.uint64) * BASE)
+    return out
+
+
+def window_hash(values: np.ndarray, doublings: int) -> np.ndarray:
+    """Hashes of all windows of 2**doublings values.  Meant for short windows: modulo 2**64, texts that
+    collide whatever the base have a thousand values and more."""
+    out = values
+    for k in range(doublings):
+        out = out[: -(1 << k)] * np.uint64(pow(int(BASE), 1 << k, 1 << 64)) + out[1 << k :]
+    return mix(out)
 
 
 def chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
