@@ -48,4 +48,4 @@ def test_stages(spark, docs, items, tmp_path):  # noqa: F811
 
 
 def test_every_operator_is_registered():
-    assert [int(q[2:].split("_")[0]) for q in sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 14))
