@@ -104,7 +104,7 @@ def hex_neighbours(q: Column, r: Column, with_self: bool = False) -> Column:
     return F.array(*(F.struct((q + a).alias("q"), (r + b).alias("r")) for a, b in steps))
 
 
-def _edges(ring: Column) -> Column:
+def ring_edges(ring: Column) -> Column:
     """Consecutive corner pairs of a ring, the last with the first."""
     n = F.size(ring)
     following = F.concat(F.slice(ring, 2, F.greatest(n - 1, F.lit(0))), F.slice(ring, 1, 1))
@@ -113,7 +113,7 @@ def _edges(ring: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Signed area by the shoelace rule; positive counter-clockwise."""
-    return F.aggregate(_edges(ring), F.lit(0.0), lambda s, e: s + (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]) / 2)
+    return F.aggregate(ring_edges(ring), F.lit(0.0), lambda s, e: s + (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]) / 2)
 
 
 def ring_centroid(ring: Column) -> Column:
@@ -124,7 +124,7 @@ def ring_centroid(ring: Column) -> Column:
         w = e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]
         return F.struct((s["x"] + (e["a"]["x"] + e["b"]["x"]) * w).alias("x"), (s["y"] + (e["a"]["y"] + e["b"]["y"]) * w).alias("y"), (s["w"] + w).alias("w"))
 
-    return F.aggregate(_edges(ring), zero, step, lambda s: F.struct((s["x"] / (3 * s["w"])).alias("x"), (s["y"] / (3 * s["w"])).alias("y")))
+    return F.aggregate(ring_edges(ring), zero, step, lambda s: F.struct((s["x"] / (3 * s["w"])).alias("x"), (s["y"] / (3 * s["w"])).alias("y")))
 
 
 def valid_ring(ring: Column) -> Column:
@@ -143,7 +143,7 @@ def rings_contain(rings: Column, x: Column, y: Column) -> Column:
     """Even-odd test over all rings: holes and several parts come out right."""
 
     def crossings(ring: Column) -> Column:
-        return F.aggregate(_edges(ring), F.lit(0), lambda n, e: n + F.when(((e["a"]["y"] > y) != (e["b"]["y"] > y)) & (x < (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]), 1).otherwise(0))
+        return F.aggregate(ring_edges(ring), F.lit(0), lambda n, e: n + F.when(((e["a"]["y"] > y) != (e["b"]["y"] > y)) & (x < (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]), 1).otherwise(0))
 
     return F.aggregate(rings, F.lit(0), lambda n, ring: n + crossings(ring)) % 2 == 1
 
@@ -156,7 +156,7 @@ def on_edge(rings: Column, x: Column, y: Column) -> Column:
         inside = x.between(F.least(e["a"]["x"], e["b"]["x"]), F.greatest(e["a"]["x"], e["b"]["x"])) & y.between(F.least(e["a"]["y"], e["b"]["y"]), F.greatest(e["a"]["y"], e["b"]["y"]))
         return (cross == 0) & inside
 
-    return F.exists(rings, lambda ring: F.exists(_edges(ring), touches))
+    return F.exists(rings, lambda ring: F.exists(ring_edges(ring), touches))
 
 
 def segment_distance2(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -182,6 +182,6 @@ def clip_convex(ring: Column, window: Column) -> Column:
             p, q = pair["a"], pair["b"]
             return F.when(side(q, e) >= 0, F.when(side(p, e) >= 0, F.array(q)).otherwise(F.array(meet(p, q, e), q))).otherwise(F.when(side(p, e) >= 0, F.array(meet(p, q, e))).otherwise(F.slice(F.array(q), 1, 0)))
 
-        return F.when(F.size(points) > 0, F.flatten(F.transform(_edges(points), keep))).otherwise(points)
+        return F.when(F.size(points) > 0, F.flatten(F.transform(ring_edges(points), keep))).otherwise(points)
 
-    return F.aggregate(_edges(window), ring, cut)
+    return F.aggregate(ring_edges(window), ring, cut)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geo import SQRT3, hex_axial, hex_center, hex_id, hex_neighbours, hex_ring, ring_box, rings_contain, valid_ring
+from ..functions.geo import SQRT3, hex_axial, hex_center, hex_id, hex_neighbours, hex_ring, valid_ring
+from .polygons import edges_of, spans
 
 #: The box of the contiguous states, edges included (lat, lat, lon, lon).
 CONUS = (24.0, 50.0, -125.0, -66.0)
@@ -29,11 +30,16 @@ def lattice(spark: SparkSession, x0: float, y0: float, x1: float, y1: float, edg
 
 
 def fill(boundary: DataFrame, edge: float) -> DataFrame:
-    """Cells whose centre lies inside a boundary (one row with `rings`); an error if there are none."""
-    box = boundary.select(ring_box(F.flatten("rings")).alias("b")).first()["b"]
-    cells = lattice(boundary.sparkSession, box["x0"], box["y0"], box["x1"], box["y1"], edge)
-    # one boundary row: its size is that of a single polygon
-    inside = cells.join(F.broadcast(boundary.select("rings").limit(1)), how="inner", on=F.lit(True)).filter(rings_contain(F.col("rings"), F.col("x"), F.col("y"))).drop("rings")
+    """Cells whose centre lies inside a boundary (`rings`), or inside any of several; an error if there are
+    none.  Each row of cells is filled between the boundary's crossings with the line of its centres, so no
+    cell meets more of the boundary than its own row's crossings."""
+    named = boundary.select(F.monotonically_increasing_id().alias("poly"), "rings")
+    lines = spans(edges_of(named, ["poly"]), ["poly"], 0.0, 1.5 * edge).withColumnRenamed("row", "r")
+    width = SQRT3 * edge
+    q = F.sequence(F.ceil(F.col("x_in") / width - F.col("r") / 2).cast("long") - 1, F.ceil(F.col("x_out") / width - F.col("r") / 2).cast("long"))
+    x, y = hex_center(F.col("q"), F.col("r"), edge)
+    placed = lines.withColumn("q", F.explode(q)).withColumn("x", x).filter("x >= x_in AND x < x_out")
+    inside = placed.select("q", "r", hex_id(F.col("q"), F.col("r")).alias("cell_id"), "x", y.alias("y")).dropDuplicates(["q", "r"])
     if not inside.take(1):
         raise ValueError("the boundary holds no cell")
     return inside

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import clip_convex, distance2, on_edge, ring_area, ring_box, rings_contain, segment_distance2
 from ..sources.shared import materialized
+from .polygons import containing, decomposed, shares
 
 
 def _bucket(v: Column, size: float) -> Column:
@@ -172,17 +173,35 @@ def within(points: DataFrame, sites: DataFrame, key: str, radius: float, aggs: S
     return pairs.filter(distance2(F.col("x"), F.col("y"), F.col("sx"), F.col("sy")) <= radius * radius).groupBy(key).agg(*aggs)
 
 
+#: Polygons of more corners are taken apart; smaller ones are rows small enough to travel whole.
+WHOLE_CORNERS = 256
+
+
+def _by_size(polygons: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Polygons that may travel whole, and those (if any) that may not."""
+    corners = F.aggregate("rings", F.lit(0), lambda n, ring: n + F.size(ring))
+    large = polygons.filter(corners > WHOLE_CORNERS)
+    return polygons.filter(corners <= WHOLE_CORNERS), large if large.take(1) else None
+
+
 def in_polygon(points: DataFrame, polygons: DataFrame, key: str, attrs: Sequence[str], size: float, edges: bool = False, pick: Callable[[Column], Column] = F.min) -> DataFrame:
     """Each point with the attributes of the polygon (`rings`) that holds it; of several the one that
-    `pick` finds among the attribute structs; none gives nulls.  `edges` lets boundaries count."""
-    boxed = polygons.withColumn("box", ring_box(F.flatten("rings")))
+    `pick` finds among the attribute structs; none gives nulls.  `edges` lets boundaries count.  Polygons of
+    many corners are met by their edges and whole cells, never as one row."""
+    small, large = _by_size(polygons)
+    boxed = small.withColumn("box", ring_box(F.flatten("rings")))
     spread = dealt(boxed, F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), size)
     x, y = F.col("x"), F.col("y")
     pairs = bucketed(points.select(key, "x", "y"), "x", "y", size).join(spread.select("bx", "by", "rings", "box", *attrs), ["bx", "by"])
     pairs = pairs.filter(x.between(F.col("box.x0"), F.col("box.x1")) & y.between(F.col("box.y0"), F.col("box.y1")))
     touch = on_edge(F.col("rings"), x, y)
     inside = (rings_contain(F.col("rings"), x, y) | touch) if edges else (rings_contain(F.col("rings"), x, y) & ~touch)
-    best = pairs.filter(inside).groupBy(key).agg(pick(F.struct(*attrs)).alias("p")).select(key, "p.*")
+    hits = pairs.filter(inside).select(key, *attrs)
+    if large is not None:
+        areas = decomposed(large, attrs, size)
+        found = containing(points, key, areas)
+        hits = hits.unionByName((found if edges else found.filter("touch = 0")).join(areas.rows, "poly").select(key, *attrs))
+    best = hits.groupBy(key).agg(pick(F.struct(*attrs)).alias("p")).select(key, "p.*")
     return points.select(key).join(best, key, "left")
 
 
@@ -200,17 +219,23 @@ def overlay(cells: DataFrame, polygons: DataFrame, key: str, name: str, code: st
 
     A polygon has one `outer` ring, or `rings`: parts counter-clockwise, holes clockwise, as signed areas.
     Pairs are found by the polygons' boxes alone; the rings are joined to the pairs afterwards, so they
-    are not copied into every bucket.
+    are not copied into every bucket.  Polygons of many corners are summed up edge by edge instead.
     """
     c = cells.withColumn("box", ring_box(F.col("ring")))
     left = dealt(c, F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), size).select(key, "bx", "by")
-    p = polygons.withColumn("_rings", F.col("rings") if "rings" in polygons.columns else F.array("outer"))
+    p, large = _by_size(polygons.withColumn("rings", F.col("rings") if "rings" in polygons.columns else F.array("outer")))
+    p = p.withColumn("_rings", F.col("rings"))
     boxes = p.select("poly_id", ring_box(F.flatten("_rings")).alias("box"))
     right = dealt(boxes, F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), size).select("poly_id", "bx", "by")
     pairs = left.join(right, ["bx", "by"]).select(key, "poly_id").distinct()
     held = pairs.join(cells.select(key, "ring"), key).join(p.select("poly_id", "_rings", name, code), "poly_id")
     area = F.abs(F.aggregate("_rings", F.lit(0.0), lambda total, ring: total + F.coalesce(ring_area(clip_convex(ring, F.col("ring"))), F.lit(0.0))))
     pieces = held.withColumn("piece", area).filter("piece > 0").withColumn("whole", F.abs(ring_area(F.col("ring"))))
+    pieces = pieces.select(key, "piece", "whole", name, code)
+    if large is not None:
+        areas = decomposed(large, [name, code], size)
+        cut = shares(cells, key, areas).filter("piece > 1e-9 * area").join(areas.rows, "poly")
+        pieces = pieces.unionByName(cut.select(key, "piece", F.col("area").alias("whole"), name, code))
     out = pieces.groupBy(key).agg((F.sum("piece") / F.max("whole")).alias("share"), F.max_by(F.col(name), F.struct("piece", F.col(name))).alias(name), F.min(code).alias(code))
     joined = cells.select(key).join(out, key, "left")
     return joined.withColumn("share", F.least(F.lit(1.0), F.coalesce("share", F.lit(0.0))))

@@ -164,8 +164,10 @@ def slope(cells: DataFrame, pixels: DataFrame, nodata: float = 255.0) -> DataFra
 
 
 def protected_area(cells: DataFrame, polygons: DataFrame, size: float = 50_000.0) -> DataFrame:
-    """Share of each cell (`ring`) under protected polygons (poly_id, outer or rings, Unit_Nm, GAP_Sts 1 or 2)."""
+    """Share of each cell (`ring`) under protected polygons (poly_id, outer or rings, Unit_Nm, GAP_Sts 1 or 2);
+    polygons that cross themselves are left out."""
     used = polygons.filter(F.col("GAP_Sts").isin("1", "2")).withColumn("gap_status_min", F.col("GAP_Sts").cast("int"))
+    used = simple(used if "rings" in used.columns else used.withColumn("rings", F.array("outer")), "poly_id", size)
     out = spatial.overlay(cells, used, KEY, "Unit_Nm", "gap_status_min", size)
     return out.select(KEY, (F.col("share") > 0).cast("int").alias("in_protected_area"), F.col("share").alias("protected_area_pct"), F.col("Unit_Nm").alias("protected_area_name"), "gap_status_min")
 

@@ -98,8 +98,14 @@ def choose_layer(names: Sequence[str], wanted: str | None = None, part: str = "c
 
 
 def dissolved(df: DataFrame, columns: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """The rings of the rows selected by the first of the name columns that the layer has, as one polygon."""
+    """The outline of the rows selected by the first of the name columns that the layer has, as one polygon:
+    overlaps count once, common sides vanish."""
+    from ..operators.polygons import dissolve
+
     column = next((c for c in columns if c in df.columns), None)
     if column is None:
         raise ValueError(f"none of {list(columns)} among {df.columns}")
-    return df.filter(F.col(column).isin(*values)).agg(F.flatten(F.collect_list("rings")).alias("rings"))
+    chosen = df.filter(F.col(column).isin(*values)).select(F.lit(1).alias("one"), "rings")
+    box = chosen.select(F.explode(F.flatten("rings")).alias("p")).agg(F.max("p.x") - F.min("p.x"), F.max("p.y") - F.min("p.y")).first()
+    size = max(*(v or 0.0 for v in box), 1e-9) / 32
+    return dissolve(chosen, "one", size).agg(F.collect_list("corners").alias("rings"))
