@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,36 @@ def albers(lon: Column, lat: Column) -> tuple[Column, Column]:
     return rho * F.sin(theta), rho0 - rho * F.cos(theta)
 
 
+def albers_inverse(x: Column, y: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of a place in the equal-area projection: the authalic latitude follows from the
+    distance to the cone's tip, and the geographic one from it by its series in the squared eccentricity."""
+    e2 = ALBERS["e2"]
+    s1, s2, s0 = (F.sin(F.radians(F.lit(ALBERS[k]))) for k in ("lat1", "lat2", "lat0"))
+    m1, m2 = (F.cos(F.radians(F.lit(ALBERS[k]))) / F.sqrt(1 - e2 * s * s) for k, s in (("lat1", s1), ("lat2", s2)))
+    n = (m1 * m1 - m2 * m2) / (_albers_q(s2) - _albers_q(s1))
+    c = m1 * m1 + n * _albers_q(s1)
+    rho0 = EARTH_RADIUS * F.sqrt(c - n * _albers_q(s0)) / n
+    rho2 = x * x + (rho0 - y) * (rho0 - y)
+    q = (c - rho2 * n * n / (EARTH_RADIUS * EARTH_RADIUS)) / n
+    beta = F.asin(q / _albers_q(F.lit(1.0)))
+    e4, e6, e8 = e2**2, e2**3, e2**4
+    series = [(e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040 + 120389 * e8 / 1814400), (23 * e4 / 360 + 251 * e6 / 3780 + 102287 * e8 / 1814400), (761 * e6 / 45360 + 47561 * e8 / 1814400), 6059 * e8 / 1209600]
+    lat = beta
+    for k, term in enumerate(series, 1):
+        lat = lat + term * F.sin(2 * k * beta)
+    return ALBERS["lon0"] + F.degrees(F.atan2(x, rho0 - y) / n), F.degrees(lat)
+
+
+def projected(rings: Column, to: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """Rings with every corner taken to another projection."""
+
+    def moved(p: Column) -> Column:
+        x, y = to(p["x"], p["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return F.transform(rings, lambda ring: F.transform(ring, moved))
+
+
 def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Ground distance on the sphere."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)

@@ -20,23 +20,43 @@ def duplicate_pairs(df: DataFrame, key: str, radius: float, same: Sequence[str])
     return close_pairs(folded, key, radius).filter(agree).select("a", "b")
 
 
+#: A hub has more neighbours than a 1 / HUBS share of all edges, and HEAVY at least; so there are 2 * HUBS at most.
+HUBS, HEAVY = 10_000, 1_000
+
+
+def _with_least(both: DataFrame, least: DataFrame, edges: int) -> DataFrame:
+    """Edges (u, v, m) with the least neighbour of u.  Edges of hubs meet a broadcast list of hubs, which has
+    a bounded length, so that no key gathers a hub's edges in one task."""
+    many = max(HEAVY, edges // HUBS)
+    hubs = F.broadcast(least.filter(F.col("n") > many).select("u", "m"))
+    light = both.join(F.broadcast(least.filter(F.col("n") > many).select("u")), "u", "left_anti")
+    return light.join(least.filter(F.col("n") <= many).select("u", "m"), "u").unionByName(both.join(hubs, "u"))
+
+
 def clusters(nodes: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     """Each node with the least node that pairs connect it to.
 
-    Every node takes the least label among its neighbours, then that label's own label, so that labels
-    travel in growing strides; rounds end when nothing changes.
+    Larger neighbours of a node are hung on the least of its neighbours and itself, then smaller ones in the
+    same way, until nothing changes; the rounds follow the logarithm of a cluster's size.
     """
-    edges = materialized(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select("b", "a")))
-    labels = materialized(nodes.select(F.col(key).alias("u"), F.col(key).alias("label")))
-    while True:
-        heard = edges.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("label").alias("heard"))
-        nearer = labels.join(heard, "u", "left").select("u", "label", F.least("label", "heard").alias("next"))
-        jumped = nearer.join(labels.select(F.col("u").alias("next"), F.col("label").alias("far")), "next", "left")
-        new = materialized(jumped.select("u", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("moved")))
-        moved = new.filter("moved").take(1)
-        labels = new.select("u", "label")
-        if not moved:
-            return labels.select(F.col("u").alias(key), F.col("label").alias("cluster"))
+    edges = materialized(pairs.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+
+    def mark(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    state = mark(edges)
+    while state[0]:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = materialized(both.groupBy("u").agg(F.min("v").alias("v"), F.count("*").alias("n")).select("u", F.least("u", "v").alias("m"), "n"))
+        large = materialized(_with_least(both.filter("v > u"), least, 2 * state[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        least = materialized(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        small = _with_least(large, least, state[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        edges, before = materialized(small.union(least.select("u", "m")).distinct()), state
+        state = mark(edges)
+        if state == before:
+            break
+    found = edges.select(F.col("u").alias(key), F.col("v").alias("_least"))
+    return nodes.select(key).join(found, key, "left").select(key, F.coalesce("_least", key).alias("cluster"))
 
 
 def first_of_each(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialized
 from .grid import neighbours
 from .spatial import in_box
 
@@ -57,6 +58,34 @@ def _prefixed(counts: DataFrame, parts: int = 64) -> DataFrame:
     return out.select("score", "pos", "neg", (F.col("tp") + F.col("p0")).alias("tp"), (F.col("fp") + F.col("n0")).alias("fp"))
 
 
+def _ranked_by(counts: DataFrame, group: str, parts: int = 64) -> DataFrame:
+    """Cumulative counts by group from its highest score down.  Scores are cut into ranges by the quantiles of
+    all of them; sums run inside each group's range and start from the totals of its higher ranges, so a group
+    of most rows is no single task."""
+    cuts = sorted(set(counts.agg(F.percentile_approx("score", [i / parts for i in range(1, parts)], 1000)).first()[0] or []))
+    part = F.lit(0)
+    for c in cuts:
+        part = part + (F.col("score") <= F.lit(c)).cast("int")
+    marked = counts.withColumn("part", part)
+    inside = Window.partitionBy(group, "part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most `parts` rows
+    totals = marked.groupBy(group, "part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    totals = totals.select(F.col(group).alias("_g"), F.col("part").alias("_p"), F.coalesce(F.sum("p").over(before), F.lit(0)).alias("p0"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"))
+    run = marked.withColumn("tp", F.sum("pos").over(inside)).withColumn("fp", F.sum("neg").over(inside))
+    out = run.join(totals, F.col(group).eqNullSafe(F.col("_g")) & (F.col("part") == F.col("_p")))
+    return out.select(group, "score", "pos", "neg", (F.col("tp") + F.col("p0")).alias("tp"), (F.col("fp") + F.col("n0")).alias("fp"))
+
+
+def scores_by(df: DataFrame, group: str, score: str = "score", label: str = "label") -> DataFrame:
+    """(group, rows, positives, auc, average_precision) of each group; null where a class lacks."""
+    y = F.col(label).cast("long")
+    counts = df.groupBy(group, F.col(score).alias("score")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    wins = F.sum(F.col("neg") * (F.col("tp") - F.col("pos")) + F.col("pos") * F.col("neg") / 2)
+    steps = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    out = _ranked_by(counts, group).groupBy(group).agg(F.sum(F.col("pos") + F.col("neg")).alias("rows"), F.sum("pos").alias("positives"), F.try_divide(wins, F.sum("pos") * F.sum("neg")).alias("auc"), F.try_divide(steps, F.sum("pos")).alias("average_precision"))
+    return out.withColumn("average_precision", F.when(F.col("positives") < F.col("rows"), F.col("average_precision")))
+
+
 def curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Precision and recall at every distinct score."""
     points = _prefixed(_by_score(df, score, label))
@@ -95,12 +124,17 @@ def balanced_weight(label: Column, weight: Column, positive_rate: float) -> Colu
     return weight * F.when(label == 1, 0.5 / positive_rate).otherwise(0.5 / (1 - positive_rate))
 
 
-def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", weight: str = "weight", rounds: int = 100, depth: int = 4, rate: float = 0.1, validation: str | None = None):
-    """A boosted-tree model over the features present; nulls become -1 beyond a flag column of their own."""
+def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", weight: str = "weight", rounds: int = 100, depth: int = 4, rate: float = 0.1, validation: str | None = None, balanced: bool = False):
+    """A boosted-tree model over the features present; nulls become -1 beyond a flag column of their own.
+    `balanced` lets both classes weigh the same."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
+    if balanced:
+        share = df.agg(F.try_divide(F.sum(F.col(label) * F.col(weight)), F.sum(weight))).first()[0]
+        if share and share < 1:
+            df = df.withColumn(weight, balanced_weight(F.col(label), F.col(weight), share))
     used = [c for c in features if c in df.columns]
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol=weight, maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.7, featureSubsetStrategy="0.7", minInstancesPerNode=10, seed=7)
     if validation:
@@ -129,12 +163,41 @@ def importances(spark, model, features: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(f, float(values[i] + values[n + i])) for i, f in enumerate(features)], "feature string, importance double")
 
 
-def learning_curve(spark, model, df: DataFrame, features: Sequence[str], every: int = 10) -> DataFrame:
-    """(round, loss, is_best) on a frame."""
-    assembled = model.stages[0].transform(filled(df, features))
-    losses = model.stages[-1].evaluateEachIteration(assembled)
-    best = min(range(len(losses)), key=losses.__getitem__)
-    return spark.createDataFrame([(i + 1, float(x), i == best) for i, x in enumerate(losses) if i % every == every - 1 or i == best], "round int, loss double, is_best boolean")
+def margins(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Adds `margins`: the ensemble's margin after each of its rounds, all from one pass over the rows."""
+    fitted = model.stages[-1]
+    out = model.stages[0].transform(filled(df, features))
+    for i, tree in enumerate(fitted.trees):
+        out = tree.setFeaturesCol("features").setPredictionCol(f"_t{i}").transform(out)
+    steps = F.array(*(F.col(f"_t{i}") * float(w) for i, w in enumerate(fitted.treeWeights)))
+    sums = F.aggregate(steps, F.array().cast("array<double>"), lambda s, t: F.concat(s, F.array(F.when(F.size(s) > 0, F.element_at(s, -1)).otherwise(0.0) + t)))
+    return out.select(*df.columns, sums.alias("margins"))
+
+
+def learning_curve(model, df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
+    """(round, average_precision, auc, is_best) on a frame, for every round of the ensemble; the earliest round
+    of the greatest average precision is the best."""
+    each = margins(model, df, features).select(label, F.posexplode("margins").alias("round", "score")).withColumn("round", F.col("round") + 1)
+    points = materialized(scores_by(each, "round", "score", label))
+    best = points.agg(F.max_by("round", F.struct(F.coalesce("average_precision", F.lit(-1.0)).alias("ap"), -F.col("round")))).first()[0]
+    return points.select("round", "average_precision", "auc", (F.col("round") == F.lit(best)).alias("is_best"))
+
+
+def stopped_at(curve: DataFrame, patience: int = 20) -> int:
+    """The round that training stops at: the best one before `patience` rounds bring nothing better."""
+    best, at = -1.0, 0
+    for r in sorted(curve.select("round", "average_precision").collect()):  # a row for each round
+        if (r.average_precision or 0.0) > best:
+            best, at = r.average_precision or 0.0, r["round"]
+        elif r["round"] - at >= patience:
+            break
+    return at
+
+
+def scored_at(model, df: DataFrame, features: Sequence[str], rounds: int) -> DataFrame:
+    """Adds the score of class 1 by the first rounds of the ensemble alone."""
+    margin = F.element_at("margins", rounds)
+    return margins(model, df, features).withColumn("score", 1 / (1 + F.exp(-2 * margin))).drop("margins")
 
 
 def metrics_record(scored: DataFrame, label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:

@@ -89,9 +89,51 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     return counts.join(F.broadcast(total), how="inner", on=F.lit(True)).select(column, "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+#: Buckets into which each round of the rank search cuts the range that still holds a rank.
+BUCKETS = 256
+
+
+def percentiles(df: DataFrame, column: str, points: Sequence[float]) -> list[float | None]:
+    """Exact interpolated percentiles of the column's numbers; null without any.
+
+    Ranks are looked for in rounds: the range that holds one is cut into buckets, their rows, least and
+    greatest values are counted, and the bucket with the rank is the next round's range, until it holds one
+    value.  A round returns `BUCKETS` rows for each range; no task ever holds the values.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n:
+        return [None] * len(points)
+    wanted = {r for p in points for r in (int((n - 1) * p), min(n - 1, int((n - 1) * p) + 1))}
+    at = {r: (low, high, 0) for r in wanted}  # range and the number of values before it
+    while open_ := sorted({(a, b, before) for a, b, before in at.values() if a < b}):
+        v = F.col("v")
+        place = F.lit(None).cast("struct<range:int,bucket:int>")
+        for i, (a, b, _) in enumerate(open_):
+            bucket = F.least(F.lit(BUCKETS - 1), F.greatest(F.lit(0), F.floor((v / 2 - a / 2) / (b / 2 - a / 2) * BUCKETS).cast("int")))
+            place = F.when(v.between(a, b), F.struct(F.lit(i).alias("range"), bucket.alias("bucket"))).otherwise(place)
+        rows = values.select("v", place.alias("p")).filter("p is not null").groupBy("p.range", "p.bucket").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+        for r, (a, b, before) in list(at.items()):
+            if a < b:
+                for row in sorted((x for x in rows if open_[x["range"]] == (a, b, before)), key=lambda x: x["bucket"]):
+                    if r < before + row["n"]:
+                        at[r] = row["low"], row["high"], before
+                        break
+                    before += row["n"]
+    out: list[float | None] = []
+    for p in points:
+        spot = (n - 1) * p
+        lower = int(spot)
+        one, two = at[lower][0], at[min(n - 1, lower + 1)][0]
+        out.append(one if spot == lower or one == two else (lower + 1 - spot) * one + (spot - lower) * two)
+    return out
+
+
 def described(df: DataFrame, column: str, points: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
     """Count, distinct count, least, mean, greatest and exact interpolated percentiles of a column."""
-    return df.agg(F.count(column).alias("n"), F.count_distinct(column).alias("n_distinct"), F.min(column).alias("least"), F.avg(column).alias("mean"), F.max(column).alias("most"), *(F.percentile(column, p).alias(f"p{round(p * 100)}") for p in points))
+    found = percentiles(df, column, points)
+    out = df.agg(F.count(column).alias("n"), F.count_distinct(column).alias("n_distinct"), F.min(column).alias("least"), F.avg(column).alias("mean"), F.max(column).alias("most"))
+    return out.withColumns({f"p{round(p * 100)}": F.lit(v).cast("double") for p, v in zip(points, found, strict=True)})
 
 
 def null_rates(df: DataFrame, columns: Sequence[str], groups: dict[str, str] | None = None) -> DataFrame:
@@ -178,7 +220,8 @@ def row_band(df: DataFrame, least: int, most: int) -> DataFrame:
 
 def summary(df: DataFrame, measure: str, flags: Sequence[str]) -> DataFrame:
     """Rows, matched rows, exact centre and spread of a measure, and the flags' counts and percentages."""
-    return df.agg(F.count("*").alias("rows"), F.count(measure).alias("matched"), F.min(measure).alias("least"), F.percentile(measure, 0.5).alias("median"), F.avg(measure).alias("mean"), F.max(measure).alias("most"), *(F.sum(f).alias(f"n_{f}") for f in flags), *((100 * F.avg(f)).alias(f"pct_{f}") for f in flags))
+    median = percentiles(df, measure, [0.5])[0]
+    return df.agg(F.count("*").alias("rows"), F.count(measure).alias("matched"), F.min(measure).alias("least"), F.lit(median).cast("double").alias("median"), F.avg(measure).alias("mean"), F.max(measure).alias("most"), *(F.sum(f).alias(f"n_{f}") for f in flags), *((100 * F.avg(f)).alias(f"pct_{f}") for f in flags))
 
 
 def inspect(df: DataFrame, sentinels: Sequence[float] = (-9999, 9999)) -> DataFrame:

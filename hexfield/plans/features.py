@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, geo
 from ..operators import grid, raster, spatial, tables
+from ..operators.polygons import valid as simple
 from ..sources import readers
 
 KEY = "cell_id"

@@ -126,9 +126,25 @@ def importance_share(spark, d):
 
 @query(None)
 def learning_curve(spark, d):
-    """Loss on the holdout by round."""
-    data, used, fit = fitted(spark, d)
-    return model.learning_curve(spark, fit, data.filter("is_test = 1"), used, every=2)
+    """Average precision and AUC on the holdout by round, from one pass; both classes weigh the same."""
+    data = training(spark, d)
+    used, fit = model.fit_boosted(data.filter("is_test = 0"), FEATURES, rounds=10, depth=3, balanced=True)
+    return model.learning_curve(fit, data.filter("is_test = 1"), used)
+
+
+BY_REGION = "SELECT c_custkey AS id, c_nationkey AS region, CAST((c_custkey * 7919) % 1009 AS DOUBLE) / 1000 AS score, CASE WHEN c_nationkey = 7 THEN 0 WHEN c_nationkey = 8 THEN 1 WHEN (c_custkey * 31) % 10 < 3 THEN 1 ELSE 0 END AS label FROM customer"
+
+
+@query(f"""WITH s AS ({BY_REGION}), c AS (SELECT region, score, sum(label) AS pos, sum(1 - label) AS neg FROM s GROUP BY 1, 2),
+r AS (SELECT *, sum(pos) OVER (PARTITION BY region ORDER BY score DESC) AS tp, sum(neg) OVER (PARTITION BY region ORDER BY score DESC) AS fp FROM c)
+SELECT region, CAST(sum(pos + neg) AS BIGINT) AS n_rows, CAST(sum(pos) AS BIGINT) AS positives, CAST(floor(sum(neg * (tp - pos) + pos * neg / 2e0) / nullif(sum(pos) * sum(neg), 0) * 1000000 + 0.5e0) AS BIGINT) AS auc,
+CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN CAST(floor(sum(pos * tp / CAST(tp + fp AS DOUBLE)) / sum(pos) * 1000000 + 0.5e0) AS BIGINT) END AS average_precision FROM r GROUP BY region""")
+def auc_by_region(spark, d):
+    """AUC and average precision of each region, null where a class lacks."""
+    c = F.col("c_custkey")
+    label = F.when(F.col("region") == 7, 0).when(F.col("region") == 8, 1).when(c * 31 % 10 < 3, 1).otherwise(0)
+    data = L.table(spark, d, "customer").withColumn("region", F.col("c_nationkey")).select("region", ((c * 7919 % 1009).cast("double") / 1000).alias("score"), label.alias("label"))
+    return model.scores_by(data, "region").select("region", F.col("rows").alias("n_rows"), "positives", milli(F.col("auc"), 1000000).alias("auc"), milli(F.col("average_precision"), 1000000).alias("average_precision"))
 
 
 FLAGS = ["in_protected_area", "in_wetland", "in_floodplain_100yr", "in_high_wildfire", "in_high_seismic", "high_water_stress", "in_tribal_land", "in_critical_habitat"]
