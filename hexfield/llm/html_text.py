@@ -10,9 +10,11 @@ and their depth's indent, preformatted text as it stands, table cells in aligned
 and rows counted in), after what else stands between a table's rows and cells.
 
 Pages are independent rows, so the job is one Arrow pass without a shuffle.  A page takes time and room
-in proportion to its length, whatever its nesting: open elements are found by name, blanks that align a
-cell are at most `MOST_PAD` for a column and `MOST_OFFSET` for a line, indents at most `MOST_INDENT`,
-and the cells of tables nested deeper than `MOST_TABLES` follow one another as blocks.
+in proportion to its length (times its logarithm, for spans), whatever its nesting: open elements are found
+by name, spans of rows are kept as gaps between columns, indents are at most `MOST_INDENT`, and the cells of
+tables nested deeper than `MOST_TABLES` follow one another as blocks.  Cells are aligned to their columns'
+full widths unless that makes more than `ROOM` times the table's text in blanks; then `MOST_PAD` for a column
+and `MOST_OFFSET` for a line limit them.
 
 Defined results: null and empty markup render to the empty text; unclosed and stray tags are repaired
 as browsers do for the cases above and otherwise ignored; a tag that never ends is dropped with what
@@ -23,8 +25,10 @@ columns are carried, and those named like an added one are replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from html import unescape
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,9 +46,11 @@ STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 AT_RULE = re.compile(r"@([\w-]+)(.*)", re.S)
 ON_SCREEN = frozenset(["", "all", "screen", "only all", "only screen", "not print", "not speech"])
 SELECTOR = re.compile(r"[.#]?[\w-]+")
-HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+DECLARED = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([\w-]+)", re.I)
+HIDING = {"display": frozenset(["none"]), "visibility": frozenset(["hidden", "collapse"])}
 WHITE = re.compile(r"[ \t\n\f\r]+")
 MOST_PAD, MOST_OFFSET, MOST_INDENT, MOST_TABLES = 40, 240, 60, 8
+ROOM, ROOM_AT_LEAST = 16, 4096
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp".split())
@@ -83,10 +89,26 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def _hidden(tag: str, attributes: dict[str, str], rules: set[str]) -> bool:
-    if tag in UNSEEN or "hidden" in attributes or HIDDEN_STYLE.search(attributes.get("style", "")):
+def _declared(body: str) -> dict[str, bool]:
+    """Whether declarations hide, by property; the last one of each counts."""
+    return {m[1].lower(): m[2].lower() in HIDING[m[1].lower()] for m in DECLARED.finditer(body)}
+
+
+def _hidden(tag: str, attributes: dict[str, str], rules: dict[str, dict[str, tuple[int, bool]]]) -> bool:
+    """Whether an element is hidden, and with it all that it holds: its own style counts before rules by id,
+    these before rules by class and by tag, and of equal ones the last."""
+    if tag in UNSEEN:
+        return True
+    found: dict[str, tuple[int, int, bool]] = {}
+    if rules:
+        for rank, name in [(0, tag), *((1, "." + c) for c in attributes.get("class", "").split()), (2, "#" + attributes.get("id", ""))]:
+            for what, (place, hides) in rules.get(name, {}).items():
+                found[what] = max(found.get(what, (-1, 0, False)), (rank, place, hides))
+    for what, hides in _declared(attributes.get("style", "")).items():
+        found[what] = (3, 0, hides)
+    if "hidden" in attributes and "display" not in found:
         return True
-    return bool(rules) and not rules.isdisjoint([tag, "#" + attributes.get("id", ""), *("." + c for c in attributes.get("class", "").split())])
+    return any(hides for _, _, hides in found.values())
 
 
 def _on_screen(media: str) -> bool:
@@ -106,9 +128,11 @@ def _style_sheets(html: str) -> Iterator[tuple[str, str]]:
         yield html[m.end() : end], html[end + 1 : close.start() if close else at]
 
 
-def _hiding(html: str) -> set[str]:
-    """Plain selectors of the page's style sheets that hide what they select on the screen."""
-    found: set[str] = set()
+def _hiding(html: str) -> dict[str, dict[str, tuple[int, bool]]]:
+    """What the page's style sheets last say about plain selectors on the screen: by property the place of
+    the rule and whether it hides."""
+    found: dict[str, dict[str, tuple[int, bool]]] = {}
+    place = 0
     for raw, sheet in _style_sheets(html):
         if not _on_screen(_attributes(raw).get("media", "")):
             continue
@@ -116,8 +140,10 @@ def _hiding(html: str) -> set[str]:
         blocks: list[tuple[bool, set[str]]] = [(True, set())]  # whether rules inside count, and the selectors
         for text, brace in zip(parts[::2], [*parts[1::2], "}"], strict=True):
             body, _, head = text.rpartition(";") if brace == "{" else (text, "", "")
-            if HIDDEN_STYLE.search(body):
-                found |= blocks[-1][1]
+            place += 1
+            for what, hides in _declared(body).items() if blocks[-1][1] else ():
+                for name in blocks[-1][1]:
+                    found.setdefault(name, {})[what] = place, hides
             if brace == "{":
                 inside = blocks[-1][0]
                 if m := AT_RULE.fullmatch(head.strip()):
@@ -323,22 +349,55 @@ def _parts(table: Node) -> tuple[list[list[Node]], list[Node], list[Node | str]]
     return [r for r in rows if r], captions, stray if any(isinstance(c, Node) or c.strip() for c in stray) else []
 
 
+class Gaps:
+    """The columns that no cell above holds, as ordered gaps."""
+
+    def __init__(self) -> None:
+        self.starts: list[float] = [0]
+        self.ends: list[float] = [inf]
+
+    def take(self, a: float, b: float) -> list[tuple[float, float]]:
+        """Close what is open of [a, b), and say what that was."""
+        i = bisect_right(self.ends, a)
+        j, pieces, left = i, [], []
+        while j < len(self.starts) and self.starts[j] < b:
+            pieces.append((max(a, self.starts[j]), min(b, self.ends[j])))
+            left += [x for x in ((self.starts[j], a), (b, self.ends[j])) if x[0] < x[1]]
+            j += 1
+        self.starts[i:j], self.ends[i:j] = [x for x, _ in left], [y for _, y in left]
+        return pieces
+
+    def give(self, a: float, b: float) -> None:
+        """Open [a, b) again."""
+        i = bisect_left(self.ends, a)
+        j = bisect_right(self.starts, b)
+        if i < j:
+            a, b = min(a, self.starts[i]), max(b, self.ends[j - 1])
+        self.starts[i:j], self.ends[i:j] = [a], [b]
+
+
 def _columns(rows: list[list[Node]]) -> list[list[int]]:
-    """The column in which each cell begins, by the spans of the cells before it and above it.  Columns
-    in which no cell begins are left out of the count."""
-    held: dict[int, int] = {}  # column -> rows for which a cell above still holds it
-    begins: list[list[int]] = []
-    for row in rows:
-        at, places, new = 0, [], {}
+    """The column in which each cell begins, by the spans of the cells before it and above it; where spans
+    overlap the earlier one holds.  Columns in which no cell begins are left out of the count.  A row passes
+    no more gaps than its own cells do, whatever spans there are above it."""
+    gaps, ending = Gaps(), {}
+    begins: list[list[float]] = []
+    for r, row in enumerate(rows):
+        for piece in ending.pop(r, ()):
+            gaps.give(*piece)
+        at, g, places = 0, 0, []
         for c in row:
-            while at in held:
-                at += 1
+            while at >= gaps.ends[g]:
+                g += 1
+            at = max(at, gaps.starts[g])
             places.append(at)
-            if c.down > 1:
-                new.update(dict.fromkeys(range(at, at + c.across), c.down))
             at += c.across
+        for c, k in zip(row, places, strict=True):
+            if c.down > 1:
+                pieces = gaps.take(k, k + c.across)
+                if r + c.down < len(rows):
+                    ending.setdefault(r + c.down, []).extend(pieces)
         begins.append(places)
-        held = {k: left - 1 for k, left in (held | new).items() if left > 1}
     order = {k: i for i, k in enumerate(sorted({k for row in begins for k in row}))}
     return [[order[k] for k in row] for row in begins]
 
@@ -351,10 +410,14 @@ def _align(rows: list[list[Node]], texts: list[list[str]]) -> list[str]:
         for c, k, text in zip(row, places, cells, strict=True):
             if c.across == 1:
                 width[k] = max(width.get(k, 0), *(len(x) for x in text.split("\n")))
+    columns = max((k for places in begins for k in places), default=-1) + 1
+    lines_, chars = sum(1 + max(t.count("\n") for t in cells) for cells in texts), sum(len(t) for cells in texts for t in cells)
+    # blanks stay in proportion to the text: only where full widths would make many more they are limited
+    whole = lines_ * (sum(width.values()) + 2 * columns) <= ROOM * chars + ROOM_AT_LEAST
     offset, total = [], 0
-    for k in range(max((k for places in begins for k in places), default=-1) + 1):
-        offset.append(min(total, MOST_OFFSET))
-        total += min(width.get(k, 0), MOST_PAD) + 2
+    for k in range(columns):
+        offset.append(total if whole else min(total, MOST_OFFSET))
+        total += (width.get(k, 0) if whole else min(width.get(k, 0), MOST_PAD)) + 2
     out = []
     for places, cells in zip(begins, texts, strict=True):
         lines: dict[int, list[str]] = {}

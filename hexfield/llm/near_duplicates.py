@@ -137,7 +137,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component): the least node that links (a, b) reach; nodes without links are absent.
+    """A written table (node, component): the least node that links (a, b) reach; nodes without links are absent.
 
     Every node's neighbours hang on the least of them, in turn over larger and over smaller ones, until
     nothing changes; the rounds grow with the logarithm of a component's size.
@@ -150,18 +150,20 @@ def components(links: DataFrame) -> DataFrame:
     state = mark(edges)
     while state[0]:
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
-        least = written(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "least")
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        first = written(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "least")
+        large = both.filter("v > u").join(first, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         large = written(large, "large")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(least.toDF("u", "v")).distinct()
         before, last = state, edges
         edges = written(small, "small")
         state = mark(edges)
-        discard(large, last)
+        discard(large, last, first, least)
         if before == state:
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out = written(edges.select(F.col("u").alias("node"), F.col("v").alias("component")), "components")
+    discard(edges)
+    return out
 
 
 class Tree:
@@ -280,7 +282,9 @@ def _link_classes(classes: DataFrame, firsts: DataFrame, docs: DataFrame) -> Dat
     """Components of the classes (node, n, bands, bitmap), whose texts are those of their first rows."""
     rows = classes.select("node", "n", F.explode("bands").alias("block"))
     blocks = rows.groupBy("block").agg(F.count("*").alias("size"), F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n")).filter("size > 1")
-    members = written(rows.join(written(blocks, "blocks"), "block"), "members")
+    counted = written(blocks, "blocks")
+    members = written(rows.join(counted, "block"), "members")
+    discard(counted)
     sized = 100 * F.least("n", "pivot_n") >= PERCENT * F.greatest("n", "pivot_n")
     near = members.filter(F.col("node") != F.col("pivot")).filter(sized).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     wanted = firsts.join(members.select("node").distinct(), "node").select("doc_id", "mark", "node")
@@ -288,7 +292,7 @@ def _link_classes(classes: DataFrame, firsts: DataFrame, docs: DataFrame) -> Dat
     sets = written(in_arrow(texts, _sets, "node bigint, keys array<bigint>"), "sets")
     tested = written(near, "near")
     links = written(_verified(tested, sets), "verified")
-    found = written(components(links), "components")
+    found, used = components(links), [tested, links]
 
     scope, partners = members.filter("size > 2"), PARTNERS
     while True:
@@ -296,20 +300,24 @@ def _link_classes(classes: DataFrame, firsts: DataFrame, docs: DataFrame) -> Dat
         labelled = written(labelled.select("block", "node", "n", "size", "pivot", "component"), "labelled")
         parts = labelled.groupBy("block", "component").agg(F.count("*").alias("n_main"))
         open_blocks = parts.groupBy("block").agg(F.max_by("component", F.struct("n_main", "component")).alias("main"), F.max("n_main").alias("n_main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
-        cells = _cells(labelled.join(written(open_blocks, "open"), "block")).select("block", "one", "two", "side", "node", "n", "pivot", "component")
+        still = written(open_blocks, "open")
+        cells = _cells(labelled.join(still, "block")).select("block", "one", "two", "side", "node", "n", "pivot", "component")
         dealt = cells.join(classes.select("node", "bitmap", "bands"), "node")
         across = written(in_arrow(dealt.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two"), _across(partners), "a bigint, b bigint, block bigint, more boolean"), "across")
         new = written(across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
         linked = written(_verified(new, sets), "more")
-        links, tested = links.union(linked), tested.union(new)
+        links, tested, used = links.union(linked), tested.union(new), [*used, new, linked]
+        discard(still)
         if linked.take(1):
-            found = written(components(links), "components")
+            before, found = found, components(links)
+            discard(before)
         cut_off = across.filter("more").select("block").distinct()
         if not cut_off.take(1):
             break
         scope, partners = written(scope.join(cut_off, "block"), "scope"), partners * MORE
+        used.append(scope)
         discard(labelled, across)
-    discard(members, sets, labelled, across)
+    discard(members, sets, labelled, across, *used)
     return found
 
 
@@ -336,6 +344,7 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = _link_classes(classes, firsts, docs)
     discard(classes)
     known = written(firsts.join(found, "node", "left").withColumn("group", F.coalesce("component", "node")), "known")
+    discard(found)
     alone = known.filter(F.col("node") == F.col("group")).select("group", F.col("doc_id").alias("first_id"), F.col("mark").alias("first_mark"))
     if known.filter("shared").take(1):  # a node's name may be a hash, and the least node not the least id
         alone = known.groupBy("group").agg(F.min(F.struct("doc_id", "mark")).alias("f")).select("group", F.col("f.doc_id").alias("first_id"), F.col("f.mark").alias("first_mark"))

@@ -76,3 +76,24 @@ def test_one_of_each_decides_by_row(spark):
     assert sorted(map(repr, map(tuple, left.collect()))) == sorted(map(repr, [(3, a), (5, b), (5, c), (None, a), (8, ""), (8, None)]))
     found = near_duplicates.near_duplicates(spark.createDataFrame(given, "doc_id long, text string"))
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in found.collect()) == sorted([(3, 3), (5, 3), (5, 5), (5, 5), (7, 5), (7, 5), (7, 5), (0, 0), (8, 8), (8, 8)])
+
+
+def test_spans_and_rules_of_pages():
+    """Row and column spans take time in proportion to a page's length, columns keep their widths, later rules count."""
+    import time
+
+    from hexfield.llm.html_text import page_text
+
+    def seconds(k, cell):
+        began = time.perf_counter()
+        page_text("<table>" + "".join(f"<tr>{cell(i)}</tr>" for i in range(k)) + "</table>")
+        return time.perf_counter() - began
+
+    for cell in (lambda i: "<td rowspan=65534 colspan=1000>x</td>", lambda i: f"<td rowspan={1000 + i % 7} colspan=3>x</td>", lambda i: f"<td rowspan={2 + i % 5}>x</td><td colspan=900 rowspan=2>y</td>"):
+        assert seconds(4000, cell) < 12 * max(seconds(1000, cell), 0.02)
+    wide = "w" * 100
+    lines = page_text(f"<table><tr><td>{wide}<td>b<tr><td>a<td>c</table>").split("\n")
+    assert lines == [f"{wide}  b", "a" + " " * 101 + "c"]
+    assert page_text("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>").split("\n") == ["a  b", "   c", "d  e"]
+    shown = "<style>.a{display:none}.a{display:block}#b{display:none}p{visibility:hidden}.v{visibility:visible}</style><div class=a>one</div><div id=b class=a>two</div><p>three</p><p class=v>four</p><div class=a style='display:none'>five</div><div id=b style='display: block'>six</div>"
+    assert page_text(shown).split() == ["one", "four", "six"]
