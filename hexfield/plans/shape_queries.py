@@ -58,10 +58,10 @@ def shape_points(spark, d):
     return polygons.containing(points, "point", areas).join(areas.rows, "poly").groupBy("id").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {PLACES}, all_cells AS (SELECT r, unnest(range(CAST(-r // 2 - 2 AS BIGINT), CAST(200 - r // 2 AS BIGINT))) AS q FROM (SELECT unnest(range(-2, 350)) AS r)), centres AS (SELECT q, r, (q + r / 2) * (1.7320508075688772e0 * 200e0) AS x, r * 300e0 AS y FROM all_cells WHERE (q + r / 2) BETWEEN -1 AND 320) SELECT DISTINCT 'h_' || q || '_' || r AS cell_id FROM centres c JOIN places p ON p.id % 4 = 0 AND {_inside('c.x - ox', 'c.y - oy')}")
+@query(f"WITH {PLACES}, all_cells AS (SELECT r, unnest(range(CAST(-r // 2 - 2 AS BIGINT), CAST(330 - r // 2 AS BIGINT))) AS q FROM (SELECT unnest(range(-2, 350)) AS r)), centres AS (SELECT q, r, (q + r / 2) * (1.7320508075688772e0 * 200e0) AS x, r * 300e0 AS y FROM all_cells WHERE (q + r / 2) BETWEEN -1 AND 320) SELECT DISTINCT 'h_' || q || '_' || r AS cell_id FROM centres c JOIN places p ON {_inside('c.x - ox', 'c.y - oy')}")
 def shape_cells(spark, d):
-    """Cells of 200 m that fill every fourth shape, overlapping ones among them."""
-    return grid.fill(shapes(spark, d).filter("id % 4 = 0"), 200.0).select("cell_id")
+    """Cells of 200 m that fill the shapes, overlapping ones among them."""
+    return grid.fill(shapes(spark, d), 200.0).select("cell_id")
 
 
 def stacks(spark, d) -> DataFrame:
