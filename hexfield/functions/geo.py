@@ -159,6 +159,18 @@ def ring_centroid(ring: Column) -> Column:
     return F.aggregate(ring_edges(ring), zero, step, lambda s: F.struct((s["x"] / (3 * s["w"])).alias("x"), (s["y"] / (3 * s["w"])).alias("y")))
 
 
+def rings_centroid(rings: Column) -> Column:
+    """Centroid of a polygon of several rings, holes turning the other way, weighed by their signed areas."""
+    zero = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("w"))
+
+    def step(s: Column, ring: Column) -> Column:
+        w, c = ring_area(ring), ring_centroid(ring)
+        moved = F.struct((s["x"] + c["x"] * w).alias("x"), (s["y"] + c["y"] * w).alias("y"), (s["w"] + w).alias("w"))
+        return F.when(w != 0, moved).otherwise(s)
+
+    return F.aggregate(rings, zero, step, lambda s: F.struct(F.try_divide(s["x"], s["w"]).alias("x"), F.try_divide(s["y"], s["w"]).alias("y")))
+
+
 def valid_ring(ring: Column) -> Column:
     """Three corners or more, none null, and an area."""
     complete = (F.size(ring) >= 3) & ~F.exists(ring, lambda p: p.isNull() | p["x"].isNull() | p["y"].isNull())

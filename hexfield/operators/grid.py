@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geo import SQRT3, hex_axial, hex_center, hex_id, hex_neighbours, hex_ring, valid_ring
+from ..functions.geo import SQRT3, albers, hex_axial, hex_center, hex_id, hex_neighbours, hex_ring, mercator_x, mercator_y, valid_ring
 from .polygons import edges_of, spans
+from .tables import prefix_sample
 
 #: The box of the contiguous states, edges included (lat, lat, lon, lon).
 CONUS = (24.0, 50.0, -125.0, -66.0)
@@ -45,6 +46,20 @@ def fill(boundary: DataFrame, edge: float) -> DataFrame:
     return inside
 
 
+def center_points(cells: DataFrame, key: str = "cell_id", index: str = "__index_level_0__", albers_too: bool = False, first: int | None = None) -> DataFrame:
+    """A staged grid as points (key, lat, lon, x, y in Web Mercator metres): a key that was written as the
+    table's index gets its name back, and a grid that lacks a column is an error that names it.  `albers_too`
+    adds ax and ay in the equal-area projection; `first` keeps the rows of so many least keys."""
+    named = cells if key in cells.columns or index not in cells.columns else cells.withColumnRenamed(index, key)
+    if missing := [c for c in (key, "lat", "lon") if c not in named.columns]:
+        raise ValueError(f"the grid lacks {missing}; it has {named.columns}")
+    out = named.select(key, "lat", "lon", mercator_x(F.col("lon")).alias("x"), mercator_y(F.col("lat")).alias("y"))
+    if albers_too:
+        ax, ay = albers(F.col("lon"), F.col("lat"))
+        out = out.withColumns({"ax": ax, "ay": ay})
+    return out if first is None else prefix_sample(out, first, key)
+
+
 def with_rings(cells: DataFrame, edge: float) -> DataFrame:
     """Adds each cell's ring."""
     return cells.withColumn("ring", hex_ring(F.col("q"), F.col("r"), edge))

@@ -204,3 +204,23 @@ def metrics_record(scored: DataFrame, label: str = "label", score: str = "score"
     """One row on a scored table: rows, positives, their share and the mean score of each class."""
     y, w = F.col(label).cast("double"), F.col(weight) if weight else F.lit(1.0)
     return scored.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(y), F.lit(0.0)).cast("long").alias("n_positive"), (F.sum(y * w) / F.sum(w)).alias("base_rate"), F.avg(F.when(y > 0, F.col(score))).alias("mean_score_positive"), F.avg(F.when(y == 0, F.col(score))).alias("mean_score_negative"))
+
+
+def evaluation_record(scored: DataFrame, key: str, config: dict, label: str = "has_dc", soft: str = "is_soft", score: str = "score", least_recall: float = 0.6, ks: Sequence[int] = (100, 500, 1000)) -> DataFrame:
+    """One row on a scored table that is_test cuts into two sides: cells and positives of both, soft ones of the
+    training side, AUC and average precision of both by the hard label, precision and threshold at a recall and
+    precision of the best k on the test side, and the entries of a configuration.  A measure that a side does not
+    allow is null."""
+    y, s, test = F.col(label).cast("long"), F.col(soft).cast("long"), F.col("is_test") == 1
+    counted = {"train_cells": F.count_if(~test), "test_cells": F.count_if(test), "train_positives": F.count_if(~test & (y == 1)), "train_soft_positives": F.count_if(~test & (s == 1) & (y == 0)), "test_positives": F.count_if(test & (y == 1)), "hard_positives": F.count_if(y == 1), "soft_positives": F.count_if(s == 1)}
+    sides = scores_by(scored, "is_test", score, label)
+    of = lambda side, measure: F.max(F.when(F.col("is_test") == side, F.col(measure)))
+    areas = sides.agg(of(0, "auc").alias("train_auc_roc"), of(0, "average_precision").alias("train_auc_pr"), of(1, "auc").alias("auc_roc"), of(1, "average_precision").alias("auc_pr"))
+    held = scored.filter(test)
+    percent = round(least_recall * 100)
+    reached = precision_at_recall(held, least_recall, score, label).agg(F.max("precision").alias(f"precision_at_r{percent}"), F.max("score").alias(f"threshold_at_r{percent}"))
+    best = top_k_precision(held, ks, key, score, label).withColumnsRenamed({f"p_at_{k}": f"top_{k}_precision" for k in ks})
+    out = scored.agg(*(c.alias(n) for n, c in counted.items()))
+    for row in (areas, reached, best):
+        out = out.join(F.broadcast(row), how="inner", on=F.lit(True))  # one row each
+    return out.select(*(F.lit(v).alias(n) for n, v in config.items()), "*")

@@ -93,6 +93,24 @@ def reasons() -> Column:
     return F.when(F.size(bad) > 0, bad).when((viability >= 0.6) & (F.size(good) > 0), good).otherwise(remark)
 
 
+def merged(master: DataFrame, scores: DataFrame, key: str = "cell_id", needed=tuple(HARD_EXCLUSIONS)) -> DataFrame:
+    """The master table with its cells' scores (viability, and has_dc and is_soft if given): no score is a
+    viability of 0 and no soft positive, a facility flag of the master counts before the scores' one.  A
+    master without one of the needed columns is an error that names it."""
+    if missing := [c for c in (key, *needed) if c not in master.columns]:
+        raise ValueError(f"the master table lacks {missing}")
+    if missing := [c for c in (key, "viability") if c not in scores.columns]:
+        raise ValueError(f"the scores lack {missing}")
+    kept = [c for c in ("viability", "has_dc", "is_soft") if c in scores.columns]
+    both = master.drop("viability", "is_soft").join(scores.select(key, *(F.col(c).alias(f"_{c}") for c in kept)), key, "left")
+    had = [F.col("has_dc")] if "has_dc" in master.columns else []
+    had += [F.col("_has_dc")] if "has_dc" in kept else []
+    out = both.withColumn("viability", F.coalesce("_viability", F.lit(0.0))).withColumn("is_soft", F.coalesce(F.col("_is_soft") if "is_soft" in kept else F.lit(0), F.lit(0)).cast("int"))
+    if had:
+        out = out.withColumn("has_dc", F.coalesce(*had, F.lit(0)).cast("int"))
+    return out.drop(*(f"_{c}" for c in kept))
+
+
 def candidates(df: DataFrame, least: float = VIABLE) -> DataFrame:
     """Viable cells without a facility that are not soft positives."""
     return df.filter((F.col("viability") >= least) & (F.coalesce("has_dc", F.lit(0)) == 0) & (F.coalesce("is_soft", F.lit(0)) == 0))

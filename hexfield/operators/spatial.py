@@ -207,9 +207,9 @@ def in_polygon(points: DataFrame, polygons: DataFrame, key: str, attrs: Sequence
 
 def in_box(x: Column, y: Column, boxes: Sequence[tuple[str, float, float, float, float]]) -> Column:
     """The name of the first box (name, x0, x1, y0, y1) that holds a point, edges included."""
-    out = F.lit(None).cast("string")
-    for name, x0, x1, y0, y1 in reversed(list(boxes)):
-        out = F.when(x.between(x0, x1) & y.between(y0, y1), name).otherwise(out)
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for name, x0, x1, y0, y1 in boxes:
+        out = out.when(x.between(x0, x1) & y.between(y0, y1), name)
     return out
 
 

@@ -185,6 +185,15 @@ def wide_join(spine: DataFrame, features: Sequence[DataFrame], key: str) -> Data
     return out
 
 
+def ordered(df: DataFrame, ids: Sequence[str], features: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """Columns in a pinned order: ids (all of them needed), those features and labels that the frame has, then
+    the rest as it stands."""
+    if missing := [c for c in ids if c not in df.columns]:
+        raise ValueError(f"missing ids: {missing}")
+    pinned = list(dict.fromkeys([*ids, *(c for c in (*features, *labels) if c in df.columns)]))
+    return df.select(*pinned, *(c for c in df.columns if c not in pinned))
+
+
 def cumulative_share(df: DataFrame, measure: str, order: Sequence[Column]) -> DataFrame:
     """Share of the total and running share in the given order.  For short lists, such as importances:
     the running sum takes them through one task."""

@@ -169,7 +169,7 @@ def coord_sanity(spark, d):
 @query("SELECT DISTINCT event_type FROM events WHERE event_type NOT IN ('click', 'view')")
 def unknown_values(spark, d):
     """Categories beyond the known ones."""
-    return L.table(spark, d, "events").filter(~F.col("event_type").isin("click", "view")).select("event_type").distinct()
+    return clean.unknown(L.table(spark, d, "events"), "event_type", ["click", "view"])
 
 
 @query("SELECT p_partkey AS cell_id, p_size AS dist_km, p_retailprice AS price, 'parts' AS source FROM part")
@@ -182,5 +182,4 @@ def alias_select(spark, d):
 @query("SELECT o_orderkey AS id, CAST(NOT (o_orderpriority LIKE 'NA%' OR o_orderpriority = 'nan') AS INTEGER) AS kept, upper(trim(o_orderstatus)) = 'O' AS open FROM orders")
 def text_filters(spark, d):
     """Prefix, sentinel and case-insensitive conditions on text."""
-    p = F.col("o_orderpriority")
-    return L.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), (~(p.startswith("NA") | (p == "nan"))).cast("int").alias("kept"), (F.upper(F.trim("o_orderstatus")) == "O").alias("open"))
+    return L.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), clean.coded(F.col("o_orderpriority")).cast("int").alias("kept"), clean.same_word(F.col("o_orderstatus"), "O").alias("open"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean, geo
-from ..operators import grid, raster, spatial, tables
+from ..operators import dedupe, grid, places, raster, spatial, tables
 from ..operators.polygons import valid as simple
 from ..sources import readers
 
@@ -23,12 +23,12 @@ ZONES = [(5.0, "Cold"), (12.0, "Cool"), (18.0, "Moderate"), (24.0, "Warm")]
 DENSITIES = [(10.0, "Very Rural"), (50.0, "Rural"), (250.0, "Suburban"), (1000.0, "Urban")]
 
 
-#: Kinds of tribal areas by their names, in lower case: kind, pattern, counter-pattern.
+#: Kinds of tribal areas by their names: kind, pattern, counter-pattern.
 TRIBAL_NAMES = [
-    ("American Indian Reservation", "reservation|pueblo|rancheria|colony|indian community|indian village", "anvsa|otsa|sdtsa|tdsa|statistical"),
-    ("Off-Reservation Trust Land", "trust land", "joint-use"),
-    ("Hawaiian Home Land", "hawaiian home land", None),
-    ("Joint Use Area", "joint-use", None),
+    ("American Indian Reservation", "Reservation|Pueblo|Rancheria|Colony|Indian Community|Indian Village", "ANVSA|OTSA|SDTSA|TDSA|Statistical"),
+    ("Off-Reservation Trust Land", "Trust Land", "Joint-Use"),
+    ("Hawaiian Home Land", "Hawaiian Home Land", None),
+    ("Joint Use Area", "Joint-Use", None),
 ]
 
 
@@ -84,6 +84,29 @@ def capacity_and_queue(cells: DataFrame, operating: DataFrame, queued: DataFrame
     return out.fillna(0, subset=measures)
 
 
+def county_capacity(cells: DataFrame, counties: DataFrame, plants: DataFrame, operable: DataFrame, proposed: DataFrame, size: float = 50_000.0) -> DataFrame:
+    """capacity_and_queue from its layers: county polygons (STATEFP, COUNTYFP, NAME, rings) that give each cell its
+    county, plants (plant_code, state, county, ba_code, ba_name), operable (summer_mw, nameplate_mw) and proposed
+    generators (nameplate_mw) by plant_code, state and county.  Counties meet by state and name whatever their
+    endings; a plant's most frequent authority counts for its generators."""
+    authority = tables.most_common(plants, ["plant_code"], ["ba_code", "ba_name"]).select("plant_code", "ba_code")
+    running = operable.withColumn("mw", clean.fallback_measure(clean.number(F.col("summer_mw")), clean.number(F.col("nameplate_mw"))))
+    waiting = proposed.withColumn("mw", clean.number(F.col("nameplate_mw")))
+    rows = lambda df: places.by_name(df.filter("mw > 0").select("plant_code", "state", "county", "mw").join(authority, "plant_code", "left"))
+    at = places.with_county(cells, places.county_layer(counties), KEY, size)
+    out = capacity_and_queue(at, rows(running), rows(waiting), places.by_name(plants))
+    return out.join(at.select(KEY, "county_fips"), KEY)
+
+
+def county_price(cells: DataFrame, counties: DataFrame, sales: DataFrame, territory: DataFrame, least_mwh: float = 1000.0, size: float = 50_000.0) -> DataFrame:
+    """industrial_price from county polygons and territories as they are spelled; independent cities stay apart
+    from counties of their name."""
+    endings = clean.COUNTY_ENDINGS_KEEP_CITY
+    at = places.with_county(cells, places.county_layer(counties, endings), KEY, size)
+    sold = sales.withColumn("state", F.upper(F.trim("state")))
+    return industrial_price(at, sold, places.by_name(territory, endings), least_mwh).join(at.select(KEY, "county_fips"), KEY)
+
+
 def industrial_price(cells: DataFrame, sales: DataFrame, territory: DataFrame, least_mwh: float = 1000.0) -> DataFrame:
     """Price by county (state, county) from utilities' sales dealt evenly over their counties; cells
     without a price keep null."""
@@ -107,6 +130,16 @@ def grid_mix(cells: DataFrame, subregions: DataFrame, authority_of_county: DataF
     return cells.select(KEY, "county_fips").join(at, KEY).join(ba, "county_fips", "left").join(by_authority, "ba_code", "left").join(by_subregion, "egrid_subregion", "left")
 
 
+def county_mix(cells: DataFrame, counties: DataFrame, subregions: DataFrame, plants: DataFrame, by_authority: DataFrame, by_subregion: DataFrame, size: float = 50_000.0) -> DataFrame:
+    """grid_mix from county polygons and plants (state, county, ba_code, ba_name); codes that stand for none,
+    beginning with NA, name no authority."""
+    layer = places.county_layer(counties)
+    at = places.with_county(cells, layer, KEY, size)
+    named = places.by_name(plants.filter(clean.coded(F.col("ba_code"))))
+    of_county = named.select("state", "county", "ba_code", "ba_name").join(layer.select("state", "county", "county_fips"), ["state", "county"])
+    return grid_mix(at, subregions, of_county, by_authority, by_subregion, size)
+
+
 def nearby_generation(cells: DataFrame, plants: DataFrame, generators: DataFrame, radii_km: Sequence[float] = (5, 25, 50), colocated_m: float = 2000.0) -> DataFrame:
     """Plants (plant_code, sx, sy) with operating capacity: the nearest, capacity within three radii,
     renewable capacity and plants within the middle one."""
@@ -144,6 +177,13 @@ def market_proximity(cells: DataFrame, cities: dict[str, DataFrame], clouds: Dat
     return out.join(around, KEY, "left").fillna(0, subset=["cloud_regions_within_500km"])
 
 
+def city_markets(cells: DataFrame, areas: DataFrame, lists: dict[str, DataFrame], clouds: DataFrame | None = None, radius: float = 500_000.0) -> DataFrame:
+    """market_proximity from place polygons (NAME, rings) and lists of city names; the cloud regions are the
+    reference table's unless others are given."""
+    regions = places.cloud_regions(cells.sparkSession) if clouds is None else clouds
+    return market_proximity(cells, {label: places.cities(areas, names) for label, names in lists.items()}, regions, radius)
+
+
 def land_cover(cells: DataFrame, pixels: DataFrame) -> DataFrame:
     """Class shares of the pixels (cell_id, class)."""
     out = raster.zonal_classes(cells, pixels, KEY)
@@ -256,12 +296,31 @@ def critical_habitat(cells: DataFrame, polygons: DataFrame, size: float = 50_000
     return at.select(KEY, (n > 0).cast("int").alias("in_critical_habitat"), n.alias("critical_habitat_species_count"))
 
 
+FACILITY_COLUMNS = [KEY, "lat", "lon", "name", "operator", "state", "state_abb", "county", "sqft", "type", "source"]
+
+
+def ingest_facilities(raw: DataFrame, edge: float, source: str, radius: float = 200.0) -> DataFrame:
+    """Facilities with their cells: rows of text (id, lat, lon, name, operator, state, state_abb, county, sqft,
+    type) without outer spaces, those without coordinates left out, one of those within the radius that share a
+    name or an operator.  A campus stays before a building and a point, then the larger, then the lesser id.
+    Ids are unique."""
+    rows = readers.trimmed(raw.withColumn("id", F.col("id").cast("string"))).dropna(subset=["lat", "lon"])
+    placed = rows.withColumns({"x": geo.mercator_x(F.col("lon")), "y": geo.mercator_y(F.col("lat"))})
+    rank = F.coalesce(F.array_position(F.array(F.lit("point"), F.lit("building"), F.lit("campus")), F.col("type")), F.lit(0))
+    kept = dedupe.representatives(placed, "id", radius, ["name", "operator"], [rank.desc(), F.col("sqft").desc_nulls_last(), F.col("id")])
+    return grid.with_cells(kept, edge).withColumn("source", F.lit(source)).select(*FACILITY_COLUMNS)
+
+
+IDS = [KEY, "lat", "lon", "is_conus"]
+LABELS = ["has_dc", "facility_count", "has_hyperscaler", "max_sqft", "total_sqft", "dominant_type", "operators", "state_abb"]
+
 #: Names under which the master table knows some features.
 ALIASES = {"dist_tx_line_km": "dist_transmission_km", "industrial_price_mwh": "elec_price_mwh", "co2_lb_mwh_subregion": "co2_rate_lb_mwh", "renewable_pct_subregion": "renewable_pct", "renewable_pct_ba": "ba_renewable_pct"}
 
 
 def assemble(cells: DataFrame, features: Sequence[DataFrame], labels: DataFrame | None, wanted: Sequence[str] | None = None) -> DataFrame:
-    """Cells of the contiguous states with all features under their canonical names, and labels."""
+    """Cells of the contiguous states with all features under their canonical names, and labels: ids first, then
+    the features in the wanted order (else as they come), labels, and what else there is."""
     spine = grid.conus_flag(cells.select(KEY, "lat", "lon")).filter("is_conus = 1")
     renamed = [f.withColumnsRenamed(ALIASES) for f in features]
     if wanted is not None:
@@ -269,4 +328,5 @@ def assemble(cells: DataFrame, features: Sequence[DataFrame], labels: DataFrame
     out = tables.wide_join(spine, renamed, KEY)
     if labels is not None:
         out = out.join(labels, KEY, "left").fillna(0, subset=[c for c in ("has_dc", "facility_count", "has_hyperscaler") if c in labels.columns])
-    return out
+    known = wanted or [c for f in renamed for c in f.columns if c != KEY and c not in LABELS]
+    return tables.ordered(out, IDS, known, LABELS)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import clean_queries, job_queries, model_queries, shape_queries, source_queries, space_queries, table_queries
+from . import clean_queries, job_queries, model_queries, place_queries, shape_queries, source_queries, space_queries, table_queries
 
-MODULES = [model_queries, clean_queries, space_queries, shape_queries, table_queries, job_queries, source_queries]
+MODULES = [model_queries, clean_queries, space_queries, shape_queries, table_queries, job_queries, place_queries, source_queries]
 
 
 def queries() -> dict:
