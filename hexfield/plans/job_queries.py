@@ -52,6 +52,7 @@ PLANTS = f"{L.POINTS}, {L.SITES}, gen AS (SELECT site AS plant, CASE WHEN mw % 3
 @query(
     f"""WITH {PLANTS}, j AS (SELECT p.id, s.site, gmw, green, {D2} AS d2 FROM points p, pl s)
 SELECT CAST(id AS VARCHAR) AS cell_id, CAST(floor(sqrt(min(d2)) / 1000 * 1000 + 0.5e0) AS BIGINT) AS dist_nearest_plant_km, CAST(sum(CASE WHEN d2 <= 25e6 THEN gmw ELSE 0 END) AS BIGINT) AS operating_capacity_mw_5km, CAST(sum(CASE WHEN d2 <= 625e6 THEN gmw ELSE 0 END) AS BIGINT) AS operating_capacity_mw_25km,
+CAST(arg_min(gmw, d2 * 1000 + gmw) AS BIGINT) AS nearest_plant_operating_mw, CAST(sum(CASE WHEN d2 <= 25e8 THEN gmw ELSE 0 END) AS BIGINT) AS operating_capacity_mw_50km,
 CAST(sum(CASE WHEN d2 <= 625e6 THEN green ELSE 0 END) AS BIGINT) AS renewable_capacity_mw_25km, count(DISTINCT CASE WHEN d2 <= 625e6 THEN site END) AS plant_count_25km, min(d2) <= 4e6 AS colocated_with_power FROM j GROUP BY 1"""
 )
 def job_generation(spark, d):
@@ -61,7 +62,7 @@ def job_generation(spark, d):
     gens = s.select(F.col("site").alias("plant_code"), F.when(F.col("site") % 7 == 0, "OS").otherwise("OP").alias("status"), F.when(F.col("mw") % 3 == 0, "x").otherwise(F.col("mw").cast("string")).alias("summer_mw"), F.when(F.col("mw") % 3 == 0, F.col("mw") * 2).otherwise(1).cast("string").alias("nameplate_mw"), F.when(F.col("site") % 4 == 0, "SUN").otherwise("NG").alias("energy_source"))
     gens = gens.withColumn("nameplate_mw", F.when(F.col("summer_mw") == "0", "0").otherwise(F.col("nameplate_mw")))
     out = features.nearby_generation(cells(spark, d), plants, gens)
-    whole = ["operating_capacity_mw_5km", "operating_capacity_mw_25km", "renewable_capacity_mw_25km"]
+    whole = ["nearest_plant_operating_mw", "operating_capacity_mw_5km", "operating_capacity_mw_25km", "operating_capacity_mw_50km", "renewable_capacity_mw_25km"]
     return out.select("cell_id", milli("dist_nearest_plant_km"), *(F.round(c).cast("long").alias(c) for c in whole), "plant_count_25km", "colocated_with_power")
 
 
