@@ -4,7 +4,8 @@ The corpus's most frequent words are compiled, with the ids that the vocabulary
 minimal acyclic automaton: words share prefixes and, after minimisation, suffixes; every arc carries
 how many words it passes over, so that the sum along a word's path is its number, and the number
 names its ids.  Workers memory-map the automaton from a scratch file and walk it for all distinct
-words of a chunk at once.  Words that it does not hold are merged exactly, once per worker.
+words of a chunk at once.  Words that it does not hold are merged exactly, those of up to 32 bytes all
+together, one merge of each in a round.
 
 The vocabulary is one of byte-level symbols with a word-end suffix, lower-casing and dropped white
 space (`word_bpe_49k.json`).  Texts of characters below U+0240 are cut into words here; any text with
@@ -38,6 +39,10 @@ LEXICON_WORDS = 50_000
 #: Distinct words that a worker keeps with their ids, and that a counting task gathers; full stores are emptied.
 MAX_STORED_WORDS = 100_000
 MAX_COUNTED_WORDS = 200_000
+#: Longest words, in bytes, that are merged together; each width is a table of its own.  Longer ones are merged singly.
+WIDTHS = (8, 16, 32)
+MERGED_AT_ONCE = 1 << 14
+NO_PAIR = np.iinfo(np.int32).max
 PLAIN = 0x240
 
 
@@ -116,6 +121,15 @@ class Vocabulary:
         self.shown_length = np.array([len(x) for x in shown], np.int64)
         self.shown_start = np.cumsum(self.shown_length) - self.shown_length
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
+        # the merges as arrays over numbered parts: sorted pairs with their ranks, and by rank what a pair becomes
+        numbers: dict[str, int] = {}
+        number = lambda part: numbers.setdefault(part, len(numbers))
+        self.inner, self.last = (np.array([number(self.symbol[b] + end) for b in range(256)]) for end in ("", self.suffix))
+        pairs = sorted((number(a) << 32 | number(b), r) for (a, b), r in self.ranks.items())
+        self.pairs, self.pair_ranks = np.array([p for p, _ in pairs], np.int64), np.array([r for _, r in pairs], np.int32)
+        self.made = np.zeros(len(data["model"]["merges"]), np.int64)
+        self.made[list(self.ranks.values())] = [number(a + b) for a, b in self.ranks]
+        self.token = np.array([self.ids[part] for part in numbers], np.int64)
 
     def merge(self, word: bytes) -> list[int]:
         """The exact merges of one word: always the pair of least rank, the leftmost of equals."""
@@ -142,6 +156,58 @@ class Vocabulary:
                 heapq.heappush(heap, (r, h, parts[h], parts[i]))
         return [self.ids[p] for p in parts if p is not None]
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of numbered parts; NO_PAIR for those that don't merge and beside a word's end (-1)."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_ranks[at], NO_PAIR)
+
+    def _merge_table(self, words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids, and the ids, of words of `width` bytes at most: each round makes one merge in every
+        word that has one left, the pair of least rank, the leftmost of equals."""
+        size = np.array([len(w) for w in words], np.int64)
+        letters, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size)
+        done = np.full((len(words), width), -1, np.int64)
+        done[np.repeat(np.arange(len(words)), size), ragged(np.zeros_like(size), size)] = self.inner[letters]
+        done[np.arange(len(words)), size - 1] = self.last[letters[ends - 1]]
+        part, live, column = done.copy(), np.arange(len(words)), np.arange(width - 1)
+        rank = np.full(part.shape, NO_PAIR, np.int32)
+        rank[:, :-1] = self._rank(part[:, :-1], part[:, 1:])
+        while len(live):
+            at = rank.argmin(axis=1)
+            least = rank[np.arange(len(live)), at]
+            more = least < NO_PAIR
+            done[live[~more]] = part[~more]
+            part, rank, live, at, least = part[more], rank[more], live[more], at[more], least[more]
+            each, beyond = np.arange(len(live)), column > at[:, None]
+            for values, blank in ((part, -1), (rank, NO_PAIR)):  # what follows the pair moves one place to the left
+                values[:, :-1] = np.where(beyond, values[:, 1:], values[:, :-1])
+                values[:, -1] = blank
+            part[each, at] = self.made[least]
+            rank[each, at] = self._rank(part[each, at], part[each, at + 1])
+            each, at = each[at > 0], at[at > 0]
+            rank[each, at - 1] = self._rank(part[each, at - 1], part[each, at])
+        kept = done >= 0
+        return kept.sum(axis=1), self.token[done[kept]]
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of all words, and their ids one after another, as `merge` gives them."""
+        size = np.array([len(w) for w in words], np.int64)
+        order, lengths, ids = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for least, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            some = np.flatnonzero((size > least) & (size <= width))
+            for i in range(0, len(some), MERGED_AT_ONCE):
+                order.append(some[i : i + MERGED_AT_ONCE])
+                for out, found in zip((lengths, ids), self._merge_table([words[k] for k in order[-1].tolist()], width), strict=True):
+                    out.append(found)
+        order.append(np.flatnonzero(size > WIDTHS[-1]))
+        long = [np.array(self.merge(words[k]), np.int64) for k in order[-1].tolist()]
+        length, found = np.concatenate([*lengths, np.array([len(x) for x in long], np.int64)]), np.concatenate([*ids, *long])
+        order = np.concatenate(order)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return length[back], found[ragged((np.cumsum(length) - length)[back], length[back])]
+
     def odd_words(self, text: str) -> list[bytes | int]:
         """Words, as bytes, of a text by the library's own rules; special tokens as ids."""
         out: list[bytes | int] = []
@@ -288,27 +354,32 @@ class Words:
         new = [w for w in dict.fromkeys(words) if w not in self.by_bytes]
         if new:
             number = self.lexicon.find(new) if self.lexicon else np.full(len(new), -1)
-            lists = [self.lexicon.ids[self.lexicon.starts[k] : self.lexicon.starts[k + 1]] if k >= 0 else self.vocab.merge(w) for w, k in zip(new, number.tolist(), strict=True)]
-            self._append(lists)
-            for i, w in enumerate(new, len(self.by_bytes) + self.specials):
-                self.by_bytes[w] = i
+            held, unseen = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+            length, ids = self.vocab.merge_all([new[i] for i in unseen.tolist()])
+            if len(held):
+                start = self.lexicon.starts[number[held]]
+                size = self.lexicon.starts[number[held] + 1] - start
+                length, ids = np.concatenate([size, length]), np.concatenate([self.lexicon.ids[ragged(start, size)], ids])
+            self._append(length, ids)
+            for i, k in enumerate([*held.tolist(), *unseen.tolist()], len(self.by_bytes) + self.specials):
+                self.by_bytes[new[k]] = i
         return [self.by_bytes[w] for w in words]
 
     @property
     def specials(self) -> int:
         return len(self.vocab.special)
 
-    def _append(self, lists: list) -> None:
+    def _append(self, length: np.ndarray, ids: np.ndarray) -> None:
         if not len(self.length) and self.specials:
-            lists = [*([i] for i in self.vocab.special.values()), *lists]
-        length = np.array([len(x) for x in lists], np.int64)
+            own = np.array([*self.vocab.special.values()], np.int64)
+            length, ids = np.concatenate([np.ones(len(own), np.int64), length]), np.concatenate([own, ids])
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
-        self.ids = np.concatenate([self.ids, *(np.asarray(x, np.int64) for x in lists)]) if lists else self.ids
+        self.ids = np.concatenate([self.ids, ids])
 
     def special(self, token: int) -> int:
         if not len(self.length):
-            self._append([])
+            self._append(np.zeros(0, np.int64), np.zeros(0, np.int64))
         return [*self.vocab.special.values()].index(token)
 
 
@@ -433,7 +504,9 @@ def encode(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_values:
     The corpus's `words` most frequent words make the lexicon, whose size is bounded by their number.
     """
     vocab = vocabulary(path)
-    compiled = compile_lexicon({w: vocab.merge(w) for w in frequent_words(docs, path, words)})
+    frequent = frequent_words(docs, path, words)
+    length, ids = vocab.merge_all(frequent)
+    compiled = compile_lexicon(dict(zip(frequent, np.split(ids, np.cumsum(length)[:-1]), strict=True)) if frequent else {})
     lexicon = docs.sparkSession.sparkContext.broadcast(compiled)
     docs = free(docs, ENCODED)
     return in_arrow(docs, _encode(path, lexicon, with_values), extended(docs, ENCODED))

@@ -229,6 +229,16 @@ def test_lexicon_is_minimal_and_exact():
     assert nothing.find([b"a"]).tolist() == [-1]
 
 
+def test_words_merged_together_as_singly():
+    vocab, rng = bpe.vocabulary(WORD), np.random.default_rng(7)
+    words = [bytes(rng.choice(np.frombuffer(letters, np.uint8), n)) for letters in (b"ab", b"etaoinshr", bytes(range(256))) for n in [1, 2, 7, 8, 9, 16, 17, 31, 32, 33, 200] for _ in range(40)]
+    words += [b"internationalisation", b"aaaaaaaaaaaaaaaa", b"ha" * 16]
+    for some in (words, words[:1], []):
+        length, ids = vocab.merge_all(some)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(length)[:-1])] == [vocab.merge(w) for w in some] or not some
+        assert len(length) == len(some) and length.sum() == len(ids)
+
+
 def test_bpe_round_trip(spark):
     text = "plain words here and there"
     r = bpe.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), WORD).first()
