@@ -5,6 +5,7 @@ import random
 import re
 import struct
 import time
+from functools import cache
 from html.parser import HTMLParser
 from pathlib import Path
 
@@ -198,8 +199,13 @@ def test_token_counts_of_rows_with_the_same_or_no_id(spark):
     assert sorted((r.n_bytes, r.n_tokens > 0) for r in token_counts.count_tokens(df, PIECE).collect()) == [(0, False), (3, True), (3, True), (3, True), (5, True)]
 
 
+@cache
+def library() -> Tokenizer:
+    return Tokenizer.from_file(WORD)
+
+
 def expected(text: str | None) -> tuple[int, str, str]:
-    t = Tokenizer.from_file(WORD)
+    t = library()
     ids = t.encode(text or "", add_special_tokens=False).ids
     return len(ids), hashlib.sha256(b"".join(struct.pack("<I", i) for i in ids)).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
