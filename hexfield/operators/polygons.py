@@ -299,9 +299,9 @@ def dissolve(polygons: DataFrame, group: str, size: float) -> DataFrame:
     outer ones counter-clockwise and holes clockwise, without corners on straight lines.
 
     Edges are cut where polygons meet.  Pieces inside another polygon go, opposite ones cancel, equal ones
-    count once; what is left is stitched together.
+    count once; what is left is stitched together.  Copies of a polygon count once from the start.
     """
-    areas = decomposed(polygons.filter(F.col(group).isNotNull()), [group], size)
+    areas = decomposed(polygons.filter(F.col(group).isNotNull()).select(group, "rings").distinct(), [group], size)
     pieces = materialized(_cut(areas, group).withColumn("piece", F.xxhash64("poly", *ENDS)))
     middle = pieces.select("piece", ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"))
     low = F.least(F.struct("x1", "y1"), F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1")))

@@ -119,3 +119,12 @@ def test_dissolve(spark):
     assert len(got["overlap"][0]) == 8 and len(got["side"][0]) == 4 and len(got["part side"][0]) == 8 and len(got["slant"]) == 1
     inner = sum(inside([corners((0, 0), (6, 0), (0, 6))], (a + 0.5) / 50, (b + 0.5) / 50) or inside([corners((6, 6), (0, 5), (5, 0))], (a + 0.5) / 50, (b + 0.5) / 50) for a in range(300) for b in range(300)) / 2500
     assert areas["slant"][0] == pytest.approx(inner, abs=0.05)
+
+
+def test_copies_dissolve_once(spark, monkeypatch):
+    """Copies of a polygon are one before anything is cut."""
+    seen, whole = [], polygons.decomposed
+    monkeypatch.setattr(polygons, "decomposed", lambda df, *rest: whole(seen.append(df.count()) or df, *rest))
+    rows = [("a", [box(i % 3, 0, i % 3 + 2, 2)]) for i in range(90)]
+    (r,) = polygons.dissolve(spark.createDataFrame(rows, f"name string, rings {RINGS}"), "name", 2.5).collect()
+    assert seen == [3] and {(p.x, p.y) for p in r.corners} == {(0, 0), (4, 0), (4, 2), (0, 2)}
