@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import SQRT3, albers, hex_axial, hex_center, hex_id, hex_neighbours, hex_ring, mercator_x, mercator_y, valid_ring
+from ..sources.shared import materialized
 from .polygons import edges_of, spans
 from .tables import prefix_sample
 
@@ -30,20 +31,34 @@ def lattice(spark: SparkSession, x0: float, y0: float, x1: float, y1: float, edg
     return cells.select("q", "r", hex_id(F.col("q"), F.col("r")).alias("cell_id"), x.alias("x"), y.alias("y")).filter(F.col("x").between(x0, x1) & F.col("y").between(y0, y1))
 
 
-def fill(boundary: DataFrame, edge: float) -> DataFrame:
+def fill(boundary: DataFrame, edge: float, strict: bool = False) -> DataFrame:
     """Cells whose centre lies inside a boundary (`rings`), or inside any of several; an error if there are
-    none.  Each row of cells is filled between the boundary's crossings with the line of its centres, so no
-    cell meets more of the boundary than its own row's crossings."""
+    none.  Left and lower sides count as inside, with `strict` none does.  Each row of cells is filled between
+    the boundary's crossings with the line of its centres, so no cell meets more of the boundary than its own
+    row's crossings."""
     named = boundary.select(F.monotonically_increasing_id().alias("poly"), "rings")
-    lines = spans(edges_of(named, ["poly"]), ["poly"], 0.0, 1.5 * edge).withColumnRenamed("row", "r")
+    if strict:
+        # inside whichever way sides along the line are taken, and between crossings, not on one
+        named = materialized(named)
+        edges = edges_of(named, ["poly"])
+        both = [_filled(spans(edges, ["poly"], 0.0, 1.5 * edge, upper), edge).filter("x > x_in") for upper in (False, True)]
+        inside = both[0].join(both[1].select("poly", "q", "r"), ["poly", "q", "r"], "left_semi")
+    else:
+        inside = _filled(spans(edges_of(named, ["poly"]), ["poly"], 0.0, 1.5 * edge), edge)
+    inside = inside.select("q", "r", hex_id(F.col("q"), F.col("r")).alias("cell_id"), "x", "y").dropDuplicates(["q", "r"])
+    if not inside.take(1):
+        raise ValueError("the boundary holds no cell")
+    return inside
+
+
+def _filled(lines: DataFrame, edge: float) -> DataFrame:
+    """Cells (poly, q, r, x, y, x_in) whose centre lies in a stretch [x_in, x_out) of their row's line."""
     width = SQRT3 * edge
+    lines = lines.withColumnRenamed("row", "r")
     q = F.sequence(F.ceil(F.col("x_in") / width - F.col("r") / 2).cast("long") - 1, F.ceil(F.col("x_out") / width - F.col("r") / 2).cast("long"))
     x, y = hex_center(F.col("q"), F.col("r"), edge)
     placed = lines.withColumn("q", F.explode(q)).withColumn("x", x).filter("x >= x_in AND x < x_out")
-    inside = placed.select("q", "r", hex_id(F.col("q"), F.col("r")).alias("cell_id"), "x", y.alias("y")).dropDuplicates(["q", "r"])
-    if not inside.take(1):
-        raise ValueError("the boundary holds no cell")
-    return inside
+    return placed.select("poly", "q", "r", "x", y.alias("y"), "x_in")
 
 
 def center_points(cells: DataFrame, key: str = "cell_id", index: str = "__index_level_0__", albers_too: bool = False, first: int | None = None) -> DataFrame:

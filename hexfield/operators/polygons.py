@@ -34,19 +34,22 @@ def edges_of(polygons: DataFrame, keys: Sequence[str], rings: str = "rings") ->
     return each.select(*keys, "part", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")).filter("x1 <> x2 OR y1 <> y2")
 
 
-def crossings(edges: DataFrame, keys: Sequence[str], y0: float, step: float) -> DataFrame:
-    """(keys, row, x): where edges cross the lines y = y0 + row * step."""
+def crossings(edges: DataFrame, keys: Sequence[str], y0: float, step: float, upper: bool = False) -> DataFrame:
+    """(keys, row, x): where edges cross the lines y = y0 + row * step.  Sides along a line count as below
+    it, with `upper` as above it."""
     low, high = (f(F.col("y1"), F.col("y2")) for f in (F.least, F.greatest))
     rows = F.sequence(F.ceil((low - y0) / step).cast("long") - 1, F.ceil((high - y0) / step).cast("long"))
     met = edges.filter("y1 <> y2").withColumn("row", F.explode(rows)).withColumn("_y", y0 + F.col("row") * step)
-    met = met.filter((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y")))
+    above = (lambda y: F.col(y) >= F.col("_y")) if upper else (lambda y: F.col(y) > F.col("_y"))
+    met = met.filter(above("y1") != above("y2"))
     return met.select(*keys, "row", ((F.col("x2") - F.col("x1")) * (F.col("_y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")).alias("x"))
 
 
-def spans(edges: DataFrame, keys: Sequence[str], y0: float, step: float) -> DataFrame:
-    """(keys, row, x_in, x_out): the stretches [x_in, x_out) of each line that lie inside."""
+def spans(edges: DataFrame, keys: Sequence[str], y0: float, step: float, upper: bool = False) -> DataFrame:
+    """(keys, row, x_in, x_out): the stretches [x_in, x_out) of each line that lie inside, lower sides of a
+    polygon included, with `upper` its upper sides."""
     along = Window.partitionBy(*keys, "row").orderBy("x")
-    found = crossings(edges, keys, y0, step).withColumns({"n": F.row_number().over(along), "x_out": F.lead("x").over(along)})
+    found = crossings(edges, keys, y0, step, upper).withColumns({"n": F.row_number().over(along), "x_out": F.lead("x").over(along)})
     return found.filter("n % 2 = 1 AND x < x_out").select(*keys, "row", F.col("x").alias("x_in"), "x_out")
 
 

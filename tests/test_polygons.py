@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hexfield.functions import geo
 from hexfield.functions.geo import hex_ring, ring_area
-from hexfield.operators import polygons
+from hexfield.operators import grid, polygons
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -128,3 +129,16 @@ def test_copies_dissolve_once(spark, monkeypatch):
     rows = [("a", [box(i % 3, 0, i % 3 + 2, 2)]) for i in range(90)]
     (r,) = polygons.dissolve(spark.createDataFrame(rows, f"name string, rings {RINGS}"), "name", 2.5).collect()
     assert seen == [3] and {(p.x, p.y) for p in r.corners} == {(0, 0), (4, 0), (4, 2), (0, 2)}
+
+
+def test_strict_fill(spark):
+    """Centres on a side, a corner or the tip of a notch or of a hole are not inside."""
+    edge = 2.0
+    notch = corners((-30, 0), (0, 6), (30, 0), (30, 21), (0, 15), (-30, 21))
+    hole = corners((0, 9), (-2, 10), (0, 12), (2, 10))
+    for rings in ([box(0, 3, 30, 21)], [notch], [box(-40, 3, 30, 21), hole]):
+        frame = spark.createDataFrame([(rings,)], f"rings {RINGS}")
+        strict = {(c.q, c.r) for c in grid.fill(frame, edge, strict=True).collect()}
+        every = grid.lattice(spark, -50.0, -5.0, 50.0, 40.0, edge)
+        inside = every.crossJoin(frame).filter(geo.rings_contain(F.col("rings"), F.col("x"), F.col("y")) & ~geo.on_edge(F.col("rings"), F.col("x"), F.col("y")))
+        assert strict == {(c.q, c.r) for c in inside.collect()} and strict
