@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import dedupe, grid, spatial
+from ..operators import dedupe, disks, grid, spatial
 from . import features
 from . import layers as L
 
@@ -169,25 +169,19 @@ def nearest_segment(spark, d):
 @query(f"WITH {L.POINTS}, {L.SITES} SELECT p.id, CAST(coalesce(sum(mw), 0) AS BIGINT) AS mw, count(site) AS n_sites FROM points p LEFT JOIN sites s ON (p.x - s.sx) * (p.x - s.sx) + (p.y - s.sy) * (p.y - s.sy) <= 5000e0 * 5000e0 GROUP BY p.id")
 def radius_sum(spark, d):
     """Megawatts and sites within 5 km."""
-    p = L.points(spark, d)
-    near = spatial.within(p, L.sites(spark, d), "id", 5000.0, [F.sum("mw").alias("mw"), F.count("site").alias("n_sites")])
-    return p.select("id").join(near, "id", "left").fillna(0)
+    return disks.disk_sums(L.points(spark, d), L.sites(spark, d), "id", {5000.0: {"mw": F.col("mw"), "n_sites": F.lit(1).cast("long")}})
 
 
 @query(f"WITH {L.POINTS}, {L.SITES} SELECT p.id, count(DISTINCT site_nation) AS nations FROM points p LEFT JOIN sites s ON (p.x - s.sx) * (p.x - s.sx) + (p.y - s.sy) * (p.y - s.sy) <= 10000e0 * 10000e0 GROUP BY p.id")
 def radius_distinct(spark, d):
     """Distinct nations of the sites within 10 km."""
-    p = L.points(spark, d)
-    near = spatial.within(p, L.sites(spark, d), "id", 10000.0, [F.count_distinct("site_nation").alias("nations")])
-    return p.select("id").join(near, "id", "left").fillna(0)
+    return disks.disk_distinct(L.points(spark, d), L.sites(spark, d), "id", 10000.0, "site_nation", "nations")
 
 
 @query(f"WITH {L.POINTS}, {L.SITES}, b AS (SELECT p.id, d.r, count(site) AS n FROM points p CROSS JOIN (VALUES (2000e0), (5000e0), (9000e0)) AS d(r) LEFT JOIN sites s ON (p.x - s.sx) * (p.x - s.sx) + (p.y - s.sy) * (p.y - s.sy) <= d.r * d.r GROUP BY p.id, d.r) SELECT id, CAST(sum(CASE WHEN r = 2000 THEN n END) AS BIGINT) AS n_2km, CAST(sum(CASE WHEN r = 5000 THEN n END) AS BIGINT) AS n_5km, CAST(sum(CASE WHEN r = 9000 THEN n END) AS BIGINT) AS n_9km FROM b GROUP BY id")
 def radius_bands(spark, d):
-    """Sites within three radii, from one join at the greatest."""
-    p, d2 = L.points(spark, d), geo.distance2(F.col("x"), F.col("y"), F.col("sx"), F.col("sy"))
-    near = spatial.within(p, L.sites(spark, d), "id", 9000.0, [F.count_if(d2 <= r * r * 1e6).alias(f"n_{r}km") for r in (2, 5, 9)])
-    return p.select("id").join(near, "id", "left").fillna(0)
+    """Sites within three radii."""
+    return disks.disk_sums(L.points(spark, d), L.sites(spark, d), "id", {r * 1000.0: {f"n_{r}km": F.lit(1).cast("long")} for r in (2, 5, 9)})
 
 
 @query(f"WITH {L.POINTS}, {L.BOXES} SELECT p.id, coalesce(b.poly_id, -1) AS poly_id, b.poly_name FROM points p LEFT JOIN boxes b ON x > x0 AND x < x1 AND y > y0 AND y < y1")
