@@ -119,6 +119,17 @@ def _pairs(points: DataFrame, near: DataFrame, radius: float) -> int:
     return p.join(near.groupBy("bx", "by").agg(F.count("*").alias("t")), ["bx", "by"]).agg(F.sum(F.col("p") * F.col("t"))).first()[0] or 0
 
 
+#: Rows that a task of the nearest join makes, roughly.
+TASK_ROWS = 500_000
+
+
+def _split(points: DataFrame, near: DataFrame, rows: int) -> DataFrame:
+    """The join of points and dealt targets in as many partitions as its rows ask for; a frame that is longer
+    than its table, like the dealt one, is never broadcast."""
+    parts = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    return points.repartition(parts, "bx", "by").join(near.repartition(parts, "bx", "by").hint("merge"), ["bx", "by"])
+
+
 #: Rows that a further round of the nearest join may make for each target; beyond them points descend.
 WIDEST = 64
 
@@ -128,16 +139,28 @@ def _nearest(points: DataFrame, targets: DataFrame, corners: Sequence[str], d2:
     on with a greater radius as long as the join stays linear in the targets, by counts of both sides'
     buckets; else they descend through a pyramid of cells.  The first radius is the given one, or a smaller
     one where so many targets lie evenly in the whole box that about a dozen are within it; so a bucket's
-    targets stay few however many there are."""
+    targets stay few however many there are.  Points of one place are searched for once, and equal targets
+    are one with the least attributes; partitions follow the rows that a join makes."""
+    places = materialized(points.filter("x is not null and y is not null").select("x", "y").distinct())
+    held = [a for a in attrs if a not in corners]
+    same = targets.groupBy(*corners).agg(F.min(F.struct(*(F.col(a) for a in attrs), F.lit(0).alias("_"))).alias("a"))
+    targets = materialized(same.select(*corners, *(F.col(f"a.{a}") for a in held)))
+    found = _nearest_of_place(places.withColumn("place", F.struct("x", "y")), targets, corners, d2, attrs, "place", radius, growth)
+    return points.select(key, "x", "y").join(found.select("place.x", "place.y", "d2", *attrs), ["x", "y"], "left").select(key, "d2", *attrs)
+
+
+def _nearest_of_place(points: DataFrame, targets: DataFrame, corners: Sequence[str], d2: Column, attrs: Sequence[str], key: str, radius: float, growth: float) -> DataFrame:
+    """The rounds of the nearest join, for points that have a target if there is any."""
     extent = _extent(points, targets, corners)
     whole, count = extent[2:]
     if whole and count:
         radius = min(radius, whole * (4 / count) ** 0.5)
     ends = [F.col(c) for c in corners]
     spread = lambda: dealt_along(targets, *ends, radius) if len(ends) == 4 else dealt(targets, ends[0] - radius, ends[1] - radius, ends[0] + radius, ends[1] + radius, radius)
-    left, near, found = points.filter("x is not null and y is not null").select(key, "x", "y"), spread(), None
+    left, near, found = points.select(key, "x", "y"), spread(), None
+    rows = _pairs(left, near, radius)
     while True:
-        best = bucketed(left, "x", "y", radius).join(near, ["bx", "by"]).groupBy(key).agg(F.min(F.struct(d2.alias("d2"), *attrs)).alias("n"))
+        best = _split(bucketed(left, "x", "y", radius), near, rows).groupBy(key).agg(F.min(F.struct(d2.alias("d2"), *attrs)).alias("n"))
         hits = best if radius > whole else best.filter(F.col("n.d2") <= radius * radius)
         hits = materialized(hits.select(key, "n.*"))
         found = hits if found is None else found.unionByName(hits)
@@ -148,22 +171,21 @@ def _nearest(points: DataFrame, targets: DataFrame, corners: Sequence[str], d2:
             return found
         radius *= growth
         near = spread()
-        if _pairs(left, near, radius) > WIDEST * count:
+        rows = _pairs(left, near, radius)
+        if rows > WIDEST * count:
             return found.unionByName(_descended(left, targets, corners, d2, attrs, key, extent))
 
 
 def nearest(points: DataFrame, sites: DataFrame, key: str, attrs: Sequence[str], radius: float, growth: float = 3.0) -> DataFrame:
     """Each point (key, x, y) with d2 and the attributes of its nearest site (sx, sy, ...); among equals
     the least attributes count.  Without sites, or for a point without coordinates, they are null."""
-    found = _nearest(points, sites.select("sx", "sy", *(a for a in attrs if a not in ("sx", "sy"))), ["sx", "sy"], distance2(F.col("x"), F.col("y"), F.col("sx"), F.col("sy")), attrs, key, radius, growth)
-    return points.select(key).join(found, key, "left")
+    return _nearest(points, sites.select("sx", "sy", *(a for a in attrs if a not in ("sx", "sy"))), ["sx", "sy"], distance2(F.col("x"), F.col("y"), F.col("sx"), F.col("sy")), attrs, key, radius, growth)
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, key: str, attrs: Sequence[str], radius: float, growth: float = 3.0) -> DataFrame:
     """Each point with the squared distance to its nearest segment (x1, y1, x2, y2, ...)."""
     d2 = segment_distance2(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    found = _nearest(points, segments.select("x1", "y1", "x2", "y2", *attrs), ["x1", "y1", "x2", "y2"], d2, attrs, key, radius, growth)
-    return points.select(key).join(found, key, "left")
+    return _nearest(points, segments.select("x1", "y1", "x2", "y2", *attrs), ["x1", "y1", "x2", "y2"], d2, attrs, key, radius, growth)
 
 
 def within(points: DataFrame, sites: DataFrame, key: str, radius: float, aggs: Sequence[Column]) -> DataFrame:
