@@ -57,22 +57,25 @@ def focal_disk_sum(points: DataFrame, pixels: DataFrame, key: str, radius: int,
     or outside the raster of the given width counts 0.
 
     Prefix sums along each raster row turn the disk into one span for each of its 2 * radius + 1 rows, so
-    a point costs two lookups a row, whatever the disk's area.  Rows are filled to their whole width
-    first; a raster row is the unit of one task, and its length is the raster's, not the data's.
+    a place costs two lookups a row, whatever the disk's area.  Rows are filled to their whole width
+    first; a raster row is the unit of one task, and its length is the raster's, not the data's.  Points of
+    one pixel are looked up once, and lookups, far more than the points that they come from, are never broadcast.
     """
     valid = pixels.filter("value > 0").groupBy("row", "col").agg(F.sum("value").alias("value"))
     rows = valid.select("row").distinct().select("row", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("col"))
     full = rows.join(valid, ["row", "col"], "left").fillna(0, subset=["value"])
     upto = F.sum("value").over(Window.partitionBy("row").orderBy("col").rowsBetween(Window.unboundedPreceding, 0))
     sums = full.select("row", "col", upto.alias("upto"))
-    spans = points.select(key, "row", "col", F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("dy"))
+    at = points.select(F.col("row").alias("at_row"), F.col("col").alias("at_col")).distinct()
+    spans = at.select("at_row", "at_col", F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("dy"))
     half = F.floor(F.sqrt(F.lit(radius * radius) - F.col("dy") * F.col("dy"))).cast("int")
-    first, last = F.greatest(F.col("col") - half, F.lit(0)), F.least(F.col("col") + half, F.lit(width - 1))
+    first, last = F.greatest(F.col("at_col") - half, F.lit(0)), F.least(F.col("at_col") + half, F.lit(width - 1))
     spans = spans.filter(first <= last)
     ends = F.array(F.struct((first - 1).alias("col"), F.lit(-1).alias("sign")), F.struct(last.alias("col"), F.lit(1).alias("sign")))
-    lookups = spans.select(key, (F.col("row") + F.col("dy")).alias("row"), F.explode(ends).alias("e")).select(key, "row", "e.*")
-    out = lookups.join(sums, ["row", "col"]).groupBy(key).agg(F.sum(F.col("sign") * F.col("upto")).alias("total"))
-    return points.select(key).join(out, key, "left").fillna(0, subset=["total"])
+    lookups = spans.select("at_row", "at_col", (F.col("at_row") + F.col("dy")).alias("row"), F.explode(ends).alias("e")).select("at_row", "at_col", "row", "e.*")
+    found = lookups.hint("merge").join(sums, ["row", "col"]).groupBy("at_row", "at_col").agg(F.sum(F.col("sign") * F.col("upto")).alias("total"))
+    out = found.withColumnsRenamed({"at_row": "row", "at_col": "col"})
+    return points.select(key, "row", "col").join(out, ["row", "col"], "left").select(key, "total").fillna(0, subset=["total"])
 
 
 def regridded(pixels: DataFrame, x: Column, y: Column, size: float) -> DataFrame:

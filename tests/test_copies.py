@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from hexfield.operators import spatial
+from hexfield.operators import raster, spatial
 
 
 def test_nearest_searches_places_once(spark, monkeypatch):
@@ -22,3 +22,15 @@ def test_nearest_searches_places_once(spark, monkeypatch):
     got = {r.id: r.d2 for r in spatial.nearest_segment(p, lines, "id", [], 100.0).collect()}
     flat = lambda x, y: min(max(t[0] - x, 0.0, x - t[0] - 50) ** 2 + (y - t[1]) ** 2 for t in sites) if x is not None else None
     assert got == {i: flat(x, y) for i, x, y in points} and asked[1] == asked[0]
+
+
+def test_focal_sum_broadcasts_no_lookups(spark):
+    """Lookups come from few bytes a point but are many: their join must not send them through the driver."""
+    spark.range(3000).select("id", (F.col("id") % 7).cast("int").alias("row"), (F.col("id") % 5).cast("int").alias("col")).createOrReplaceTempView("at")
+    points = spark.table("at")
+    pixels = spark.range(49).select((F.col("id") % 7).cast("int").alias("row"), (F.col("id") / 7).cast("int").alias("col"), F.col("id").alias("value"))
+    out = raster.focal_disk_sum(points, pixels, "id", 2, 7)
+    plan = out._jdf.queryExecution().optimizedPlan().toString() + out._jdf.queryExecution().sparkPlan().toString()
+    assert "strategy=merge" in plan
+    want = {(r, c): sum(i for i in range(49) if (i % 7 - r) ** 2 + (i // 7 - c) ** 2 <= 4) for r in range(7) for c in range(5)}
+    assert {r.id: r.total for r in out.collect()} == {i: want[i % 7, i % 5] for i in range(3000)}
