@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geo import distance2
 from ..sources.shared import materialized
-from .spatial import close_pairs
+from .spatial import bucketed, close_pairs, dealt
 
 
 def duplicate_pairs(df: DataFrame, key: str, radius: float, same: Sequence[str]) -> DataFrame:
@@ -20,6 +21,23 @@ def duplicate_pairs(df: DataFrame, key: str, radius: float, same: Sequence[str])
     return close_pairs(folded, key, radius).filter(agree).select("a", "b")
 
 
+def duplicate_links(df: DataFrame, key: str, radius: float, same: Sequence[str]) -> DataFrame:
+    """(a, b) of records that connect the same records as duplicate_pairs does, without all of its pairs: records
+    of one place and text hang on the least of them, and only those least ones are paired with others."""
+    placed = df.select(key, "x", "y", *same).filter((F.abs("x") < 1e300) & (F.abs("y") < 1e300))
+    links = None
+    for c in same:
+        folded = placed.select(F.col(key).alias("a"), "x", "y", F.lower(F.trim(c)).alias("text")).filter("text <> ''")
+        least = materialized(folded.groupBy("x", "y", "text").agg(F.min("a").alias("b")))
+        hung = folded.join(least, ["x", "y", "text"]).filter("a <> b").select("a", "b")
+        near = bucketed(least, "x", "y", radius).withColumnRenamed("b", "a")
+        far = dealt(least, F.col("x") - radius, F.col("y") - radius, F.col("x") + radius, F.col("y") + radius, radius).withColumnsRenamed({"x": "sx", "y": "sy"})
+        met = near.join(far.hint("merge"), ["bx", "by", "text"]).filter("a < b").filter(distance2(F.col("x"), F.col("y"), F.col("sx"), F.col("sy")) <= radius * radius)
+        found = hung.unionByName(met.select("a", "b"))
+        links = found if links is None else links.unionByName(found)
+    return links
+
+
 #: A hub has more neighbours than a 1 / HUBS share of all edges, and HEAVY at least; so there are 2 * HUBS at most.
 HUBS, HEAVY = 10_000, 1_000
 
@@ -67,7 +85,7 @@ def first_of_each(df: DataFrame, groups: Sequence[str], order: Sequence[Column])
 
 def representatives(df: DataFrame, key: str, radius: float, same: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One record of each cluster of duplicates, with the cluster and its size."""
-    found = clusters(df, duplicate_pairs(df, key, radius, same), key)
+    found = clusters(df, duplicate_links(df, key, radius, same), key)
     joined = df.join(found, key)
     sizes = found.groupBy("cluster").agg(F.count("*").alias("members"))
     return first_of_each(joined, ["cluster"], order).join(sizes, "cluster")

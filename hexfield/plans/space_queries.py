@@ -241,7 +241,7 @@ def dup_pairs(spark, d):
 def dup_clusters(spark, d):
     """Connected duplicates under their least id."""
     f = L.facilities(spark, d)
-    return dedupe.clusters(f, dedupe.duplicate_pairs(f, "id", 200.0, ["name", "operator"]), "id")
+    return dedupe.clusters(f, dedupe.duplicate_links(f, "id", 200.0, ["name", "operator"]), "id")
 
 
 ORDER_SQL = "CASE type WHEN 'campus' THEN 2 WHEN 'building' THEN 1 ELSE 0 END DESC, sqft DESC NULLS LAST, f.id"

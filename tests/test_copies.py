@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from hexfield.operators import raster, spatial
+from hexfield.operators import dedupe, raster, spatial
 
 
 def test_nearest_searches_places_once(spark, monkeypatch):
@@ -34,3 +34,25 @@ def test_focal_sum_broadcasts_no_lookups(spark):
     assert "strategy=merge" in plan
     want = {(r, c): sum(i for i in range(49) if (i % 7 - r) ** 2 + (i // 7 - c) ** 2 <= 4) for r in range(7) for c in range(5)}
     assert {r.id: r.total for r in out.collect()} == {i: want[i % 7, i % 5] for i in range(3000)}
+
+
+def test_links_connect_what_pairs_connect(spark):
+    """Copies of a place make no pairs among themselves, and the clusters are the same."""
+    rng = random.Random(5)
+    names = ["A", " a", "b", "c ", "", None]
+    rows = [(i, float(rng.randrange(30) * 7), float(rng.randrange(3) * 7), rng.choice(names), rng.choice(names)) for i in range(300)] + [(900, None, 1.0, "a", "a"), (901, float("nan"), 1.0, "a", "a"), (902, float("nan"), 1.0, "a", "a")]
+    df = spark.createDataFrame(rows, "id long, x double, y double, name string, operator string")
+    args = ("id", 8.0, ["name", "operator"])
+    pairs, links = dedupe.duplicate_pairs(df, *args), dedupe.duplicate_links(df, *args)
+
+    def of(edges):
+        least = {r[0]: r[0] for r in rows}
+        edges = [tuple(r) for r in edges.collect()]
+        for _ in least:
+            for a, b in edges:
+                least[a] = least[b] = min(least[a], least[b])
+        return least
+
+    assert of(pairs) == of(links) and len(set(of(links).values())) > 4
+    many = spark.range(500).select("id", F.lit(1.0).alias("x"), F.lit(2.0).alias("y"), F.lit("n").alias("name"), F.lit("o").alias("operator"))
+    assert dedupe.duplicate_links(many, *args).count() == 2 * 499
