@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.clean import nan_to_null, number
+from .shared import materialized
 
 
 def trimmed(df: DataFrame) -> DataFrame:
@@ -51,11 +52,15 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 def read_months(spark: SparkSession, path: str, pattern: str, schema: StructType | str) -> DataFrame:
     """Files below a folder whose names tell a month: `band` is 1-12 from the name's ..._MM, 0 without.  A
-    table that Spark wrote is a folder of part files, and counts by the folder's name."""
+    table that Spark wrote is a folder of part files, and counts by the folder's name.  Names are read once for
+    each file; rows only look their file up."""
     df = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).parquet(path)
-    month = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{2})(?:\D|$)", 1)
-    of_folder = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{2})(?:\D[^/]*)?/part-[^/]*$", 1)
-    return df.withColumn("band", F.coalesce(month.try_cast("int"), of_folder.try_cast("int"), F.lit(0)))
+    month = F.regexp_extract(F.col("_name"), r"_(\d{2})(?:\D|$)", 1)
+    of_folder = F.regexp_extract(F.col("_path"), r"_(\d{2})(?:\D[^/]*)?/part-[^/]*$", 1)
+    files = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name")).distinct()
+    files = materialized(files.select("_path", F.coalesce(month.try_cast("int"), of_folder.try_cast("int"), F.lit(0)).alias("band")))
+    rows = df.withColumn("_file", F.col("_metadata.file_path"))
+    return rows.join(F.broadcast(files), F.col("_file") == F.col("_path")).select(*df.columns, "band")  # a row for each file
 
 
 def require_bands(df: DataFrame, bands: Sequence[int]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hexfield.functions import geo
 from hexfield.operators import dedupe, model, tables
-from hexfield.sources import writers
+from hexfield.sources import readers, writers
 from hexfield.streaming import incremental
 
 
@@ -119,3 +119,19 @@ def test_collection(spark, tmp_path):
     assert sum(r.bytes for r in rows) == len(raw) and all(raw[r.offset :].startswith(Path(tmp_path, "map", r.part).read_bytes()) for r in rows)
     empty = writers.write_collection(df.limit(0), f"file://{tmp_path}/none", "cell", "ring", ["cell"])
     assert empty.count() and json.loads(b"".join(p.read_bytes() for p in sorted(Path(tmp_path, "none").glob("part-*"))))["features"] == []
+
+
+def test_months_are_told_by_files(spark, tmp_path):
+    """Names of files and of folders tell the band; no row's path is searched for it."""
+    names = {"tmean_annual": 0, "tmean_03": 3, "t mean%_04_x": 4, "deep/tmean_12": 12}
+    for i, name in enumerate(names):
+        spark.range(10 * i, 10 * i + i + 1).toDF("k").repartition(2).write.parquet(f"{tmp_path}/{name}")
+    next((tmp_path / "tmean_03").glob("part-00000-*")).rename(tmp_path / "loose_07.parquet")
+    found = readers.read_months(spark, str(tmp_path), "*.parquet", "k bigint")
+    assert found.columns == ["k", "band"]
+    got = {r.k: r.band for r in found.collect()}
+    assert {k: b for k, b in got.items() if k // 10 != 1} == {10 * i + j: b for i, b in enumerate(names.values()) if i != 1 for j in range(i + 1)}
+    assert {k for k in got if k // 10 == 1} == {10, 11} and {got[10], got[11]} <= {3, 7} and 7 in got.values()
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError, match=r"\[1, 2\]"):
+        readers.require_bands(found, [0, 1, 2, 4, 12])
