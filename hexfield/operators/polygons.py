@@ -27,11 +27,12 @@ LEVELS = 4
 DIGITS = 6
 
 
-def edges_of(polygons: DataFrame, keys: Sequence[str], rings: str = "rings") -> DataFrame:
-    """A row (keys, part, x1, y1, x2, y2) for each edge of each ring; edges without length are left out."""
+def edges_of(polygons: DataFrame, keys: Sequence[str], rings: str = "rings", numbered: bool = False) -> DataFrame:
+    """A row (keys, part, x1, y1, x2, y2) for each edge of each ring, with its number in the ring (`at`) if
+    asked for; edges without length are left out."""
     parts = polygons.select(*keys, F.posexplode(rings).alias("part", "_ring"))
-    each = parts.select(*keys, "part", F.explode(ring_edges(F.col("_ring"))).alias("e"))
-    return each.select(*keys, "part", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")).filter("x1 <> x2 OR y1 <> y2")
+    each = parts.select(*keys, "part", F.posexplode(ring_edges(F.col("_ring"))).alias("at", "e"))
+    return each.select(*keys, "part", *(["at"] if numbered else []), F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")).filter("x1 <> x2 OR y1 <> y2")
 
 
 def crossings(edges: DataFrame, keys: Sequence[str], y0: float, step: float, upper: bool = False) -> DataFrame:
@@ -108,7 +109,11 @@ class Decomposed:
 def decomposed(polygons: DataFrame, attrs: Sequence[str], size: float) -> Decomposed:
     """Quadtree cells of polygons, from the largest down: only cells with edges are divided."""
     rows = materialized(polygons.select(F.monotonically_increasing_id().alias("poly"), "rings", *attrs))
-    edges = materialized(edges_of(rows, ["poly"]).select("poly", *ENDS))
+    return _decomposed(materialized(edges_of(rows, ["poly"]).select("poly", *ENDS)), rows.drop("rings"), size)
+
+
+def _decomposed(edges: DataFrame, rows: DataFrame, size: float) -> Decomposed:
+    """The cells of polygons that are given by their edges (poly, x1, y1, x2, y2)."""
     key, whole, above = ["poly", "bx", "by"], [], None
     for level in range(LEVELS - 1, -1, -1):
         wide = size * 2**level
@@ -126,18 +131,25 @@ def decomposed(polygons: DataFrame, attrs: Sequence[str], size: float) -> Decomp
         whole.append(inside.withColumn("level", F.lit(level)))
         above = partial
     cells = _corners(above, edges, size)
-    return Decomposed(size, edges, materialized(reduce(DataFrame.unionByName, whole)), materialized(_cells(edges, size).join(cells, key)), rows.drop("rings"))
+    return Decomposed(size, edges, materialized(reduce(DataFrame.unionByName, whole)), materialized(_cells(edges, size).join(cells, key)), rows)
 
 
-def containing(points: DataFrame, key: str, areas: Decomposed) -> DataFrame:
-    """(key, poly, touch) for each point (key, x, y) and polygon that holds it or has it on its boundary
-    (touch = 1); a point of a partial cell follows the cell's own edges to its lower left corner."""
+def _places(points: DataFrame, key: Sequence[str]) -> DataFrame:
+    return points.filter("x is not null and y is not null").select(*key, *(c for c in ("x", "y") if c not in key))
+
+
+def _in_levels(placed: DataFrame, size: float) -> DataFrame:
+    """Each point with its cell (level, bx, by) of every level."""
+    at = lambda v, wide: F.floor(F.col(v) / wide).cast("long")
+    levels = F.array(*(F.struct(F.lit(v).alias("level"), at("x", size * 2**v).alias("bx"), at("y", size * 2**v).alias("by")) for v in range(LEVELS)))
+    return placed.withColumn("c", F.explode(levels)).select("*", "c.*").drop("c")
+
+
+def _in_partial(placed: DataFrame, key: Sequence[str], areas: Decomposed) -> DataFrame:
+    """(key, poly, touch) for points of partial cells: a point follows the cell's own edges to its lower left
+    corner."""
     size, x, y = areas.size, F.col("x"), F.col("y")
-    placed = points.filter("x is not null and y is not null").select(key, "x", "y")
     at = lambda v, wide: F.floor(v / wide).cast("long")
-    levels = F.array(*(F.struct(F.lit(v).alias("level"), at(x, size * 2**v).alias("bx"), at(y, size * 2**v).alias("by")) for v in range(LEVELS)))
-    inner = placed.select(key, F.explode(levels).alias("c")).select(key, "c.*").join(areas.whole, ["level", "bx", "by"]).select(key, "poly", F.lit(0).alias("touch"))
-
     x1, y1, x2, y2 = (F.col(c) for c in ENDS)
     left, low = F.col("bx") * size, F.col("by") * size
     here = F.try_divide((x2 - x1) * (y - y1), y2 - y1) + x1
@@ -150,8 +162,34 @@ def containing(points: DataFrame, key: str, areas: Decomposed) -> DataFrame:
     on = (cross == 0) & x.between(F.least(x1, x2), F.greatest(x1, x2)) & y.between(F.least(y1, y2), F.greatest(y1, y2))
     one = lambda c: F.when(c, 1).otherwise(0)
     met = placed.withColumns({"bx": at(x, size), "by": at(y, size)}).join(areas.partial, ["bx", "by"])
-    tested = met.groupBy(key, "poly").agg((F.max("inside") + F.sum(one(across) + one(upward) + one(flat))).alias("n"), F.max(one(on)).alias("touch"))
-    return inner.unionByName(tested.filter("n % 2 = 1 OR touch = 1").select(key, "poly", "touch"))
+    tested = met.groupBy(*key, "poly").agg((F.max("inside") + F.sum(one(across) + one(upward) + one(flat))).alias("_odd"), F.max(one(on)).alias("touch"))
+    return tested.filter("_odd % 2 = 1 OR touch = 1").select(*key, "poly", "touch")
+
+
+def containing(points: DataFrame, key: str, areas: Decomposed) -> DataFrame:
+    """(key, poly, touch) for each point (key, x, y) and polygon that holds it or has it on its boundary
+    (touch = 1)."""
+    placed = _places(points, [key])
+    inner = _in_levels(placed, areas.size).join(areas.whole, ["level", "bx", "by"]).select(key, "poly", F.lit(0).alias("touch"))
+    return inner.unionByName(_in_partial(placed, [key], areas))
+
+
+def counted(points: DataFrame, polygons: DataFrame, key: str, size: float) -> DataFrame:
+    """(key, n): how many points (x, y) polygons hold or have on their boundary; those without any are left out.
+
+    Points of one place count together, equal polygons are taken apart once, and a whole cell takes the sum of
+    its points.  Only places and edges that share a small cell meet each other.
+    """
+    named = materialized(polygons.select(key, "rings", F.sha2(F.to_json("rings"), 256).alias("shape")))
+    rows = materialized(named.select("shape").distinct().select(F.monotonically_increasing_id().alias("poly"), "shape"))
+    once = edges_of(named, ["shape"], numbered=True).distinct()
+    areas = _decomposed(materialized(once.join(rows, "shape").select("poly", *ENDS)), rows, size)
+    places = materialized(_places(points, []).groupBy("x", "y").agg(F.count("*").alias("n")))
+    cells = _in_levels(places, size).groupBy("level", "bx", "by").agg(F.sum("n").alias("n"))
+    whole = cells.join(areas.whole, ["level", "bx", "by"]).select("poly", "n")
+    partial = _in_partial(places, ["x", "y", "n"], areas).select("poly", "n")
+    held = whole.unionByName(partial).groupBy("poly").agg(F.sum("n").alias("n")).join(rows, "poly")
+    return named.select(key, "shape").join(held, "shape").groupBy(key).agg(F.sum("n").alias("n"))
 
 
 def clipped(ring: Column) -> Column:

@@ -53,9 +53,8 @@ def zone_shapes(spark, d):
 @query(f"WITH {L.POINTS}, {PLACES} SELECT p.id, count(*) AS n FROM places p JOIN points c ON {_inside('c.x + 0.5e0 - ox', 'c.y + 0.5e0 - oy')} GROUP BY p.id")
 def shape_points(spark, d):
     """Points in each shape, by whole and partial cells of a quadtree."""
-    areas = polygons.decomposed(shapes(spark, d), ["id"], 500.0)
-    points = L.points(spark, d).select(F.col("id").alias("point"), (F.col("x") + 0.5).alias("x"), (F.col("y") + 0.5).alias("y"))
-    return polygons.containing(points, "point", areas).join(areas.rows, "poly").groupBy("id").agg(F.count("*").alias("n"))
+    points = L.points(spark, d).select((F.col("x") + 0.5).alias("x"), (F.col("y") + 0.5).alias("y"))
+    return polygons.counted(points, shapes(spark, d), "id", 500.0)
 
 
 @query(f"WITH {PLACES}, all_cells AS (SELECT r, unnest(range(CAST(-r // 2 - 2 AS BIGINT), CAST(330 - r // 2 AS BIGINT))) AS q FROM (SELECT unnest(range(-2, 350)) AS r)), centres AS (SELECT q, r, (q + r / 2) * (1.7320508075688772e0 * 200e0) AS x, r * 300e0 AS y FROM all_cells WHERE (q + r / 2) BETWEEN -1 AND 320) SELECT DISTINCT 'h_' || q || '_' || r AS cell_id FROM centres c JOIN places p ON {_inside('c.x - ox', 'c.y - oy')}")

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from hexfield.operators import dedupe, raster, spatial
+from hexfield.operators import dedupe, polygons, raster, spatial
+from hexfield.plans import shape_queries
 
 
 def test_nearest_searches_places_once(spark, monkeypatch):
@@ -56,3 +57,25 @@ def test_links_connect_what_pairs_connect(spark):
     assert of(pairs) == of(links) and len(set(of(links).values())) > 4
     many = spark.range(500).select("id", F.lit(1.0).alias("x"), F.lit(2.0).alias("y"), F.lit("n").alias("name"), F.lit("o").alias("operator"))
     assert dedupe.duplicate_links(many, *args).count() == 2 * 499
+
+
+def test_points_of_shapes_make_no_pairs_of_copies(spark, monkeypatch, tmp_path):
+    """Copies of a place count together and copies of a shape are taken apart once; counts are the same."""
+    met, tested = [], polygons._in_partial
+    monkeypatch.setattr(polygons, "_in_partial", lambda placed, key, areas: met.append((placed.count(), areas.rows.count())) or tested(placed, key, areas))
+    spots = [(x * 1.0, y * 1.0) for x in range(-1, 12) for y in range(-1, 12)] + [(2.25, 7.5), (4.5, 0.125), (7.9, 8.9)]
+    corners = lambda *at: [{"x": float(x), "y": float(y)} for x, y in at]
+    u, bow = corners((0, 0), (9, 0), (9, 9), (6, 9), (6, 3), (3, 3), (3, 9), (0, 9)), corners((20, 20), (21, 20), (21, 21))
+    kinds = [[u], [u, corners((0.5, 0.5), (0.5, 2.5), (2.5, 2.5), (2.5, 0.5))], [bow], None]
+    points = spark.createDataFrame([(x, y) for i, (x, y) in enumerate(spots) for _ in range(1 + i % 3)] + [(None, 1.0)], "x double, y double")
+    shapes = spark.createDataFrame([(i // 2, kinds[i // 2 % 4]) for i in range(24)], "id long, rings array<array<struct<x:double,y:double>>>")  # every id twice
+    got = {r.id: r.n for r in polygons.counted(points, shapes, "id", 1.0).collect()}
+    assert met == [(len(spots), 4)]
+    areas = polygons.decomposed(shapes, ["id"], 1.0)
+    pairs = polygons.containing(points.withColumn("k", F.monotonically_increasing_id()), "k", areas).join(areas.rows, "poly")
+    assert got == {r.id: r["count"] for r in pairs.groupBy("id").count().collect()} and len(got) == 6 and len(set(got.values())) == 2
+    met.clear()
+    for name, column, rows in (("customer", "c_custkey", 300_000), ("supplier", "s_suppkey", 3000)):
+        spark.range(rows).select((F.col("id") * 1000 if name == "customer" else F.col("id")).alias(column), *(F.lit(v).alias(c) for c, v in (("c_name", ""), ("c_nationkey", 1), ("c_acctbal", 1.0), ("c_mktsegment", ""), ("s_nationkey", 1)))).write.parquet(f"{tmp_path}/{name}.parquet")
+    shape_queries.shape_points(spark, str(tmp_path))
+    assert met == [(100, 970)]
